@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import c
 from ..workspace import Workspace
-from .ranking import MAX_TASK_ROWS, with_rank
+from .ranking import MAX_TASK_ROWS, TimeCells, with_rank
 
 _RANK = "_vl_rank"
 
@@ -26,11 +26,11 @@ def with_batch_id(
     n: int,
     max_rows: int = MAX_TASK_ROWS,
     workspace: Workspace | None = None,
-    seconds: DataFrame | None = None,
+    cells: TimeCells | None = None,
 ) -> DataFrame:
     """``df`` plus ``batch_id``: runs of ``n`` rows in ``order``; the last run may be short."""
     check_batch_size(n)
-    ranked = with_rank(df, order, _RANK, max_rows, workspace, seconds)
+    ranked = with_rank(df, order, _RANK, max_rows, workspace, cells)
     return ranked.select(*map(c, df.columns), batch_of(c(_RANK), n).alias("batch_id"))
 
 
@@ -51,14 +51,14 @@ def batch_manifest(
     ts: str = "time_stamp",
     max_rows: int = MAX_TASK_ROWS,
     workspace: Workspace | None = None,
-    seconds: DataFrame | None = None,
+    cells: TimeCells | None = None,
 ) -> DataFrame:
     """The batches an export would write: rows and time range of each, nothing written.
 
     Which of several rows with one timestamp falls into which batch does not
     show in a manifest, so only ``ts`` is read and ranked.
     """
-    batches = with_batch_id(df.select(c(ts)), [ts], n, max_rows, workspace, seconds)
+    batches = with_batch_id(df.select(c(ts)), [ts], n, max_rows, workspace, cells)
     return batches.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(c(ts)).alias("ts_from"),

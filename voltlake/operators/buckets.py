@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions import bucket_label, c, time_bucket
 from ..functions.timebuckets import DAY
 from ..workspace import Workspace
-from .ranking import MAX_TASK_ROWS, position_in_group, running_start, sort_keys
+from .ranking import MAX_TASK_ROWS, count_rows, position_in_group, running_start, sort_keys
 
 
 def resolve_as_of(df: DataFrame, ts: str, at: datetime | str | None = None) -> str:
@@ -56,10 +56,6 @@ def order_in_bucket(
     return df.sortWithinPartitions(*bucket_sort_keys(df, measure, ts, bucket))
 
 
-def bucket_counts(df: DataFrame, bucket: str = "bucket") -> DataFrame:
-    return df.groupBy(c(bucket)).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def position_in_bucket(
     df: DataFrame,
     order: list[str],
@@ -70,24 +66,37 @@ def position_in_bucket(
 ) -> DataFrame:
     """``df`` plus ``name``, the 1-based place of each row in its bucket in ``order``."""
     workspace = workspace or Workspace(df.sparkSession)
-    counts = workspace.save(bucket_counts(df, bucket), "bucket-counts")
+    counts = workspace.save(count_rows(df, bucket), "bucket-counts")
     return position_in_group(df, bucket, order, counts, name, max_rows, workspace)
 
 
-def bucket_manifest(df: DataFrame, ts: str = "time_stamp", bucket: str = "bucket") -> DataFrame:
+def bucket_manifest(
+    df: DataFrame,
+    ts: str = "time_stamp",
+    seconds: int = 5,
+    workspace: Workspace | None = None,
+) -> DataFrame:
     """One row per non-empty bucket: its ordinal in time order, label, row count and time range.
 
-    ``df`` comes from :func:`with_bucket`. The ordinals are a running count over
-    at most 86,400 buckets per day, so no task sees all buckets.
+    Reads ``ts`` only. Ordinals are a running count, for buckets below a day over
+    the written counts, so that the rows are scanned once.
     """
-    counted = df.groupBy(c(bucket)).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min(c(ts)).alias("ts_from"), F.max(c(ts)).alias("ts_to")
+    counted = (
+        with_bucket(df.select(c(ts)), ts, seconds)
+        .groupBy("bucket")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.min(c(ts)).alias("ts_from"),
+            F.max(c(ts)).alias("ts_to"),
+        )
     )
-    numbered = running_start(counted, bucket, F.lit(1).cast("bigint"), "_vl_before")
-    return numbered.select(
-        c(bucket),
-        (c("_vl_before") + 1).alias("bucket_no"),
-        bucket_label(counted, bucket).alias("bucket_label"),
+    if seconds < DAY:
+        counted = (workspace or Workspace(df.sparkSession)).save(counted, "bucket-counts")
+    one = F.lit(1).cast("bigint")
+    return running_start(counted, "bucket", seconds, one, "earlier").select(
+        "bucket",
+        (c("earlier") + 1).alias("bucket_no"),
+        bucket_label(counted).alias("bucket_label"),
         "n_rows",
         "ts_from",
         "ts_to",

@@ -30,6 +30,8 @@ _PIECE = "_vl_piece"
 _CELL = "_vl_cell"
 _DAY = "_vl_day"
 _START = "_vl_start"
+_START_OF_DAY = "_vl_day_start"
+_AMOUNT = "_vl_amount"
 
 # monotonically_increasing_id: partition number above bit 33, row number below.
 _ROW_BITS = 33
@@ -69,25 +71,47 @@ def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= MAX_BROADCAST_ROWS else df
 
 
+def count_rows(df: DataFrame, group: str) -> DataFrame:
+    return df.groupBy(c(group)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @dataclass
-class HotGroups:
-    """Groups with more rows than one task should hold."""
+class GroupSizes:
+    """Totals of a ``(group, n_rows)`` table, and its groups too large for one task."""
 
-    keys: DataFrame
+    max_rows: int
     n_groups: int
     n_rows: int
+    n_pieces: int
+    hot: DataFrame
+    n_hot_groups: int
+    n_hot_rows: int
 
     @classmethod
-    def find(cls, counts: DataFrame, group: str, max_rows: int) -> "HotGroups":
-        large = counts.filter(F.col("n_rows") > max_rows).select(group, "n_rows")
-        n_groups, n_rows = large.agg(F.count(F.lit(1)), F.sum("n_rows")).first()
-        return cls(large, n_groups, n_rows or 0)
+    def of(cls, counts: DataFrame, group: str, max_rows: int) -> "GroupSizes":
+        large = F.col("n_rows") > max_rows
+        pieces = F.ceil(F.col("n_rows") / F.lit(max_rows))
+        totals = counts.agg(
+            F.count(F.lit(1)),
+            F.sum("n_rows"),
+            F.sum(pieces),
+            F.count_if(large),
+            F.sum(F.when(large, F.col("n_rows"))),
+        ).first()
+        n_groups, n_rows, n_pieces, n_hot_groups, n_hot_rows = (v or 0 for v in totals)
+        hot = counts.filter(large).select(group, "n_rows")
+        return cls(max_rows, n_groups, n_rows, n_pieces, hot, n_hot_groups, n_hot_rows)
+
+    @property
+    def n_hot_pieces(self) -> int:
+        """Tasks over which the rows of the large groups are spread."""
+        return math.ceil(self.n_hot_rows / self.max_rows)
 
     def split(self, df: DataFrame, group: str) -> tuple[DataFrame, DataFrame | None]:
         """Rows outside and inside the large groups; the second is None if there are none."""
-        if not self.n_groups:
+        if not self.n_hot_groups:
             return df, None
-        keys = broadcast_if_small(self.keys.select(group), self.n_groups)
+        keys = broadcast_if_small(self.hot.select(group), self.n_hot_groups)
         columns = df.columns
         outside = df.join(keys, group, "left_anti").select(*map(c, columns))
         inside = with_address(df)
@@ -108,52 +132,47 @@ def spread_by_range(
     return hot.repartitionByRange(n_pieces, *keys).sortWithinPartitions(*keys).drop(ADDRESS)
 
 
+def earlier_sum(order: str, amount: str = _AMOUNT, within: str | None = None) -> Column:
+    """Sum of ``amount`` over the rows before this one, 0 for the first."""
+    window = Window.partitionBy(c(within)) if within else Window.partitionBy()
+    window = window.orderBy(c(order)).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(amount).over(window), F.lit(0))
+
+
 def positions(
-    df: DataFrame,
-    group: str,
-    order: list[str],
-    counts: DataFrame,
-    name: str,
-    max_rows: int,
-    workspace: Workspace,
-) -> tuple[DataFrame, DataFrame | None, HotGroups]:
+    df: DataFrame, group: str, order: list[str], sizes: GroupSizes, name: str, workspace: Workspace
+) -> tuple[DataFrame, DataFrame | None]:
     """Number the rows of each group from 1 in ``order``.
 
-    ``counts`` holds ``group`` and ``n_rows`` for every group. The rows of small
-    and of large groups come back as two frames, so that a caller can join each
-    its own way.
+    The rows of small and of large groups come back as two frames, so that a
+    caller can join each its own way.
     """
-    hot_groups = HotGroups.find(counts, group, max_rows)
-    small, large = hot_groups.split(df, group)
-    in_group = Window.partitionBy(c(group)).orderBy(*sort_keys(df, [group, *order])[1:])
+    small, large = sizes.split(df, group)
+    keys = sort_keys(df, [group, *order])
+    in_group = Window.partitionBy(c(group)).orderBy(*keys[1:])
     small = small.withColumn(name, F.row_number().over(in_group).cast("bigint"))
     if large is None:
-        return small, None, hot_groups
+        return small, None
 
-    n_pieces = math.ceil(hot_groups.n_rows / max_rows)
-    spread = spread_by_range(large, sort_keys(df, [group, *order]), n_pieces, workspace)
     # Written once: sequence numbers and piece sizes must come from one evaluation.
+    spread = spread_by_range(large, keys, sizes.n_hot_pieces, workspace)
     written = workspace.save(
         spread.withColumn(_SEQUENCE, F.monotonically_increasing_id()), "sorted-groups"
     ).withColumn(_PIECE, F.shiftright(c(_SEQUENCE), _ROW_BITS))
 
-    # One row per piece and one per large group: both windows are over bounded tables.
-    before = Window.orderBy(c(_PIECE)).rowsBetween(Window.unboundedPreceding, -1)
-    pieces = written.groupBy(_PIECE).agg(F.count(F.lit(1)).alias("n_rows")).select(
-        _PIECE, F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("_vl_piece_start")
-    )
-    before = Window.orderBy(c(group)).rowsBetween(Window.unboundedPreceding, -1)
-    starts = hot_groups.keys.select(
-        group, F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("_vl_group_start")
+    # One row per piece and one per large group: both windows run over bounded tables.
+    pieces = count_rows(written, _PIECE).select(
+        _PIECE, earlier_sum(_PIECE, "n_rows").alias("_vl_piece_start")
     )
+    groups = sizes.hot.select(group, earlier_sum(group, "n_rows").alias("_vl_group_start"))
     row_in_piece = c(_SEQUENCE).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     position = c("_vl_piece_start") + row_in_piece + 1 - c("_vl_group_start")
     large = (
-        written.join(broadcast_if_small(pieces, n_pieces), _PIECE)
-        .join(broadcast_if_small(starts, hot_groups.n_groups), group)
+        written.join(broadcast_if_small(pieces, sizes.n_hot_pieces), _PIECE)
+        .join(broadcast_if_small(groups, sizes.n_hot_groups), group)
         .select(*map(c, df.columns), position.alias(name))
     )
-    return small, large, hot_groups
+    return small, large
 
 
 def position_in_group(
@@ -167,55 +186,59 @@ def position_in_group(
 ) -> DataFrame:
     """``df`` plus ``name``, the 1-based position of each row inside its group."""
     workspace = workspace or Workspace(df.sparkSession)
-    small, large, _ = positions(df, group, order, counts, name, max_rows, workspace)
+    sizes = GroupSizes.of(counts, group, max_rows)
+    small, large = positions(df, group, order, sizes, name, workspace)
     return small if large is None else small.unionByName(large)
 
 
-def running_start(table: DataFrame, time: str, amount: Column, name: str) -> DataFrame:
+def running_start(
+    table: DataFrame, time: str, width: int, amount: Column, name: str
+) -> DataFrame:
     """``table`` plus ``name``, the sum of ``amount`` over all rows with an earlier ``time``.
 
-    ``time`` is unique and falls on whole seconds, so a day has at most 86,400
-    rows; only the day totals pass through one task.
+    ``time`` is unique and a multiple of ``width`` seconds. From a day up, the
+    calendar bounds the rows. Below, a day has at most 86,400 rows and only the
+    day totals pass through one task.
     """
-    table = table.select("*", time_bucket(c(time), DAY).alias(_DAY)).withColumn(
-        "_vl_amount", amount
-    )
-    earlier = Window.orderBy(c(_DAY)).rowsBetween(Window.unboundedPreceding, -1)
-    days = table.groupBy(_DAY).agg(F.sum("_vl_amount").alias("_vl_amount")).select(
-        _DAY, F.coalesce(F.sum("_vl_amount").over(earlier), F.lit(0)).alias("_vl_day_start")
-    )
-    in_day = (
-        Window.partitionBy(c(_DAY)).orderBy(c(time)).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    start = c("_vl_day_start") + F.coalesce(F.sum("_vl_amount").over(in_day), F.lit(0))
-    return (
-        table.join(days, _DAY)
-        .withColumn(name, start)
-        .drop(_DAY, "_vl_amount", "_vl_day_start")
-    )
+    table = table.withColumn(_AMOUNT, amount)
+    if width >= DAY:
+        return table.withColumn(name, earlier_sum(time)).drop(_AMOUNT)
+    table = table.select("*", time_bucket(c(time), DAY).alias(_DAY))
+    days = table.groupBy(_DAY).agg(F.sum(_AMOUNT).alias(_AMOUNT))
+    days = days.select(_DAY, earlier_sum(_DAY).alias(_START_OF_DAY))
+    start = c(_START_OF_DAY) + earlier_sum(time, within=_DAY)
+    return table.join(days, _DAY).withColumn(name, start).drop(_DAY, _AMOUNT, _START_OF_DAY)
 
 
-def second_counts(df: DataFrame, ts: str, workspace: Workspace) -> DataFrame:
-    """Rows per second, written out: the one extra pass an exact rank needs, over ``ts`` only."""
-    seconds = df.select(not_null(ts)).select(time_bucket(c(ts), 1).alias(_CELL))
-    counted = seconds.groupBy(_CELL).agg(F.count(F.lit(1)).alias("n_rows"))
-    return workspace.save(counted, "second-counts")
+@dataclass
+class TimeCells:
+    """Rows per time cell: ``width`` seconds wide, with the large ones known.
 
+    Counting seconds is the one extra pass an exact rank needs. It reads ``ts``
+    only, and its written result serves every later step of the same run.
+    """
 
-def _cells(seconds: DataFrame, max_rows: int) -> tuple[int, DataFrame]:
-    """The widest time cell whose fullest cell still fits one task, else one second."""
-    for width in CELL_WIDTHS:
-        cells = (
-            seconds.select(time_bucket(c(_CELL), width).alias(_CELL), "n_rows")
-            .groupBy(_CELL)
-            .agg(F.sum("n_rows").alias("n_rows"))
-        )
-        if width == CELL_WIDTHS[-1]:
-            break
-        fullest = cells.agg(F.max("n_rows")).first()[0] or 0
-        if fullest <= max_rows:
-            break
-    return width, cells
+    width: int
+    counts: DataFrame
+    sizes: GroupSizes
+
+    @classmethod
+    def count(
+        cls, df: DataFrame, ts: str, max_rows: int, workspace: Workspace
+    ) -> "TimeCells":
+        """Take the widest cell that fits one task everywhere, else single seconds."""
+        seconds = df.select(not_null(ts)).select(time_bucket(c(ts), 1).alias(_CELL))
+        counted = workspace.save(count_rows(seconds, _CELL), "second-counts")
+        for width in CELL_WIDTHS:
+            cells = (
+                counted.select(time_bucket(c(_CELL), width).alias(_CELL), "n_rows")
+                .groupBy(_CELL)
+                .agg(F.sum("n_rows").alias("n_rows"))
+            )
+            sizes = GroupSizes.of(cells, _CELL, max_rows)
+            if not sizes.n_hot_groups:
+                break
+        return cls(width, cells, sizes)
 
 
 def with_rank(
@@ -224,7 +247,7 @@ def with_rank(
     name: str = "rank",
     max_rows: int = MAX_TASK_ROWS,
     workspace: Workspace | None = None,
-    seconds: DataFrame | None = None,
+    cells: TimeCells | None = None,
 ) -> DataFrame:
     """``df`` plus ``name``, the exact 1-based position of each row in the whole ``order``.
 
@@ -234,25 +257,18 @@ def with_rank(
     """
     ts = order[0]
     workspace = workspace or Workspace(df.sparkSession)
-    if seconds is None:
-        seconds = second_counts(df, ts, workspace)
-    width, cells = _cells(seconds, max_rows)
-    starts = running_start(cells, _CELL, F.col("n_rows"), _START).drop("n_rows")
+    cells = cells or TimeCells.count(df, ts, max_rows, workspace)
+    starts = running_start(cells.counts, _CELL, cells.width, F.col("n_rows"), _START)
+    starts = starts.select(_CELL, _START)
 
     columns = df.columns
-    celled = df.withColumn(ts, not_null(ts)).select(
-        *map(c, columns), time_bucket(c(ts), width).alias(_CELL)
-    )
-    small, large, hot = positions(celled, _CELL, order, cells, name, max_rows, workspace)
+    celled = df.select(*map(c, columns), time_bucket(c(ts), cells.width).alias(_CELL))
+    small, large = positions(celled, _CELL, order, cells.sizes, name, workspace)
     rank = (c(_START) + c(name)).alias(name)
     ranked = small.join(starts, _CELL).select(*map(c, columns), rank)
     if large is None:
         return ranked
-    large_starts = starts.join(
-        broadcast_if_small(hot.keys.select(_CELL), hot.n_groups), _CELL, "left_semi"
-    )
-    return ranked.unionByName(
-        large.join(broadcast_if_small(large_starts, hot.n_groups), _CELL).select(
-            *map(c, columns), rank
-        )
-    )
+    n_hot = cells.sizes.n_hot_groups
+    hot_cells = broadcast_if_small(cells.sizes.hot.select(_CELL), n_hot)
+    hot_starts = broadcast_if_small(starts.join(hot_cells, _CELL, "left_semi"), n_hot)
+    return ranked.unionByName(large.join(hot_starts, _CELL).select(*map(c, columns), rank))

@@ -56,7 +56,7 @@ def q_bucket_label(spark, sf_dir):
 
 def q_bucket_manifest(spark, sf_dir):
     events = ops.as_of(_events(spark, sf_dir), "ts", AS_OF)
-    manifest = ops.bucket_manifest(ops.with_bucket(events, "ts", WIDTH), "ts")
+    manifest = ops.bucket_manifest(events, "ts", WIDTH)
     return manifest.select("bucket", "bucket_no", "n_rows")
 
 
@@ -152,7 +152,7 @@ def q_verify_export(spark, sf_dir):
 def q_run_metrics(spark, sf_dir):
     path = Workspace(spark).path("run-log")
     events = ops.as_of(_events(spark, sf_dir), "ts", AS_OF)
-    manifest = ops.bucket_manifest(ops.with_bucket(events, "ts", WIDTH), "ts")
+    manifest = ops.bucket_manifest(events, "ts", WIDTH)
     log_run(spark, path, "bucket", manifest)
     return run_log(spark, path).select(
         F.col("data_start_timestamp").cast("timestamp_ntz").alias("data_start_timestamp"),

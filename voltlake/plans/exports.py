@@ -5,7 +5,7 @@ import time
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import bucket_label, c
 from ..operators.batches import batch_manifest, batch_of, check_batch_size
@@ -18,8 +18,8 @@ from ..operators.buckets import (
 )
 from ..operators.ranking import (
     MAX_TASK_ROWS,
-    HotGroups,
-    second_counts,
+    GroupSizes,
+    TimeCells,
     spread_by_range,
     with_rank,
 )
@@ -50,18 +50,9 @@ class ExportResult:
     as_of: str | None = None
 
 
-def _files_needed(rows_per_file: int) -> Column:
-    return F.coalesce(F.sum(F.ceil(F.col("n_rows") / F.lit(rows_per_file))), F.lit(0))
-
-
-def _plan(manifest: DataFrame, rows_per_file: int, max_files: int) -> tuple[int, int]:
-    """Groups and rows of the export; refused here, before any write, if it makes too many files."""
-    groups, rows, files = manifest.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("n_rows"), F.lit(0)), _files_needed(rows_per_file)
-    ).first()
-    if files > max_files:
-        raise ValueError(f"export would write {files} files, more than max_files={max_files}")
-    return groups, rows
+def _refuse_too_many(n_files: int, max_files: int) -> None:
+    if n_files > max_files:
+        raise ValueError(f"export would write {n_files} files, more than max_files={max_files}")
 
 
 def _check_target(df: DataFrame, path: str, codec: str, mode: str) -> None:
@@ -108,19 +99,16 @@ def export_batches(
     _check_target(df, path, codec, mode)
     spark, ts, started = df.sparkSession, order[0], time.monotonic()
     with Workspace(spark) as workspace:
-        seconds = second_counts(df, ts, workspace)
-        total = seconds.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-        n_batches = math.ceil(total / n)
-        if n_batches > max_files:
-            raise ValueError(
-                f"export would write {n_batches} files, more than max_files={max_files}"
-            )
+        cells = TimeCells.count(df, ts, MAX_TASK_ROWS, workspace)
+        full, rest = divmod(cells.sizes.n_rows, n)
+        n_files = full * math.ceil(n / rows_per_file) + math.ceil(rest / rows_per_file)
+        _refuse_too_many(n_files, max_files)
         manifest = workspace.save(
-            batch_manifest(df, n, ts, workspace=workspace, seconds=seconds), "manifest"
+            batch_manifest(df, n, ts, workspace=workspace, cells=cells), "manifest"
         )
-        totals = _plan(manifest, rows_per_file, max_files)
+        totals = math.ceil(cells.sizes.n_rows / n), cells.sizes.n_rows
 
-        ranked = with_rank(df, list(order), _RANK, workspace=workspace, seconds=seconds)
+        ranked = with_rank(df, list(order), _RANK, workspace=workspace, cells=cells)
         batched = ranked.withColumn("batch_id", batch_of(c(_RANK), n))
         spread = [c("batch_id")]
         if n > rows_per_file:
@@ -160,24 +148,23 @@ def export_buckets(
     kept = as_of(df, ts, at)
     with Workspace(spark) as workspace:
         manifest = workspace.save(
-            bucket_manifest(with_bucket(kept.select(c(ts)), ts, seconds), ts), "manifest"
+            bucket_manifest(kept, ts, seconds, workspace), "manifest"
         )
-        totals = _plan(manifest, rows_per_file, max_files)
+        sizes = GroupSizes.of(manifest, "bucket", rows_per_file)
+        _refuse_too_many(sizes.n_pieces, max_files)
 
         bucketed = with_bucket(kept, ts, seconds)
-        hot = HotGroups.find(manifest, "bucket", rows_per_file)
-        small, large = hot.split(bucketed, "bucket")
+        small, large = sizes.split(bucketed, "bucket")
         keys = bucket_sort_keys(bucketed, measure, ts)
         rows = small.repartition(c("bucket"))
         if large is not None:
-            n_pieces = math.ceil(hot.n_rows / rows_per_file)
-            rows = rows.unionByName(spread_by_range(large, keys, n_pieces, workspace))
+            rows = rows.unionByName(spread_by_range(large, keys, sizes.n_hot_pieces, workspace))
         # Labels sort like their buckets, so this is also the order partitionBy asks for.
         rows = rows.withColumn("bucket_label", bucket_label(bucketed)).sortWithinPartitions(
             "bucket_label", *keys[1:]
         )
         _write(rows, manifest, path, "bucket_label", codec, mode)
-        return _result(spark, path, "bucket", "bucket_label", totals, rows, manifest, started, at)
+        return _result(spark, path, "bucket", "bucket_label", (sizes.n_groups, sizes.n_rows), rows, manifest, started, at)
 
 
 def verify_export(spark: SparkSession, path: str, manifest: DataFrame, key: str) -> DataFrame:
