@@ -1,0 +1,128 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import types as T
+
+from voltlake import check_contract, enforce, export_names, write_parquet
+from voltlake.schema import file_labels, file_schema, readings_schema, table_columns
+
+NARROW = T.StructType(
+    [T.StructField("temp", T.DecimalType(5, 3)), T.StructField("charge", T.LongType())]
+)
+
+
+def measures(spark):
+    rows = [
+        (1, Decimal("99.999"), Decimal("50.000")),
+        (2, Decimal("100.000"), Decimal("98.800")),
+        (3, None, None),
+        (4, Decimal("20.000"), Decimal("-98.800")),
+    ]
+    return spark.createDataFrame(rows, "id int, temp decimal(6,3), charge decimal(6,3)")
+
+
+def test_schemas_are_built_from_the_battery_count():
+    assert len(readings_schema().fields) == 19
+    assert table_columns(1) == ["time_stamp", "bat1_temp", "bat1_charge", "bat1_voltage"]
+    assert file_labels("bucket", 1) == [
+        "bucket", "time_stamp", "bat 1 temp", "bat 1 charge", "bat 1 voltage"
+    ]
+    assert file_labels("count", 1)[0] == "timestamp"
+    assert file_labels("sheet", 1)[3] == " bat 1 voltage"
+    assert len(file_labels("bucket")) == 20 and len(file_labels("count")) == 19
+    narrow = file_schema("bucket", narrow=True)
+    assert narrow["bat 6 charge"].dataType == T.LongType()
+    assert narrow["bat 6 temp"].dataType == T.DecimalType(5, 3)
+    assert file_schema("count")["bat 6 charge"].dataType == T.DecimalType(6, 3)
+    assert file_schema("sheet")[" bat 1 voltage"].dataType == T.DoubleType()
+    with pytest.raises(ValueError):
+        file_labels("other")
+
+
+@pytest.mark.parametrize("layout", ["count", "sheet"])
+def test_renaming_is_by_position_and_survives_parquet(spark, sensor_table, folder, layout):
+    table = spark.read.parquet(sensor_table)
+    renamed = export_names(table, layout)
+    renamed.write.parquet(folder("out"))
+    back = spark.read.parquet(folder("out"))
+    assert back.columns == file_labels(layout)
+    assert back.exceptAll(table.toDF(*back.columns)).count() == 0
+    with pytest.raises(ValueError):
+        export_names(table.drop("bat6_voltage"), layout)
+
+
+def test_check_names_what_does_not_fit(spark):
+    rows = check_contract(measures(spark), NARROW).orderBy("id").collect()
+    assert [(r.temp, r.charge, r.rejected_columns, r.lossy_columns) for r in rows] == [
+        (Decimal("99.999"), 50, [], []),
+        (None, 98, ["temp"], ["charge"]),
+        (None, None, [], []),
+        (Decimal("20.000"), -98, [], ["charge"]),
+    ]
+
+
+def test_fail_policy_stops_the_job(spark):
+    good, bad = enforce(measures(spark), NARROW)
+    assert bad is None
+    with pytest.raises(Exception, match="temp does not fit decimal"):
+        good.collect()
+    fitting, _ = enforce(measures(spark).filter("id <> 2"), NARROW)
+    assert fitting.schema["charge"].dataType == T.LongType()
+    assert fitting.count() == 3
+
+
+def test_quarantine_keeps_every_row(spark):
+    good, bad = enforce(measures(spark), NARROW, "quarantine")
+    assert sorted(r.id for r in good.collect()) == [1, 3, 4]
+    assert [(r.id, r.temp, r.rejected_columns) for r in bad.collect()] == [
+        (2, Decimal("100.000"), ["temp"])
+    ]
+    assert bad.schema["temp"].dataType == T.DecimalType(6, 3)
+
+
+def test_lossy_values_can_be_refused(spark):
+    good, bad = enforce(measures(spark), NARROW, "quarantine", allow_lossy=False)
+    assert sorted(r.id for r in good.collect()) == [1, 3]
+    assert {r.id: r.rejected_columns for r in bad.collect()} == {
+        2: ["temp", "charge"],
+        4: ["charge"],
+    }
+    with pytest.raises(Exception, match="charge does not fit bigint"):
+        enforce(measures(spark).filter("id = 4"), NARROW, allow_lossy=False)[0].collect()
+
+
+def test_contract_with_nothing_to_change(spark):
+    frame = measures(spark)
+    same = T.StructType([frame.schema["temp"]])
+    assert check_contract(frame, same).filter("size(rejected_columns) > 0").count() == 0
+    good, bad = enforce(frame, same, "quarantine")
+    assert (good.count(), bad.count()) == (4, 0)
+
+
+def test_wrong_arguments(spark, folder):
+    frame = measures(spark)
+    with pytest.raises(ValueError):
+        enforce(frame, NARROW, "ignore")
+    with pytest.raises(ValueError):
+        enforce(frame.drop("temp"), NARROW)
+    with pytest.raises(ValueError):
+        write_parquet(frame, folder("out"), schema=NARROW, policy="quarantine")
+    with pytest.raises(ValueError):
+        write_parquet(frame, folder("out"), codec="zip")
+
+
+def test_parquet_sink_with_quarantine(spark, folder):
+    write_parquet(
+        measures(spark), folder("good"), schema=NARROW,
+        policy="quarantine", quarantine_path=folder("bad"),
+    )
+    good = spark.read.parquet(folder("good"))
+    assert good.schema["temp"].dataType == T.DecimalType(5, 3)
+    assert (good.count(), spark.read.parquet(folder("bad")).count()) == (3, 1)
+
+
+def test_failed_contract_writes_nothing(spark, folder):
+    with pytest.raises(Exception, match="does not fit"):
+        write_parquet(measures(spark), folder("out"), schema=NARROW)
+    with pytest.raises(Exception):
+        spark.read.parquet(folder("out")).count()

@@ -55,12 +55,24 @@ def sort_keys(df: DataFrame, order: list[str]) -> list[Column]:
     return keys
 
 
+def _is_plain_scan(df: DataFrame) -> bool:
+    """Only filters and projections over one stored table, so each row is one stored row."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.children().size() == 1:
+        if plan.nodeName() not in ("Project", "Filter", "SubqueryAlias", "View"):
+            return False
+        plan = plan.children().head()
+    return plan.children().isEmpty()
+
+
 def with_address(df: DataFrame) -> DataFrame | None:
     """Add a number that tells copies of a row apart: a hash of file and row index.
 
     It depends on the stored data only, so a repeated task computes it again
-    unchanged. None when the rows do not come straight from Parquet files.
+    unchanged. None when the rows are not plainly those of Parquet files.
     """
+    if not _is_plain_scan(df):
+        return None
     try:
         return df.withColumn(ADDRESS, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     except AnalysisException:

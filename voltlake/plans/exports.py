@@ -32,7 +32,6 @@ MAX_FILES = 10_000
 MANIFEST = "_manifest"
 
 _RANK = "_vl_rank"
-_PART = "_vl_part"
 
 
 @dataclass
@@ -63,8 +62,11 @@ def _check_target(df: DataFrame, path: str, codec: str, mode: str) -> None:
         refuse_own_input(df, path)
 
 
-def _write(rows: DataFrame, manifest: DataFrame, path: str, key: str, codec: str, mode: str):
-    rows.write.mode(mode).option("compression", codec).partitionBy(key).parquet(path)
+def _write(
+    rows: DataFrame, manifest: DataFrame, path: str, key: str, codec: str, mode: str, **options: int
+) -> None:
+    writer = rows.write.mode(mode).option("compression", codec).options(**options)
+    writer.partitionBy(key).parquet(path)
     manifest.write.parquet(f"{path}/{MANIFEST}")
 
 
@@ -110,17 +112,19 @@ def export_batches(
 
         ranked = with_rank(df, list(order), _RANK, workspace=workspace, cells=cells)
         batched = ranked.withColumn("batch_id", batch_of(c(_RANK), n))
-        spread = [c("batch_id")]
+        spread, options = [c("batch_id")], {}
         if n > rows_per_file:
+            # Parts of one batch may share a task; all but the last are full, so
+            # the writer's own limit cuts between them.
             in_batch = (c(_RANK) - 1) % F.lit(n)
-            batched = batched.withColumn(_PART, F.call_function("div", in_batch, F.lit(rows_per_file)))
-            spread.append(c(_PART))
+            spread.append(F.call_function("div", in_batch, F.lit(rows_per_file)))
+            options["maxRecordsPerFile"] = rows_per_file
         rows = (
             batched.repartition(*spread)
             .sortWithinPartitions("batch_id", _RANK)
             .select(*map(c, df.columns), "batch_id")
         )
-        _write(rows, manifest, path, "batch_id", codec, mode)
+        _write(rows, manifest, path, "batch_id", codec, mode, **options)
         return _result(spark, path, "count", "batch_id", totals, rows, manifest, started)
 
 
@@ -147,9 +151,7 @@ def export_buckets(
     at = resolve_as_of(df, ts, at)
     kept = as_of(df, ts, at)
     with Workspace(spark) as workspace:
-        manifest = workspace.save(
-            bucket_manifest(kept, ts, seconds, workspace), "manifest"
-        )
+        manifest = workspace.save(bucket_manifest(kept, ts, seconds, workspace), "manifest")
         sizes = GroupSizes.of(manifest, "bucket", rows_per_file)
         _refuse_too_many(sizes.n_pieces, max_files)
 
@@ -164,7 +166,10 @@ def export_buckets(
             "bucket_label", *keys[1:]
         )
         _write(rows, manifest, path, "bucket_label", codec, mode)
-        return _result(spark, path, "bucket", "bucket_label", (sizes.n_groups, sizes.n_rows), rows, manifest, started, at)
+        totals = sizes.n_groups, sizes.n_rows
+        return _result(
+            spark, path, "bucket", "bucket_label", totals, rows, manifest, started, at
+        )
 
 
 def verify_export(spark: SparkSession, path: str, manifest: DataFrame, key: str) -> DataFrame:
