@@ -70,18 +70,9 @@ def position_in_bucket(
     return position_in_group(df, bucket, order, counts, name, max_rows, workspace)
 
 
-def bucket_manifest(
-    df: DataFrame,
-    ts: str = "time_stamp",
-    seconds: int = 5,
-    workspace: Workspace | None = None,
-) -> DataFrame:
-    """One row per non-empty bucket: its ordinal in time order, label, row count and time range.
-
-    Reads ``ts`` only. Ordinals are a running count, for buckets below a day over
-    the written counts, so that the rows are scanned once.
-    """
-    counted = (
+def bucket_counts(df: DataFrame, ts: str, seconds: int) -> DataFrame:
+    """Row count and time range of each non-empty bucket; reads ``ts`` only."""
+    return (
         with_bucket(df.select(c(ts)), ts, seconds)
         .groupBy("bucket")
         .agg(
@@ -90,14 +81,33 @@ def bucket_manifest(
             F.max(c(ts)).alias("ts_to"),
         )
     )
-    if seconds < DAY:
-        counted = (workspace or Workspace(df.sparkSession)).save(counted, "bucket-counts")
+
+
+def number_buckets(counts: DataFrame, seconds: int) -> DataFrame:
+    """Add to the bucket counts each bucket's ordinal in time order and its label."""
     one = F.lit(1).cast("bigint")
-    return running_start(counted, "bucket", seconds, one, "earlier").select(
+    return running_start(counts, "bucket", seconds, one, "earlier").select(
         "bucket",
         (c("earlier") + 1).alias("bucket_no"),
-        bucket_label(counted).alias("bucket_label"),
+        bucket_label(counts).alias("bucket_label"),
         "n_rows",
         "ts_from",
         "ts_to",
     )
+
+
+def bucket_manifest(
+    df: DataFrame,
+    ts: str = "time_stamp",
+    seconds: int = 5,
+    workspace: Workspace | None = None,
+) -> DataFrame:
+    """One row per non-empty bucket: its ordinal in time order, label, row count and time range.
+
+    Buckets below a day are numbered in two steps over their counts, which are
+    written out first so that the rows are scanned once.
+    """
+    counts = bucket_counts(df, ts, seconds)
+    if seconds < DAY:
+        counts = (workspace or Workspace(df.sparkSession)).save(counts, "bucket-counts")
+    return number_buckets(counts, seconds)

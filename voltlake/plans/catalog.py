@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import operators as ops
 from ..functions import bucket_label, time_bucket
+from ..schema import MEASURES
 from ..sources import (
     export_csv,
     load_csv,
@@ -131,7 +132,9 @@ def q_csv_load(spark, sf_dir):
 
 
 def q_rename_export(spark, sf_dir):
-    return _events(spark, sf_dir).select("ts", "value").toDF("timestamp", "bat 1 temp")
+    one_battery = [F.col("value").alias(m) for m in MEASURES]
+    named = ops.export_names(_events(spark, sf_dir).select("ts", *one_battery), "count", 1)
+    return named.select("timestamp", "bat 1 temp")
 
 
 def q_readings_scan(spark, sf_dir):

@@ -11,8 +11,9 @@ from ..functions import bucket_label, c
 from ..operators.batches import batch_manifest, batch_of, check_batch_size
 from ..operators.buckets import (
     as_of,
-    bucket_manifest,
+    bucket_counts,
     bucket_sort_keys,
+    number_buckets,
     resolve_as_of,
     with_bucket,
 )
@@ -105,9 +106,7 @@ def export_batches(
         full, rest = divmod(cells.sizes.n_rows, n)
         n_files = full * math.ceil(n / rows_per_file) + math.ceil(rest / rows_per_file)
         _refuse_too_many(n_files, max_files)
-        manifest = workspace.save(
-            batch_manifest(df, n, ts, workspace=workspace, cells=cells), "manifest"
-        )
+        manifest = batch_manifest(df, n, ts, workspace=workspace, cells=cells)
         totals = math.ceil(cells.sizes.n_rows / n), cells.sizes.n_rows
 
         ranked = with_rank(df, list(order), _RANK, workspace=workspace, cells=cells)
@@ -151,8 +150,8 @@ def export_buckets(
     at = resolve_as_of(df, ts, at)
     kept = as_of(df, ts, at)
     with Workspace(spark) as workspace:
-        manifest = workspace.save(bucket_manifest(kept, ts, seconds, workspace), "manifest")
-        sizes = GroupSizes.of(manifest, "bucket", rows_per_file)
+        counts = workspace.save(bucket_counts(kept, ts, seconds), "bucket-counts")
+        sizes = GroupSizes.of(counts, "bucket", rows_per_file)
         _refuse_too_many(sizes.n_pieces, max_files)
 
         bucketed = with_bucket(kept, ts, seconds)
@@ -165,6 +164,7 @@ def export_buckets(
         rows = rows.withColumn("bucket_label", bucket_label(bucketed)).sortWithinPartitions(
             "bucket_label", *keys[1:]
         )
+        manifest = number_buckets(counts, seconds)
         _write(rows, manifest, path, "bucket_label", codec, mode)
         totals = sizes.n_groups, sizes.n_rows
         return _result(
