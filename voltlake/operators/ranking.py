@@ -1,7 +1,7 @@
 """Exact row positions without a single-task sort.
 
 Rows are numbered inside groups (time cells or buckets). A group that one task
-can sort gets a plain window. A larger group, be it a busy second, one repeated
+can sort gets a plain window. A larger group, be it a busy minute, one repeated
 timestamp or many copies of one row, is spread over tasks by a range sort and
 numbered from the sizes of the sorted pieces.
 """
@@ -22,7 +22,8 @@ MAX_TASK_ROWS = 5_000_000
 # Row count up to which a table of (key, number) pairs is broadcast: about 16 MB.
 MAX_BROADCAST_ROWS = 500_000
 
-CELL_WIDTHS = (DAY, 3600, 60, 1)
+HOUR = 3600
+MINUTE = 60
 
 ADDRESS = "_vl_address"
 _SEQUENCE = "_vl_sequence"
@@ -38,21 +39,18 @@ _ROW_BITS = 33
 
 
 def sort_keys(df: DataFrame, order: list[str]) -> list[Column]:
-    """``order`` ascending with nulls last, ties broken by the content of the other columns.
+    """``order``, then every other column, all ascending with nulls last.
 
-    Maps and variants cannot be hashed and take no part in the tie-break.
+    No key or uniqueness is declared on readings, so only the whole row settles
+    a tie. Maps and variants have no order and take no part.
     """
+    unordered = ("map<", "variant")
     rest = [
         f.name
         for f in df.schema
-        if f.name not in order
-        and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))
+        if f.name not in order and not any(t in f.dataType.simpleString() for t in unordered)
     ]
-    keys = [c(name).asc_nulls_last() for name in order]
-    if rest:
-        # The null flags keep (null, 1) and (1, null) apart.
-        keys.append(F.xxhash64(*[c(n) for n in rest], *[c(n).isNull() for n in rest]).asc())
-    return keys
+    return [c(name).asc_nulls_last() for name in [*order, *rest]]
 
 
 def _is_plain_scan(df: DataFrame) -> bool:
@@ -167,7 +165,10 @@ def positions(
         return small, None
 
     # Written once: sequence numbers and piece sizes must come from one evaluation.
-    spread = spread_by_range(large, keys, sizes.n_hot_pieces, workspace)
+    n_pieces = max(
+        sizes.n_hot_pieces, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    )
+    spread = spread_by_range(large, keys, n_pieces, workspace)
     written = workspace.save(
         spread.withColumn(_SEQUENCE, F.monotonically_increasing_id()), "sorted-groups"
     ).withColumn(_PIECE, F.shiftright(c(_SEQUENCE), _ROW_BITS))
@@ -180,7 +181,7 @@ def positions(
     row_in_piece = c(_SEQUENCE).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     position = c("_vl_piece_start") + row_in_piece + 1 - c("_vl_group_start")
     large = (
-        written.join(broadcast_if_small(pieces, sizes.n_hot_pieces), _PIECE)
+        written.join(broadcast_if_small(pieces, n_pieces), _PIECE)
         .join(broadcast_if_small(groups, sizes.n_hot_groups), group)
         .select(*map(c, df.columns), position.alias(name))
     )
@@ -226,8 +227,8 @@ def running_start(
 class TimeCells:
     """Rows per time cell: ``width`` seconds wide, with the large ones known.
 
-    Counting seconds is the one extra pass an exact rank needs. It reads ``ts``
-    only, and its written result serves every later step of the same run.
+    Counting the cells is the one extra pass an exact rank needs. It reads
+    ``ts`` only, and its written result serves every later step of the same run.
     """
 
     width: int
@@ -235,22 +236,31 @@ class TimeCells:
     sizes: GroupSizes
 
     @classmethod
-    def count(
-        cls, df: DataFrame, ts: str, max_rows: int, workspace: Workspace
-    ) -> "TimeCells":
-        """Take the widest cell that fits one task everywhere, else single seconds."""
-        seconds = df.select(not_null(ts)).select(time_bucket(c(ts), 1).alias(_CELL))
-        counted = workspace.save(count_rows(seconds, _CELL), "second-counts")
-        for width in CELL_WIDTHS:
-            cells = (
-                counted.select(time_bucket(c(_CELL), width).alias(_CELL), "n_rows")
-                .groupBy(_CELL)
-                .agg(F.sum("n_rows").alias("n_rows"))
-            )
-            sizes = GroupSizes.of(cells, _CELL, max_rows)
-            if not sizes.n_hot_groups:
-                break
-        return cls(width, cells, sizes)
+    def count(cls, df: DataFrame, ts: str, max_rows: int, workspace: Workspace) -> "TimeCells":
+        """Take the widest cell that fits one task everywhere.
+
+        If not even minutes do, the few busy ones are left to the range sort;
+        when they hold most of the rows, single seconds are counted instead.
+        """
+        counted = _count_cells(df, ts, MINUTE, workspace)
+        for width in (DAY, HOUR, MINUTE):
+            cells = cls._rolled_up(counted, width, max_rows)
+            if not cells.sizes.n_hot_groups:
+                return cells
+        if cells.sizes.n_hot_rows > cells.sizes.n_rows / 2:
+            return cls._rolled_up(_count_cells(df, ts, 1, workspace), 1, max_rows)
+        return cells
+
+    @classmethod
+    def _rolled_up(cls, counted: DataFrame, width: int, max_rows: int) -> "TimeCells":
+        wider = counted.select(time_bucket(c(_CELL), width).alias(_CELL), "n_rows")
+        counts = wider.groupBy(_CELL).agg(F.sum("n_rows").alias("n_rows"))
+        return cls(width, counts, GroupSizes.of(counts, _CELL, max_rows))
+
+
+def _count_cells(df: DataFrame, ts: str, width: int, workspace: Workspace) -> DataFrame:
+    cells = df.select(not_null(ts)).select(time_bucket(c(ts), width).alias(_CELL))
+    return workspace.save(count_rows(cells, _CELL), "cell-counts")
 
 
 def with_rank(

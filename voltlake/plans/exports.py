@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import bucket_label, c
-from ..operators.batches import batch_manifest, batch_of, check_batch_size
+from ..operators.batches import batch_of, check_batch_size
 from ..operators.buckets import (
     as_of,
     bucket_counts,
@@ -32,12 +32,19 @@ MAX_FILES = 10_000
 # Folder of the manifest inside an export; readers of the export skip it.
 MANIFEST = "_manifest"
 
+# The folder column of an export tells its run type.
+RUN_TYPES = {"batch_id": "count", "bucket_label": "bucket"}
+
 _RANK = "_vl_rank"
 
 
 @dataclass
 class ExportResult:
-    """What an export wrote. ``manifest`` reads the manifest stored beside the data."""
+    """What an export wrote. ``manifest`` reads the manifest stored beside the data.
+
+    The manifest has the row count each group must have, found before the rows
+    were written: bucket sizes by counting, batch sizes from the total.
+    """
 
     path: str
     run_type: str
@@ -64,23 +71,34 @@ def _check_target(df: DataFrame, path: str, codec: str, mode: str) -> None:
 
 
 def _write(
-    rows: DataFrame, manifest: DataFrame, path: str, key: str, codec: str, mode: str, **options: int
+    rows: DataFrame, path: str, key: str, codec: str, mode: str, **options: int
 ) -> None:
     writer = rows.write.mode(mode).option("compression", codec).options(**options)
     writer.partitionBy(key).parquet(path)
-    manifest.write.parquet(f"{path}/{MANIFEST}")
 
 
-def _result(
-    spark: SparkSession, path: str, run_type: str, key: str, totals: tuple[int, int],
-    rows: DataFrame, manifest: DataFrame, started: float, at: str | None = None,
+def _finish(
+    rows: DataFrame, manifest: DataFrame, path: str, key: str, totals: tuple[int, int], started: float
 ) -> ExportResult:
-    n_groups, n_rows = totals
+    """Store the manifest beside the data and sum up the run."""
+    spark = rows.sparkSession
+    manifest.write.parquet(f"{path}/{MANIFEST}")
+    stored = spark.read.schema(manifest.schema).parquet(f"{path}/{MANIFEST}")
     # Bounded by max_files, so the list fits the driver.
     n_files = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
-    stored = spark.read.schema(manifest.schema).parquet(f"{path}/{MANIFEST}")
     elapsed_ms = round((time.monotonic() - started) * 1000)
-    return ExportResult(path, run_type, key, stored, n_rows, n_groups, n_files, elapsed_ms, at)
+    n_groups, n_rows = totals
+    run_type = RUN_TYPES[key]
+    return ExportResult(path, run_type, key, stored, n_rows, n_groups, n_files, elapsed_ms)
+
+
+def _batch_sizes(spark: SparkSession, n_rows: int, n: int) -> DataFrame:
+    """The batches that ``n_rows`` rows make, from arithmetic alone."""
+    n_before = (F.col("id") - 1) * F.lit(n)
+    return spark.range(1, math.ceil(n_rows / n) + 1).select(
+        F.col("id").alias("batch_id"),
+        F.least(F.lit(n).cast("bigint"), F.lit(n_rows) - n_before).alias("n_rows"),
+    )
 
 
 def export_batches(
@@ -103,12 +121,10 @@ def export_batches(
     spark, ts, started = df.sparkSession, order[0], time.monotonic()
     with Workspace(spark) as workspace:
         cells = TimeCells.count(df, ts, MAX_TASK_ROWS, workspace)
-        full, rest = divmod(cells.sizes.n_rows, n)
+        n_rows = cells.sizes.n_rows
+        full, rest = divmod(n_rows, n)
         n_files = full * math.ceil(n / rows_per_file) + math.ceil(rest / rows_per_file)
         _refuse_too_many(n_files, max_files)
-        manifest = batch_manifest(df, n, ts, workspace=workspace, cells=cells)
-        totals = math.ceil(cells.sizes.n_rows / n), cells.sizes.n_rows
-
         ranked = with_rank(df, list(order), _RANK, workspace=workspace, cells=cells)
         batched = ranked.withColumn("batch_id", batch_of(c(_RANK), n))
         spread, options = [c("batch_id")], {}
@@ -123,8 +139,12 @@ def export_batches(
             .sortWithinPartitions("batch_id", _RANK)
             .select(*map(c, df.columns), "batch_id")
         )
-        _write(rows, manifest, path, "batch_id", codec, mode, **options)
-        return _result(spark, path, "count", "batch_id", totals, rows, manifest, started)
+        _write(rows, path, "batch_id", codec, mode, **options)
+
+        written = spark.read.schema(rows.schema).parquet(path).groupBy("batch_id")
+        times = written.agg(F.min(c(ts)).alias("ts_from"), F.max(c(ts)).alias("ts_to"))
+        manifest = _batch_sizes(spark, n_rows, n).join(times, "batch_id", "left")
+        return _finish(rows, manifest, path, "batch_id", (math.ceil(n_rows / n), n_rows), started)
 
 
 def export_buckets(
@@ -164,12 +184,13 @@ def export_buckets(
         rows = rows.withColumn("bucket_label", bucket_label(bucketed)).sortWithinPartitions(
             "bucket_label", *keys[1:]
         )
+        _write(rows, path, "bucket_label", codec, mode)
+
         manifest = number_buckets(counts, seconds)
-        _write(rows, manifest, path, "bucket_label", codec, mode)
         totals = sizes.n_groups, sizes.n_rows
-        return _result(
-            spark, path, "bucket", "bucket_label", totals, rows, manifest, started, at
-        )
+        result = _finish(rows, manifest, path, "bucket_label", totals, started)
+        result.as_of = at
+        return result
 
 
 def verify_export(spark: SparkSession, path: str, manifest: DataFrame, key: str) -> DataFrame:
