@@ -65,6 +65,14 @@ def test_rank_equals_brute_force(spark, folder, max_rows):
     assert got == expected
 
 
+def test_cells_too_many_for_one_task(spark, folder, monkeypatch):
+    rows = [(START + timedelta(minutes=i * i % 9973), i, "x") for i in range(300)]
+    frame = table(spark, folder("t"), rows)
+    monkeypatch.setattr(ranking, "MAX_TASK_ROWS", 20)
+    ranked = with_rank(frame, ["ts", "id"], max_rows=10).orderBy("rank").collect()
+    assert [r.id for r in ranked] == [i for _, i, _ in sorted(rows)]
+
+
 @pytest.mark.parametrize("max_rows", [5_000_000, 7])
 def test_rank_does_not_depend_on_the_session_zone(chicago, folder, max_rows):
     frame = table(chicago, folder("t"), steps(60))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import sensor_rows, utc
+from voltlake.operators import ranking
 from voltlake import (
     as_of,
     bucket_label,
@@ -147,10 +148,21 @@ def test_manifest_of_nothing(spark, sensor_table):
     assert bucket_manifest(empty, "time_stamp", 5).count() == 0
 
 
-def test_manifest_ranks_no_rows_in_one_task(spark, sensor_table):
-    """The only single-partition exchange is the one over day totals."""
-    manifest = bucket_manifest(spark.read.parquet(sensor_table), "time_stamp", 5)
+@pytest.mark.parametrize("seconds", [7, 420])
+def test_manifest_of_many_buckets_is_numbered_by_day(spark, sensor_table, monkeypatch, seconds):
+    """Beyond the size of one task only day totals meet in a single partition."""
+    table = spark.read.parquet(sensor_table)
+    expected = bucket_manifest(table, "time_stamp", seconds).collect()
+    monkeypatch.setattr(ranking, "MAX_TASK_ROWS", 3)
+    manifest = bucket_manifest(table, "time_stamp", seconds)
     plan = manifest._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SinglePartition") == 1
     below = plan[plan.index("SinglePartition"):].split("\n", 2)[1]
     assert "HashAggregate(keys=[_vl_day" in below
+    assert sorted(manifest.collect()) == sorted(expected)
+
+
+def test_manifest_scans_the_rows_once(spark, sensor_table):
+    manifest = bucket_manifest(spark.read.parquet(sensor_table), "time_stamp", 86400)
+    plan = manifest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<time_stamp:timestamp>" in plan

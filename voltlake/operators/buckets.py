@@ -10,6 +10,9 @@ from ..functions.timebuckets import DAY
 from ..workspace import Workspace
 from .ranking import MAX_TASK_ROWS, count_rows, position_in_group, running_start, sort_keys
 
+# Days in the years 1 to 9999, the range of a timestamp.
+CALENDAR_DAYS = 3_652_059
+
 
 def resolve_as_of(df: DataFrame, ts: str, at: datetime | str | None = None) -> str:
     """The cut-off of a run as text, fixed once so that every step sees the same instant.
@@ -83,10 +86,10 @@ def bucket_counts(df: DataFrame, ts: str, seconds: int) -> DataFrame:
     )
 
 
-def number_buckets(counts: DataFrame, seconds: int) -> DataFrame:
+def number_buckets(counts: DataFrame, n_buckets: int) -> DataFrame:
     """Add to the bucket counts each bucket's ordinal in time order and its label."""
     one = F.lit(1).cast("bigint")
-    return running_start(counts, "bucket", seconds, one, "earlier").select(
+    return running_start(counts, "bucket", n_buckets, one, "earlier").select(
         "bucket",
         (c("earlier") + 1).alias("bucket_no"),
         bucket_label(counts).alias("bucket_label"),
@@ -104,10 +107,11 @@ def bucket_manifest(
 ) -> DataFrame:
     """One row per non-empty bucket: its ordinal in time order, label, row count and time range.
 
-    Buckets below a day are numbered in two steps over their counts, which are
-    written out first so that the rows are scanned once.
+    The calendar bounds the number of buckets of a day or more. Narrower ones
+    are written out and counted first, so that the rows are scanned once.
     """
     counts = bucket_counts(df, ts, seconds)
-    if seconds < DAY:
-        counts = (workspace or Workspace(df.sparkSession)).save(counts, "bucket-counts")
-    return number_buckets(counts, seconds)
+    if seconds >= DAY:
+        return number_buckets(counts, CALENDAR_DAYS)
+    counts = (workspace or Workspace(df.sparkSession)).save(counts, "bucket-counts")
+    return number_buckets(counts, counts.count())

@@ -205,16 +205,16 @@ def position_in_group(
 
 
 def running_start(
-    table: DataFrame, time: str, width: int, amount: Column, name: str
+    table: DataFrame, time: str, n_rows: int, amount: Column, name: str
 ) -> DataFrame:
     """``table`` plus ``name``, the sum of ``amount`` over all rows with an earlier ``time``.
 
-    ``time`` is unique and a multiple of ``width`` seconds. From a day up, the
-    calendar bounds the rows. Below, a day has at most 86,400 rows and only the
-    day totals pass through one task.
+    ``time`` is unique and falls on whole seconds. A table of ``n_rows`` that one
+    task can sort gets a plain window. Beyond that the sum runs inside each day,
+    over at most 86,400 rows, and only the day totals pass through one task.
     """
     table = table.withColumn(_AMOUNT, amount)
-    if width >= DAY:
+    if n_rows <= MAX_TASK_ROWS:
         return table.withColumn(name, earlier_sum(time)).drop(_AMOUNT)
     table = table.select("*", time_bucket(c(time), DAY).alias(_DAY))
     days = table.groupBy(_DAY).agg(F.sum(_AMOUNT).alias(_AMOUNT))
@@ -280,8 +280,9 @@ def with_rank(
     ts = order[0]
     workspace = workspace or Workspace(df.sparkSession)
     cells = cells or TimeCells.count(df, ts, max_rows, workspace)
-    starts = running_start(cells.counts, _CELL, cells.width, F.col("n_rows"), _START)
-    starts = starts.select(_CELL, _START)
+    starts = running_start(
+        cells.counts, _CELL, cells.sizes.n_groups, F.col("n_rows"), _START
+    ).select(_CELL, _START)
 
     columns = df.columns
     celled = df.select(*map(c, columns), time_bucket(c(ts), cells.width).alias(_CELL))

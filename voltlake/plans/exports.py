@@ -186,7 +186,7 @@ def export_buckets(
         )
         _write(rows, path, "bucket_label", codec, mode)
 
-        manifest = number_buckets(counts, seconds)
+        manifest = number_buckets(counts, sizes.n_groups)
         totals = sizes.n_groups, sizes.n_rows
         result = _finish(rows, manifest, path, "bucket_label", totals, started)
         result.as_of = at
