@@ -91,6 +91,20 @@ def test_lossy_values_can_be_refused(spark):
         enforce(measures(spark).filter("id = 4"), NARROW, allow_lossy=False)[0].collect()
 
 
+def test_all_columns_at_once(spark, sensor_table):
+    """Filters on the outcome of 18 typed columns still plan in time."""
+    rows = export_names(spark.read.parquet(sensor_table), "count")
+    contract = file_schema("count", narrow=True)
+    checked = check_contract(rows, contract)
+    bad_rows = checked.filter("size(rejected_columns) > 0")
+    assert {r.rejected_columns[0] for r in bad_rows.collect()} == {"bat 1 temp"}
+    lossy_rows = checked.filter("size(lossy_columns) > 0 and `bat 1 temp` is null")
+    assert [len(r.lossy_columns) for r in lossy_rows.collect()] == [6]
+    good, bad = enforce(rows, contract, "quarantine", allow_lossy=False)
+    assert good.filter("`bat 1 charge` > 0").count() + bad.count() == rows.count()
+    assert bad.count() == 2
+
+
 def test_contract_with_nothing_to_change(spark):
     frame = measures(spark)
     same = T.StructType([frame.schema["temp"]])

@@ -262,6 +262,27 @@ def test_narrow_job_fails_on_a_large_value_and_types_the_rest(spark, sensor_tabl
             assert written[field.name].dataType == field.dataType
 
 
+def test_narrow_job_can_set_rows_apart(spark, sensor_table, folder):
+    result = export_job(
+        spark, sensor_table, folder("out"), "bucket", 60, at=LATE,
+        narrow=True, quarantine_path=folder("bad"),
+    )
+    bad = spark.read.parquet(folder("bad"))
+    assert {str(r["bat 1 temp"]) for r in bad.collect()} == {"100.000", "999.999"}
+    assert result.n_rows + bad.count() == TOTAL
+
+
+def test_a_dynamic_overwrite_session_still_replaces_the_export(spark, sensor_table, folder):
+    table = spark.read.parquet(sensor_table)
+    export_batches(table, folder("out"), 5)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        result = export_batches(table, folder("out"), 30)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert len(files_by_folder(folder("out"))) == -(-TOTAL // 30) == result.manifest.count()
+
+
 def test_run_log_rules(spark, sensor_table, folder):
     table = spark.read.parquet(sensor_table)
     result = export_buckets(table, folder("out"), 60, at="1900-01-01")

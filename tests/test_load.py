@@ -1,11 +1,13 @@
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import sensor_rows
 from voltlake import (
     append_readings,
+    as_of,
     export_csv,
     load_csv,
     load_job,
@@ -106,6 +108,18 @@ def test_ordered_scan_returns_every_row_in_time_order(spark, sensor_table):
     assert order_readings(table.unionAll(table)).count() == 2 * len(times)
 
 
+def test_stored_instants_have_statistics(spark, sensor_table, folder):
+    append_readings(readings(spark, sensor_table).coalesce(1), folder("table"))
+    file = next(f for f in os.listdir(folder("table")) if f.endswith(".parquet"))
+    group = pq.ParquetFile(os.path.join(folder("table"), file)).metadata.row_group(0)
+    assert group.column(0).physical_type == "INT64"
+    assert group.column(0).statistics.has_min_max
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "INT96"
+    rows = as_of(readings(spark, folder("table")), "time_stamp", "2000-01-01")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == 2 and "PushedFilters: [IsNotNull(time_stamp), LessThan(time_stamp" in plan
+
+
 def test_row_count_reads_no_column(spark, sensor_table):
     counted = row_count(readings(spark, sensor_table))
     assert counted.first().n_rows == len(sensor_rows())

@@ -22,6 +22,7 @@ def main() -> None:
     export.add_argument("--as-of", help="cut-off of a bucket export, by default now")
     export.add_argument("--codec", default="snappy")
     export.add_argument("--narrow", action="store_true", help="apply the tighter types")
+    export.add_argument("--quarantine", help="path for rows that break the tighter types")
     export.add_argument("--log", help="path of the run log")
     args = parser.parse_args()
 
@@ -31,7 +32,7 @@ def main() -> None:
     else:
         result = export_job(
             spark, args.table, args.out, args.group, args.size, args.as_of,
-            args.codec, args.narrow, args.log,
+            args.codec, args.narrow, args.quarantine, args.log,
         )
         print(
             f"rows: {result.n_rows}, groups: {result.n_groups}, files: {result.n_files}, "

@@ -25,6 +25,7 @@ from ..operators.ranking import (
     with_rank,
 )
 from ..sources.parquet import check_codec, refuse_own_input
+from ..storage import write_table
 from ..workspace import Workspace
 
 MAX_FILES = 10_000
@@ -70,19 +71,12 @@ def _check_target(df: DataFrame, path: str, codec: str, mode: str) -> None:
         refuse_own_input(df, path)
 
 
-def _write(
-    rows: DataFrame, path: str, key: str, codec: str, mode: str, **options: int
-) -> None:
-    writer = rows.write.mode(mode).option("compression", codec).options(**options)
-    writer.partitionBy(key).parquet(path)
-
-
 def _finish(
     rows: DataFrame, manifest: DataFrame, path: str, key: str, totals: tuple[int, int], started: float
 ) -> ExportResult:
     """Store the manifest beside the data and sum up the run."""
     spark = rows.sparkSession
-    manifest.write.parquet(f"{path}/{MANIFEST}")
+    write_table(manifest, f"{path}/{MANIFEST}")
     stored = spark.read.schema(manifest.schema).parquet(f"{path}/{MANIFEST}")
     # Bounded by max_files, so the list fits the driver.
     n_files = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
@@ -139,7 +133,7 @@ def export_batches(
             .sortWithinPartitions("batch_id", _RANK)
             .select(*map(c, df.columns), "batch_id")
         )
-        _write(rows, path, "batch_id", codec, mode, **options)
+        write_table(rows, path, mode, codec, "batch_id", **options)
 
         written = spark.read.schema(rows.schema).parquet(path).groupBy("batch_id")
         times = written.agg(F.min(c(ts)).alias("ts_from"), F.max(c(ts)).alias("ts_to"))
@@ -184,7 +178,7 @@ def export_buckets(
         rows = rows.withColumn("bucket_label", bucket_label(bucketed)).sortWithinPartitions(
             "bucket_label", *keys[1:]
         )
-        _write(rows, path, "bucket_label", codec, mode)
+        write_table(rows, path, mode, codec, "bucket_label")
 
         manifest = number_buckets(counts, sizes.n_groups)
         totals = sizes.n_groups, sizes.n_rows

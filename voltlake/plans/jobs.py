@@ -2,11 +2,13 @@
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
+from ..operators.buckets import as_of, resolve_as_of
 from ..operators.contract import enforce, export_names
 from ..schema import N_BATTERIES, file_schema, readings_schema
 from ..sources.csv import load_csv
+from ..sources.parquet import write_parquet
 from ..sources.readings import append_readings, readings, row_count
 from .exports import MAX_FILES, ExportResult, export_batches, export_buckets, verify_export
 from .runlog import log_run
@@ -33,6 +35,7 @@ def export_job(
     at: datetime | str | None = None,
     codec: str = "snappy",
     narrow: bool = False,
+    quarantine_path: str | None = None,
     log_path: str | None = None,
     max_files: int = MAX_FILES,
     n_batteries: int = N_BATTERIES,
@@ -40,23 +43,33 @@ def export_job(
     """Export the readings table by record ``count`` or by time ``bucket``, check it and log it.
 
     ``size`` is the records per batch or the bucket width in seconds. Files
-    carry the export labels; ``narrow`` applies the tighter types. The cut-off
-    ``at`` applies to bucket exports only: a count export takes every row.
+    carry the export labels. ``narrow`` applies the tighter types; rows that do
+    not fit fail the job, or go to ``quarantine_path`` if there is one. The
+    cut-off ``at`` applies to bucket exports only: a count export takes every row.
     """
     table = readings(spark, table_path)
+    contract = file_schema(group, n_batteries, narrow) if group in ("count", "bucket") else None
+
+    def fitted(rows: DataFrame) -> DataFrame:
+        if not narrow:
+            return rows
+        policy = "quarantine" if quarantine_path else "fail"
+        fields = [f for f in contract if f.name in rows.columns]
+        good, bad = enforce(rows, T.StructType(fields), policy)
+        if bad is not None:
+            write_parquet(bad, quarantine_path, codec)
+        return good
+
     if group == "count":
-        rows = export_names(table, "count", n_batteries)
-        if narrow:
-            rows, _ = enforce(rows, file_schema("count", n_batteries, narrow=True))
+        rows = fitted(export_names(table, "count", n_batteries))
         result = export_batches(
             rows, out_path, size, ("timestamp",), codec=codec, max_files=max_files
         )
     elif group == "bucket":
         # The bucket label comes first and is added by the export itself.
-        rows = table.toDF(*file_schema("bucket", n_batteries).names[1:])
-        if narrow:
-            contract = file_schema("bucket", n_batteries, narrow=True)
-            rows, _ = enforce(rows, type(contract)(contract.fields[1:]))
+        rows = table.toDF(*contract.names[1:])
+        at = resolve_as_of(rows, "time_stamp", at)
+        rows = fitted(as_of(rows, "time_stamp", at))
         result = export_buckets(
             rows, out_path, size, "time_stamp", "bat 1 temp", at, codec, max_files=max_files
         )

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import not_null
 from ..schema import RUN_LOG_SCHEMA, RUN_TYPE_LENGTH
+from ..storage import write_table
 
 
 def log_run(
@@ -36,7 +37,7 @@ def log_run(
         (F.col("n_groups") if n_files is None else F.lit(n_files).cast("bigint")).alias("n_files"),
         F.lit(elapsed_ms).cast("bigint").alias("elapsed_ms"),
     )
-    row.write.mode("append").parquet(path)
+    write_table(row, path, mode="append")
     return True
 
 

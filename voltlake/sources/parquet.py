@@ -6,6 +6,7 @@ from urllib.parse import unquote, urlparse
 from pyspark.sql import DataFrame, types as T
 
 from ..operators.contract import enforce
+from ..storage import write_table
 
 CODECS = ("snappy", "gzip", "uncompressed")
 
@@ -56,4 +57,4 @@ def write_parquet(
     for rows, target in targets:
         if mode == "overwrite":
             refuse_own_input(rows, target)
-        rows.write.mode(mode).option("compression", codec).parquet(target)
+        write_table(rows, target, mode, codec)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import ADDRESS, sort_keys, with_address
+from ..storage import write_table
 
 
 def readings(spark: SparkSession, path: str) -> DataFrame:
@@ -11,7 +12,7 @@ def readings(spark: SparkSession, path: str) -> DataFrame:
 
 def append_readings(df: DataFrame, table_path: str) -> None:
     """Add rows to the table; a failing job adds none. Loading a file twice adds it twice."""
-    df.write.mode("append").parquet(table_path)
+    write_table(df, table_path, mode="append")
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .storage import write_table
+
 _LOCAL_FALLBACK: dict[str, str] = {}
 
 
@@ -46,7 +48,7 @@ class Workspace:
     def save(self, df: DataFrame, name: str = "table") -> DataFrame:
         """Write ``df`` and return a DataFrame that reads the written table."""
         path = self.path(name)
-        df.write.parquet(path)
+        write_table(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
