@@ -135,11 +135,10 @@ class GroupSizes:
 def spread_by_range(
     hot: DataFrame, keys: list[Column], n_pieces: int, workspace: Workspace
 ) -> DataFrame:
-    """Range-partition and sort; the address splits even copies of one row over tasks."""
+    """Range-partition by the keys and an added address, which splits even copies of one row."""
     if ADDRESS not in hot.columns:
         hot = with_address(workspace.save(hot, "large-groups"))
-    keys = [*keys, c(ADDRESS)]
-    return hot.repartitionByRange(n_pieces, *keys).sortWithinPartitions(*keys).drop(ADDRESS)
+    return hot.repartitionByRange(n_pieces, *keys, c(ADDRESS))
 
 
 def earlier_sum(order: str, amount: str = _AMOUNT, within: str | None = None) -> Column:
@@ -169,8 +168,9 @@ def positions(
         sizes.n_hot_pieces, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     )
     spread = spread_by_range(large, keys, n_pieces, workspace)
+    ordered = spread.sortWithinPartitions(*keys, c(ADDRESS)).drop(ADDRESS)
     written = workspace.save(
-        spread.withColumn(_SEQUENCE, F.monotonically_increasing_id()), "sorted-groups"
+        ordered.withColumn(_SEQUENCE, F.monotonically_increasing_id()), "sorted-groups"
     ).withColumn(_PIECE, F.shiftright(c(_SEQUENCE), _ROW_BITS))
 
     # One row per piece and one per large group: both windows run over bounded tables.

@@ -18,6 +18,7 @@ from ..operators.buckets import (
     with_bucket,
 )
 from ..operators.ranking import (
+    ADDRESS,
     MAX_TASK_ROWS,
     GroupSizes,
     TimeCells,
@@ -173,7 +174,8 @@ def export_buckets(
         keys = bucket_sort_keys(bucketed, measure, ts)
         rows = small.repartition(c("bucket"))
         if large is not None:
-            rows = rows.unionByName(spread_by_range(large, keys, sizes.n_hot_pieces, workspace))
+            spread = spread_by_range(large, keys, sizes.n_hot_pieces, workspace)
+            rows = rows.unionByName(spread.drop(ADDRESS))
         # Labels sort like their buckets, so this is also the order partitionBy asks for.
         rows = rows.withColumn("bucket_label", bucket_label(bucketed)).sortWithinPartitions(
             "bucket_label", *keys[1:]
