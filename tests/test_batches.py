@@ -52,7 +52,7 @@ def test_null_time_fails(spark, folder):
         with_batch_id(frame, ["ts"], 2).collect()
 
 
-@pytest.mark.parametrize("max_rows", [5_000_000, 50, 10, 3, 1])
+@pytest.mark.parametrize("max_rows", [5_000_000, 50, 42, 10, 3, 1])
 def test_rank_equals_brute_force(spark, folder, max_rows):
     """Every cell width, and from some size down the range sort of large seconds."""
     rows = [(START + timedelta(seconds=i * i % 97, hours=i % 3), i, None) for i in range(60)]

@@ -6,7 +6,7 @@ from urllib.parse import unquote, urlparse
 from pyspark.sql import DataFrame, types as T
 
 from ..operators.contract import enforce
-from ..storage import write_table
+from ..storage import path_exists, write_table
 
 CODECS = ("snappy", "gzip", "uncompressed")
 
@@ -25,7 +25,13 @@ def _location(path: str) -> str:
 
 
 def refuse_own_input(df: DataFrame, path: str) -> None:
-    """Overwriting deletes first, so the target must not hold, or lie inside, what is read."""
+    """Overwriting deletes first, so the target must not hold, or lie inside, what is read.
+
+    The list of input files is long for a large table, so it is only fetched
+    when there is something to overwrite.
+    """
+    if not path_exists(df.sparkSession, path):
+        return
     target = _location(path)
     for source in map(_location, df.inputFiles()):
         folder = os.path.dirname(source)

@@ -1,4 +1,4 @@
-"""The one way tables are written."""
+"""How tables are written, looked up and removed."""
 
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -8,6 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 _TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop_path.getFileSystem(configuration), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _file_system(spark, path)
+    return files.exists(location)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, location = _file_system(spark, path)
+    files.delete(location, True)
+
+
 @contextmanager
 def _microsecond_timestamps(spark: SparkSession) -> Iterator[None]:
     """Write instants as INT64 microseconds.

@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .storage import write_table
+from .storage import remove_folder, write_table
 
 _LOCAL_FALLBACK: dict[str, str] = {}
 
@@ -52,9 +52,7 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+        remove_folder(self.spark, self.root)
 
     def __enter__(self) -> "Workspace":
         return self
