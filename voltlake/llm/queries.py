@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .decontaminate import mark_benchmark
 from .exact_dedup import exact_dedup
 from .line_dedup import dedup_lines
 from .ngram_join import join_ngrams
@@ -55,6 +56,18 @@ def q_sharding(spark, sf_dir):
     )
 
 
+def q_benchmark_decontamination(spark, sf_dir):
+    docs, items = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return mark_benchmark(docs, items, keep=["doc_id"]).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def q_exact_dedup(spark, sf_dir):
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": q_url_filters,
     "op4_line_dedup": q_line_dedup,
     "op5_sharding": q_sharding,
+    "op8_benchmark_decontamination": q_benchmark_decontamination,
     "op9_exact_dedup": q_exact_dedup,
     "op10_ngram_join": q_ngram_join,
 }
@@ -75,6 +89,8 @@ _URL_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _URL_PATTERN = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _ASCII_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLES: dict[str, str] = {
     "op2_url_filters": f"""
         with parsed as (
@@ -112,6 +128,35 @@ ORACLES: dict[str, str] = {
             from line l left join gone g on l.doc_id = g.doc_id and l.pos = g.pos group by l.doc_id)
         select d.doc_id, k.text, coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_removed, 0) as n_removed
         from documents d left join kept k on d.doc_id = k.doc_id""",
+    "op8_benchmark_decontamination": rf"""
+        with item as (
+            select item_id, regexp_extract_all(translate(text, {_ASCII_LOWER}), '{_WORD}') as w
+            from benchmark where text is not null),
+        item_windows as (
+            select distinct item_id, least(len(w), 10) as n,
+                array_to_string(w[p : p + least(len(w), 10) - 1], ' ') as run
+            from (select item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) as p
+                from item where len(w) > 0)),
+        doc as (
+            select doc_id, coalesce(
+                regexp_extract_all(translate(text, {_ASCII_LOWER}), '{_WORD}'), []) as w
+            from documents),
+        doc_windows as (
+            select doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') as run
+            from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as p
+                from doc, (select distinct n from item_windows) where len(w) >= n)),
+        found as (
+            select doc_id, d.n, p, item_id from doc_windows d join item_windows i
+            on d.n = i.n and d.run = i.run),
+        hit as (
+            select doc_id, count(*) as n_hit from (
+                select distinct doc_id, unnest(range(p, p + n)) as word from found) group by doc_id),
+        items as (
+            select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list from (
+                select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id)
+        select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+            sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from doc left join hit using (doc_id) left join items using (doc_id)""",
     "op9_exact_dedup": r"""
         with normal as (
             select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm
