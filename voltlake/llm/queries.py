@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .decontaminate import mark_benchmark
 from .exact_dedup import exact_dedup
+from .language_id import identify_languages
 from .line_dedup import dedup_lines
 from .ngram_join import join_ngrams
 from .sharding import shard_documents
@@ -38,6 +39,10 @@ def q_url_filters(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def q_language_id(spark, sf_dir):
+    return identify_languages(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def q_line_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
@@ -78,6 +83,7 @@ def q_ngram_join(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": q_url_filters,
+    "op3_language_id": q_language_id,
     "op4_line_dedup": q_line_dedup,
     "op5_sharding": q_sharding,
     "op8_benchmark_decontamination": q_benchmark_decontamination,
