@@ -9,8 +9,10 @@ from .exact_dedup import exact_dedup
 from .language_id import identify_languages
 from .line_dedup import dedup_lines
 from .ngram_join import join_ngrams
+from .sentence_pieces import MODEL_PATH, encode_pieces
 from .sharding import shard_documents
 from .url_filter import judge_urls
+from .warc import archive_pages
 
 SHARDS = 40
 
@@ -61,6 +63,14 @@ def q_sharding(spark, sf_dir):
     )
 
 
+def q_warc(spark, sf_dir):
+    return archive_pages(_table(spark, sf_dir, "pages"))
+
+
+def q_sentence_pieces(spark, sf_dir):
+    return encode_pieces(_table(spark, sf_dir, "documents"), MODEL_PATH, keep=["doc_id"])
+
+
 def q_benchmark_decontamination(spark, sf_dir):
     docs, items = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return mark_benchmark(docs, items, keep=["doc_id"]).select(
@@ -86,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": q_language_id,
     "op4_line_dedup": q_line_dedup,
     "op5_sharding": q_sharding,
+    "op6_warc": q_warc,
+    "op7_sentence_pieces": q_sentence_pieces,
     "op8_benchmark_decontamination": q_benchmark_decontamination,
     "op9_exact_dedup": q_exact_dedup,
     "op10_ngram_join": q_ngram_join,
@@ -97,6 +109,13 @@ _ASCII_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _hex(place: str) -> str:
+    return f"(instr('0123456789abcdef', substr(d, 1 + {place}, 1)) - 1)"
+
+
 ORACLES: dict[str, str] = {
     "op2_url_filters": f"""
         with parsed as (
@@ -134,6 +153,24 @@ ORACLES: dict[str, str] = {
             from line l left join gone g on l.doc_id = g.doc_id and l.pos = g.pos group by l.doc_id)
         select d.doc_id, k.text, coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_removed, 0) as n_removed
         from documents d left join kept k on d.doc_id = k.doc_id""",
+    # Base32 of the digest, five bits at a time; a SHA-1 has 32 of them.
+    "op6_warc": f"""
+        with payload as (
+            select page_id, coalesce(html, '') as body, strlen(coalesce(html, '')) as payload_bytes,
+                max(page_id) over (partition by coalesce(html, '')) as response
+            from pages),
+        digits as (
+            select page_id, string_agg(substr('{_BASE32}', 1 + cast(five as integer), 1), '' order by k)
+                as payload_digest
+            from (select page_id, k, (
+                    {_hex("(5 * k) // 4")} * 16
+                    + {_hex("(5 * k) // 4 + 1")}) // (1 << (3 - (5 * k) % 4)) % 32 as five
+                from (select page_id, sha1(body) || '0' as d, unnest(range(32)) as k from payload))
+            group by page_id)
+        select page_id, payload_bytes, payload_digest,
+            case when page_id = response then 'response' else 'revisit' end as record_type,
+            case when page_id <> response then response end as refers_to
+        from payload join digits using (page_id)""",
     "op8_benchmark_decontamination": rf"""
         with item as (
             select item_id, regexp_extract_all(translate(text, {_ASCII_LOWER}), '{_WORD}') as w
