@@ -9,6 +9,7 @@ from .exact_dedup import exact_dedup
 from .language_id import identify_languages
 from .line_dedup import dedup_lines
 from .ngram_join import join_ngrams
+from .secrets import scan_secrets
 from .sentence_pieces import MODEL_PATH, encode_pieces
 from .sharding import shard_documents
 from .url_filter import judge_urls
@@ -35,6 +36,10 @@ def _url_rules(spark: SparkSession) -> DataFrame:
     return spark.sql(f"select * from values {rows} as rules(host, path, verdict)")
 
 
+def q_secret_scans(spark, sf_dir):
+    return scan_secrets(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def q_url_filters(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     judged = judge_urls(pages, _url_rules(spark))
@@ -92,6 +97,7 @@ def q_ngram_join(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scans": q_secret_scans,
     "op2_url_filters": q_url_filters,
     "op3_language_id": q_language_id,
     "op4_line_dedup": q_line_dedup,
