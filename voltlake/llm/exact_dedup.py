@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..workspace import Workspace
+from .addresses import FILE, ROW, addressed
 from .skew import left_lookup
 
 SALTS = 16
@@ -27,10 +28,13 @@ def exact_dedup(
     text_col: str = "text",
     salts: int = SALTS,
     digest: Callable[[Column], Column] = sha256,
+    addresses: bool = False,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """One row per document: its id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
+    With ``addresses`` also where the row is stored, as ``addressed`` has it.
+
     Texts are equal when their normalised contents are equal. Copies are combined
     three times: inside each task, among the rows of one salt, and among the
     salts' winners. The grouping key of every step is the digest *and* the whole
@@ -38,19 +42,17 @@ def exact_dedup(
     of any size reaches the last step as at most ``salts`` rows.
 
     Of equal texts the row with the smallest id is kept. Null ids come after all
-    others; if the smallest id occurs in several rows with that text, one of these
-    rows is kept (the first in the stored id table). A null text equals an
-    empty one. An empty table gives an empty result. Further columns of ``docs``
+    others; if the smallest id occurs in several rows with that text, the first of
+    these rows by its stored place is kept. A null text equals an empty one. An empty table gives an empty result. Further columns of ``docs``
     are ignored.
     """
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
-    norm = normalised(docs[text_col])
-    rows = docs.select(
-        docs[id_col].alias(id_col),
-        norm.alias("_norm"),
-    ).select(
+    at = addressed(docs, workspace)
+    rows = at.select(at[id_col], FILE, ROW, normalised(at[text_col]).alias("_norm")).select(
         id_col,
+        FILE,
+        ROW,
         "_norm",
         digest(F.col("_norm")).alias("_digest"),
         F.length("_norm").alias("_length"),
@@ -67,10 +69,8 @@ def exact_dedup(
     )
     groups = workspace.save(whole.select(*_KEYS, "keep_id", "group_size"), "groups")
 
-    address = F.struct("_metadata.file_name", "_metadata.row_index").alias("_address")
-    stored = ids.select("*", address)
     n_rows = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0)).alias("n")).first()["n"]
-    placed = left_lookup(stored, groups, _KEYS, "group_size", n_rows)
+    placed = left_lookup(ids, groups, _KEYS, "group_size", n_rows)
     placed = placed.withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")))
 
     # Rows that repeat the kept id with the same text: all but one must go.
@@ -79,10 +79,11 @@ def exact_dedup(
         first = (
             placed.filter("kept")
             .groupBy(*_KEYS)
-            .agg(F.min("_address").alias("_first"), F.max("group_size").alias("_weight"))
+            .agg(F.min(F.struct(FILE, ROW)).alias("_first"), F.max("group_size").alias("_weight"))
         )
         placed = left_lookup(workspace.save(placed, "placed"), first, _KEYS, "_weight", n_rows)
-        placed = placed.withColumn("kept", F.col("kept") & (F.col("_address") == F.col("_first")))
+        placed = placed.withColumn("kept", F.col("kept") & (F.struct(FILE, ROW) == F.col("_first")))
     return placed.select(
+        *([FILE, ROW] if addresses else []),
         id_col, "keep_id", "group_size", "kept", F.col("_digest").alias("text_sha256")
     )

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import Workspace
+from .addresses import FILE, ROW, addressed
 from .components import connected_components
 from .skew import left_lookup
 from .wordhash import NOT_SPACE, mix, runs_of, short_run, words_of
@@ -80,7 +81,7 @@ def _overlap_bound(x: np.ndarray, n: int, y: np.ndarray, m: int) -> int:
 
 def _summaries(width: int):
     """Pass 1: each document's set size and class, and each task's shingle counts."""
-    names = ["id", "n", "cls", "part", "counts"]
+    names = ["id", FILE, ROW, "n", "cls", "part", "counts"]
 
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -94,7 +95,7 @@ def _summaries(width: int):
         for batch in batches:
             id_type = batch.column(0).type
             sizes, classes = [], []
-            for s in shingle_sets(batch.column(1), width):
+            for s in shingle_sets(batch["text"], width):
                 sizes.append(len(s))
                 classes.append(_class_of(s) if len(s) else None)
                 waiting.append(s)
@@ -104,7 +105,7 @@ def _summaries(width: int):
                     held = 0
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *(batch[c] for c in names[:3]),
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.int64()),
                     pa.nulls(len(sizes), pa.int32()),
@@ -120,8 +121,7 @@ def _summaries(width: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(len(used), id_type),
-                    pa.nulls(len(used), pa.int64()),
-                    pa.nulls(len(used), pa.int64()),
+                    *(pa.nulls(len(used), pa.int64()) for _ in range(4)),
                     pa.array(used, pa.int32()),
                     pa.array([parts[i].tobytes() for i in used], pa.binary()),
                 ],
@@ -465,10 +465,14 @@ def join_ngrams(
     text_col: str = "text",
     width: int = WIDTH,
     percent: int = PERCENT,
+    addresses: bool = False,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """One row per document: its id, ``n_shingles`` and ``component_id``.
 
+    With ``addresses`` also where the row is stored, as ``addressed`` has it, and ``group``,
+    a number that the rows of one component share (null for a text without words).
+
     A text's words are its runs of other bytes than ASCII white space, A-Z lower-cased;
     its set holds its distinct runs of ``width`` words, or all its words as one run if
     there are fewer. Two documents link when their sets' Jaccard similarity is at least
@@ -483,13 +487,15 @@ def join_ngrams(
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
     id_type = docs.schema[id_col].dataType.simpleString()
+    at = addressed(docs, workspace)
     summaries = workspace.save(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-            _summaries(width), f"id {id_type}, n long, cls long, part int, counts binary"
+        at.select(at[id_col].alias("id"), FILE, ROW, at[text_col].alias("text")).mapInArrow(
+            _summaries(width),
+            f"id {id_type}, {FILE} long, {ROW} long, n long, cls long, part int, counts binary",
         ),
         "summaries",
     )
-    rows = summaries.filter("part is null").select("id", "n", "cls")
+    rows = summaries.filter("part is null").select("id", FILE, ROW, "n", "cls")
     classes = workspace.save(
         rows.filter("cls is not null")
         .groupBy("cls")
@@ -502,10 +508,11 @@ def join_ngrams(
     joined = classes.join(components.withColumnRenamed("node", "cls"), "cls", "left")
     joined = joined.withColumn("component", F.coalesce("component", "cls"))
     lowest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    grouped = joined.join(lowest, "component").select("cls", "n_docs", "component_id")
+    grouped = joined.join(lowest, "component").select("cls", "n_docs", "component", "component_id")
     looked_up = workspace.save(grouped, "looked-up")
     found = left_lookup(rows, looked_up, ["cls"], "n_docs", rows.count())
     return found.select(
+        *([FILE, ROW, F.col("component").alias("group")] if addresses else []),
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
