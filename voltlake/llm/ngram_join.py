@@ -21,6 +21,8 @@ SKETCH_PARTS = 64
 TOKENS_PER_FLUSH = 500_000
 TOKENS_PER_BUCKET = 1_000_000
 ROWS_PER_TILE = 200_000
+# The bitmap of wanted documents has this many bits, whatever the number of documents.
+SLOT_BITS, PART_BITS = 25, 7
 _KNOWN_CLASSES = 500_000
 
 
@@ -62,8 +64,8 @@ def _band(n):
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
-    """A bitmap with one bit per hashed shingle, four to eight bits wide per element."""
-    width = 1 << max(6, len(shingles).bit_length() + 2)
+    """A bitmap with one bit per hashed shingle, one to two bits wide per element."""
+    width = 1 << max(6, len(shingles).bit_length())
     bits = np.zeros(width, bool)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
@@ -81,7 +83,7 @@ def _overlap_bound(x: np.ndarray, n: int, y: np.ndarray, m: int) -> int:
 
 def _summaries(width: int):
     """Pass 1: each document's set size and class, and each task's shingle counts."""
-    names = ["id", FILE, ROW, "n", "cls", "part", "counts"]
+    names = ["id", FILE, ROW, "n", "cls", "bits", "part", "counts"]
 
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -94,10 +96,11 @@ def _summaries(width: int):
 
         for batch in batches:
             id_type = batch.column(0).type
-            sizes, classes = [], []
+            sizes, classes, bits = [], [], []
             for s in shingle_sets(batch["text"], width):
                 sizes.append(len(s))
                 classes.append(_class_of(s) if len(s) else None)
+                bits.append(_signature(s).tobytes() if len(s) else None)
                 waiting.append(s)
                 held += len(s)
                 if held > TOKENS_PER_FLUSH:
@@ -108,6 +111,7 @@ def _summaries(width: int):
                     *(batch[c] for c in names[:3]),
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.int64()),
+                    pa.array(bits, pa.binary()),
                     pa.nulls(len(sizes), pa.int32()),
                     pa.nulls(len(sizes), pa.binary()),
                 ],
@@ -122,6 +126,7 @@ def _summaries(width: int):
                 [
                     pa.nulls(len(used), id_type),
                     *(pa.nulls(len(used), pa.int64()) for _ in range(4)),
+                    pa.nulls(len(used), pa.binary()),
                     pa.array(used, pa.int32()),
                     pa.array([parts[i].tobytes() for i in used], pa.binary()),
                 ],
@@ -290,14 +295,48 @@ def _shared_tokens(table: pa.Table) -> pa.Table:
     )
 
 
-def _stored_sets(width: int):
-    """The sets and signatures of candidate documents, one row per class and task at most."""
+def _slot_bitmap(batches):
+    """The slots of one part of the bitmap, as bits."""
+    parts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, slot in zip(batch["part"].to_pylist(), batch["slot"].to_numpy()):
+            bits = parts.setdefault(part, np.zeros(1 << (SLOT_BITS - PART_BITS), bool))
+            bits[slot & ((1 << (SLOT_BITS - PART_BITS)) - 1)] = True
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(list(parts), pa.int32()),
+            pa.array([np.packbits(x).tobytes() for x in parts.values()], pa.binary()),
+        ],
+        names=["part", "bits"],
+    )
+
+
+def _wanted_slots(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size (4 MB) in which the hash slot of each wanted id is set."""
+    slot = F.pmod(F.xxhash64("rep"), F.lit(1 << SLOT_BITS))
+    part = F.shiftright(slot, SLOT_BITS - PART_BITS).cast("int")
+    slots = ids.select(part.alias("part"), slot.alias("slot")).distinct()
+
+    def whole(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_slot_bitmap(table.to_batches()))
+
+    bits = np.zeros((1 << PART_BITS, 1 << (SLOT_BITS - PART_BITS - 3)), np.uint8)
+    for row in slots.groupBy("part").applyInArrow(whole, "part int, bits binary").collect():
+        bits[row["part"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return bits.ravel()
+
+
+def _stored_sets(width: int, wanted):
+    """The sets of the documents whose slot is wanted, one row per class and task at most."""
 
     def run(batches):
+        bits = wanted.value
         seen: set[int] = set()
         for batch in batches:
-            classes, sizes, sets, bits = [], [], [], []
-            for s in shingle_sets(batch.column(0), width):
+            slot = batch["slot"].to_numpy()
+            keep = np.flatnonzero(bits[slot >> 3] & (128 >> (slot & 7)))
+            classes, sizes, sets = [], [], []
+            for s in shingle_sets(batch["text"].take(pa.array(keep)), width):
                 if not len(s) or (owner := _class_of(s)) in seen:
                     continue
                 if len(seen) >= _KNOWN_CLASSES:
@@ -306,54 +345,103 @@ def _stored_sets(width: int):
                 classes.append(owner)
                 sizes.append(len(s))
                 sets.append(s.tobytes())
-                bits.append(_signature(s).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(classes, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(sets, pa.binary()),
-                    pa.array(bits, pa.binary()),
                 ],
-                names=["cls", "n", "shingles", "bits"],
+                names=["cls", "n", "shingles"],
             )
 
     return run
 
 
+def _kept(batch: pa.RecordBatch, rows: list[int]) -> pa.RecordBatch:
+    chosen = pa.array(rows, pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [batch["x"].take(chosen), batch["y"].take(chosen)], names=["x", "y"]
+    )
+
+
+def _possible(percent: int):
+    """Keeps the pairs whose bit counts allow the overlap that they need."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            n_x, n_y = batch["n_x"].to_pylist(), batch["n_y"].to_pylist()
+            for k in range(batch.num_rows):
+                x = np.frombuffer(batch["bits_x"][k].as_buffer(), np.uint64)
+                y = np.frombuffer(batch["bits_y"][k].as_buffer(), np.uint64)
+                if _overlap_bound(x, n_x[k], y, n_y[k]) >= _least_overlap(n_x[k], n_y[k], percent):
+                    keep.append(k)
+            yield _kept(batch, keep)
+
+    return run
+
+
 def _similar(percent: int):
-    """Keeps the pairs whose sets are similar: bit counts first, then the exact intersection."""
+    """Keeps the pairs whose sorted sets intersect in enough elements."""
 
     def run(batches):
         for batch in batches:
             keep = []
             n_x, n_y = batch["n_x"].to_pylist(), batch["n_y"].to_pylist()
             for k in range(batch.num_rows):
-                n, m = n_x[k], n_y[k]
-                need = _least_overlap(n, m, percent)
-                bits_x = np.frombuffer(batch["bits_x"][k].as_buffer(), np.uint64)
-                bits_y = np.frombuffer(batch["bits_y"][k].as_buffer(), np.uint64)
-                if _overlap_bound(bits_x, n, bits_y, m) < need:
-                    continue
                 x = np.frombuffer(batch["shingles_x"][k].as_buffer(), np.uint64)
                 y = np.frombuffer(batch["shingles_y"][k].as_buffer(), np.uint64)
-                if len(np.intersect1d(x, y, assume_unique=True)) >= need:
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if common >= _least_overlap(n_x[k], n_y[k], percent):
                     keep.append(k)
-            yield pa.RecordBatch.from_arrays(
-                [batch["x"].take(pa.array(keep, pa.int64())), batch["y"].take(pa.array(keep, pa.int64()))],
-                names=["x", "y"],
-            )
+            yield _kept(batch, keep)
 
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (x, y) of classes that are similar. A class with very many pairs is split by AQE."""
-
-    def side(name: str) -> DataFrame:
-        return sets.toDF(name, f"n_{name}", f"shingles_{name}", f"bits_{name}")
-
-    both = pairs.join(side("x"), "x").join(side("y"), "y")
-    return both.mapInArrow(_similar(percent), "x long, y long")
+def _with_both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """``pairs`` (x, y) with the columns of both classes. AQE splits a class with very many pairs."""
+    for side in ("x", "y"):
+        pairs = pairs.join(table.toDF(*(side if c == "cls" else f"{c}_{side}" for c in table.columns)), side)
+    return pairs
+
+
+class _Verifier:
+    """Confirms candidate pairs: bit counts first, then the sets of what is left."""
+
+    def __init__(self, docs, text_col, id_col, classes, summaries, width, percent, workspace):
+        self.docs, self.text_col, self.id_col = docs, text_col, id_col
+        self.classes, self.width, self.percent, self.workspace = classes, width, percent, workspace
+        self.bits = summaries.filter("cls is not null").select("cls", "n", "bits")
+        self.sets: DataFrame | None = None
+
+    def _fetch(self, pairs: DataFrame) -> None:
+        """Adds the sets of the classes in ``pairs`` that are not there yet."""
+        wanted = pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("cls"), "cls", "left_anti")
+        wanted = self.workspace.save(wanted.join(self.classes, "cls").select("cls", "rep"), "wanted")
+        if self.sets is not None and wanted.isEmpty():
+            return
+        slots = self.docs.sparkSession.sparkContext.broadcast(_wanted_slots(wanted))
+        slot = F.pmod(F.xxhash64(self.docs[self.id_col]), F.lit(1 << SLOT_BITS)).alias("slot")
+        found = self.docs.select(slot, self.docs[self.text_col].alias("text")).mapInArrow(
+            _stored_sets(self.width, slots), "cls long, n long, shingles binary"
+        )
+        found = found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+        found = self.workspace.save(found, "sets")
+        self.sets = found if self.sets is None else self.sets.unionByName(found)
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs of ``pairs`` (x, y), a stored table, that are similar."""
+        wanted = pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
+        bits = self.bits.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+        possible = self.workspace.save(
+            _with_both(pairs, bits).mapInArrow(_possible(self.percent), "x long, y long"), "possible"
+        )
+        self._fetch(possible)
+        both = _with_both(possible, self.sets)
+        return self.workspace.save(both.mapInArrow(_similar(self.percent), "x long, y long"), "links")
 
 
 def _ordered(a: str, b: str):
@@ -415,15 +503,7 @@ def similar_classes(
         "members",
     )
 
-    wanted = members.select("cls").distinct().join(classes, "cls").select(F.col("rep").alias("_rep"))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    texts = texts.join(wanted, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
-    sets = workspace.save(
-        texts.select("_text")
-        .mapInArrow(_stored_sets(width), "cls long, n long, shingles binary, bits binary")
-        .dropDuplicates(["cls"]),
-        "sets",
-    )
+    verifier = _Verifier(docs, text_col, id_col, classes, summaries, width, percent, workspace)
 
     # First each member against its pivots: one link joins it to all that share the pivot.
     fits = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
@@ -433,7 +513,7 @@ def similar_classes(
         .distinct(),
         "first-pairs",
     )
-    links = workspace.save(_verified(first, sets, percent), "first-links")
+    links = verifier.links(first)
     known = connected_components(links, "x", "y", workspace)
 
     # Then the pairs that are left: all those not connected by now.
@@ -450,10 +530,9 @@ def similar_classes(
     )
     rest = tagged.join(open_tokens, "token", "left_semi")
     bucket = F.pmod(F.xxhash64("token"), F.lit(n_buckets * 4)).alias("bucket")
-    pairs = (
-        rest.groupBy(bucket).applyInArrow(_cross_pairs(percent), "x long, y long").distinct()
-    ).join(first, ["x", "y"], "left_anti")
-    more = workspace.save(_verified(workspace.save(pairs, "pairs"), sets, percent), "links")
+    crossing = rest.groupBy(bucket).applyInArrow(_cross_pairs(percent), "x long, y long")
+    pairs = workspace.save(crossing.distinct().join(first, ["x", "y"], "left_anti"), "pairs")
+    more = verifier.links(pairs)
     if more.isEmpty():
         return known
     return connected_components(links.unionByName(more), "x", "y", workspace)
@@ -491,7 +570,8 @@ def join_ngrams(
     summaries = workspace.save(
         at.select(at[id_col].alias("id"), FILE, ROW, at[text_col].alias("text")).mapInArrow(
             _summaries(width),
-            f"id {id_type}, {FILE} long, {ROW} long, n long, cls long, part int, counts binary",
+            f"id {id_type}, {FILE} long, {ROW} long, n long, cls long, bits binary, part int, "
+            "counts binary",
         ),
         "summaries",
     )
