@@ -1,0 +1,70 @@
+import re
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from llm.helpers import DOC_SCHEMA, documents, jaccard_components, stored, words
+from llm.test_decontaminate import plain as plain_hits
+from voltlake.llm.language_id import identify_languages
+from voltlake.llm.sentence_pieces import decode_pieces
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_run_equals_stages_in_plain_python(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    judged = identify_languages(docs, keep=["doc_id"]).collect()
+    left = sorted(r["doc_id"] for r in judged if r["lang_pred"] != "und" and r["score"] >= 0.5)
+    first = {}
+    for i in left:
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", texts[i]), i)
+    left = sorted(first.values())
+    components, _ = jaccard_components([texts[i] for i in left])
+    left = [i for k, i in enumerate(left) if components[k] == k]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    hits = plain_hits([texts[i] for i in left], items)
+    left = [i for i, (_, n, _) in zip(left, hits) if not n]
+
+    result = corpus_pipeline.run(spark, SF_DIR)
+    got = decode_pieces(result).collect()
+    assert sorted(r["doc_id"] for r in got) == left
+    assert all(r["text"] == texts[r["doc_id"]] and r["round_trip"] for r in got)
+    # Little is lost but copies and benchmark passages.
+    assert len(left) > 0.7 * len(texts)
+
+
+def awkward(spark):
+    base = " ".join(f"the{i} and" for i in range(40))
+    rows = [(1, base), (1, base), (None, base), (None, base + " of"), (2, None), (3, ""), (4, "12 34")]
+    rows += [(5, "other words the and of to"), (6, "x" * 50_000), (7, "Other words the and of to")]
+    full = [(i, t, "en", None, None) for i, t in rows]
+    return spark.createDataFrame(full, DOC_SCHEMA).withColumn("score", F.lit(7)).withColumn(
+        "n_words", F.lit("own")
+    )
+
+
+def test_stages_keep_columns_and_one_row_of_each_group(spark, folder):
+    docs = stored(spark, awkward(spark).repartition(2), folder("docs"))
+    rows = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_DIR)
+        rows[name] = out.collect()
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.schema.names == docs.schema.names
+        assert {r["score"] for r in rows[name]} <= {7} and {r["n_words"] for r in rows[name]} <= {"own"}
+        assert stage(spark, docs.limit(0), SF_DIR).collect() == []
+    ids = lambda name: sorted((r["doc_id"] or 0) for r in rows[name])
+    assert {r["doc_id"] for r in rows["language ID"]}.isdisjoint({2, 3, 4})
+    # One row of documents 1, 1 and null; null and empty text are equal.
+    assert ids("exact dedup") == [0, 1, 2, 4, 5, 6, 7]
+    assert ids("n-gram Jaccard join") == [1, 2, 3, 4, 5, 6]
+    assert len(rows["benchmark decontamination"]) == len(rows["SentencePiece encoding and decoding"]) == 10
+
+
+def test_benchmark_passages_go(spark):
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").limit(3).collect()
+    docs = documents(spark, [(k, f"before {r['text']} after") for k, r in enumerate(items)] + [(9, "clean text")])
+    assert all(len(words(r["text"])) >= 10 for r in items)
+    kept = corpus_pipeline.drop_benchmark_passages(spark, docs, SF_DIR).collect()
+    assert [r["doc_id"] for r in kept] == [9]
