@@ -16,13 +16,17 @@ def time_bucket(col: Column | str, seconds: int) -> Column:
     """Start of the ``seconds``-wide bucket that holds the timestamp.
 
     ``window`` works on the stored microseconds, so the result has the type of
-    the input and does not depend on the session zone. Rows with a null
-    timestamp are dropped. One width per ``select``.
+    the input and does not depend on the session zone. A null timestamp has a
+    null bucket. One width per ``select``.
     """
     if isinstance(seconds, bool) or not isinstance(seconds, int) or seconds < 1:
         raise ValueError(f"bucket width must be a whole number of seconds >= 1, got {seconds!r}")
     width = f"{seconds} seconds"
-    return F.window(col, width, width, f"{ORIGIN_SECONDS % seconds} seconds").getField("start")
+    ts = F.col(col) if isinstance(col, str) else col
+    # ``window`` filters null times out of the table, so it must not see any.
+    filled = F.coalesce(ts, F.lit("2000-01-03 00:00:00").cast("timestamp_ntz"))
+    start = F.window(filled, width, width, f"{ORIGIN_SECONDS % seconds} seconds").getField("start")
+    return F.when(ts.isNotNull(), start)
 
 
 def bucket_label(df: DataFrame, bucket: str = "bucket") -> Column:

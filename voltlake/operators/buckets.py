@@ -5,10 +5,19 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import bucket_label, c, time_bucket
+from ..functions import bucket_label, c, refuse_names, time_bucket
 from ..functions.timebuckets import DAY
 from ..workspace import Workspace
-from .ranking import MAX_TASK_ROWS, count_rows, position_in_group, running_start, sort_keys
+from .ranking import (
+    ADDRESS,
+    MAX_TASK_ROWS,
+    count_rows,
+    evaluated_once,
+    position_in_group,
+    running_start,
+    sort_keys,
+    with_address,
+)
 
 # Days in the years 1 to 9999, the range of a timestamp.
 CALENDAR_DAYS = 3_652_059
@@ -17,10 +26,11 @@ CALENDAR_DAYS = 3_652_059
 def resolve_as_of(df: DataFrame, ts: str, at: datetime | str | None = None) -> str:
     """The cut-off of a run as text, fixed once so that every step sees the same instant.
 
-    A zone-less ``ts`` is compared with the wall clock of the session zone.
+    Text must be an ISO date or time, with or without an offset; anything else is a
+    ``ValueError``. A zone-less ``ts`` is compared with the wall clock of the session zone.
     """
     if isinstance(at, str):
-        return at
+        at = datetime.fromisoformat(at)
     zone = ZoneInfo(df.sparkSession.conf.get("spark.sql.session.timeZone"))
     at = at or datetime.now(timezone.utc)
     if at.tzinfo is None:
@@ -42,7 +52,8 @@ def as_of(df: DataFrame, ts: str = "time_stamp", at: datetime | str | None = Non
 
 
 def with_bucket(df: DataFrame, ts: str, seconds: int, name: str = "bucket") -> DataFrame:
-    """The bucket start first, then every column of ``df``."""
+    """The bucket start first, then every column of ``df``, which must not have one of that name."""
+    refuse_names(df, name)
     return df.select(time_bucket(c(ts), seconds).alias(name), *map(c, df.columns))
 
 
@@ -55,8 +66,15 @@ def bucket_sort_keys(
 def order_in_bucket(
     df: DataFrame, measure: str = "bat1_temp", ts: str = "time_stamp", bucket: str = "bucket"
 ) -> DataFrame:
-    """Sort each partition by bucket, then by ``measure`` with nulls last."""
-    return df.sortWithinPartitions(*bucket_sort_keys(df, measure, ts, bucket))
+    """All rows in the order of bucket, then ``measure`` with nulls last, sorted in ranges.
+
+    The stored address splits a bucket or row that repeats too often for one range.
+    """
+    keys = bucket_sort_keys(df, measure, ts, bucket)
+    addressed = with_address(df)
+    if addressed is None:
+        return df.orderBy(*keys)
+    return addressed.orderBy(*keys, ADDRESS).drop(ADDRESS)
 
 
 def position_in_bucket(
@@ -69,6 +87,7 @@ def position_in_bucket(
 ) -> DataFrame:
     """``df`` plus ``name``, the 1-based place of each row in its bucket in ``order``."""
     workspace = workspace or Workspace(df.sparkSession)
+    df = evaluated_once(df, workspace)
     counts = workspace.save(count_rows(df, bucket), "bucket-counts")
     return position_in_group(df, bucket, order, counts, name, max_rows, workspace)
 

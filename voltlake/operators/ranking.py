@@ -30,6 +30,7 @@ _SEQUENCE = "_vl_sequence"
 _PIECE = "_vl_piece"
 _CELL = "_vl_cell"
 _DAY = "_vl_day"
+_THAT_DAY = "_vl_that_day"
 _START = "_vl_start"
 _START_OF_DAY = "_vl_day_start"
 _AMOUNT = "_vl_amount"
@@ -54,8 +55,10 @@ def sort_keys(df: DataFrame, order: list[str]) -> list[Column]:
 
 
 def _is_plain_scan(df: DataFrame) -> bool:
-    """Only filters and projections over one stored table, so each row is one stored row."""
+    """Only fixed filters and projections over one stored table, so each row is one stored row."""
     plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
     while plan.children().size() == 1:
         if plan.nodeName() not in ("Project", "Filter", "SubqueryAlias", "View"):
             return False
@@ -77,6 +80,28 @@ def with_address(df: DataFrame) -> DataFrame | None:
         return None
 
 
+def evaluated_once(df: DataFrame, workspace: Workspace) -> DataFrame:
+    """``df``, stored first unless each evaluation reads the same stored rows.
+
+    A limit, a sample or a random column could give other rows to the counting and
+    to the numbering, and ranks with gaps.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    files = leaves.size() == 1 and leaves.head().nodeName() == "LogicalRelation"
+    return df if files and _is_plain_scan(df) else workspace.save(df, "input")
+
+
+def sized_partitions(df: DataFrame, n_rows: int, max_rows: int, *keys: Column) -> DataFrame:
+    """Shuffle by ``keys`` into tasks of about ``max_rows``, however few partitions are set.
+
+    Where the session's number is enough it stays, and adaptive execution may merge them.
+    """
+    needed = math.ceil(n_rows / max_rows)
+    if needed <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(*keys)
+    return df.repartition(needed, *keys)
+
+
 def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= MAX_BROADCAST_ROWS else df
 
@@ -144,7 +169,7 @@ def spread_by_range(
 def earlier_sum(order: str, amount: str = _AMOUNT, within: str | None = None) -> Column:
     """Sum of ``amount`` over the rows before this one, 0 for the first."""
     window = Window.partitionBy(c(within)) if within else Window.partitionBy()
-    window = window.orderBy(c(order)).rowsBetween(Window.unboundedPreceding, -1)
+    window = window.orderBy(c(order).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(amount).over(window), F.lit(0))
 
 
@@ -159,6 +184,7 @@ def positions(
     small, large = sizes.split(df, group)
     keys = sort_keys(df, [group, *order])
     in_group = Window.partitionBy(c(group)).orderBy(*keys[1:])
+    small = sized_partitions(small, sizes.n_rows, sizes.max_rows, c(group))
     small = small.withColumn(name, F.row_number().over(in_group).cast("bigint"))
     if large is None:
         return small, None
@@ -209,7 +235,7 @@ def running_start(
 ) -> DataFrame:
     """``table`` plus ``name``, the sum of ``amount`` over all rows with an earlier ``time``.
 
-    ``time`` is unique and falls on whole seconds. A table of ``n_rows`` that one
+    ``time`` is unique and falls on whole seconds; a null one comes last. A table of ``n_rows`` that one
     task can sort gets a plain window. Beyond that the sum runs inside each day,
     over at most 86,400 rows, and only the day totals pass through one task.
     """
@@ -220,7 +246,9 @@ def running_start(
     days = table.groupBy(_DAY).agg(F.sum(_AMOUNT).alias(_AMOUNT))
     days = days.select(_DAY, earlier_sum(_DAY).alias(_START_OF_DAY))
     start = c(_START_OF_DAY) + earlier_sum(time, within=_DAY)
-    return table.join(days, _DAY).withColumn(name, start).drop(_DAY, _AMOUNT, _START_OF_DAY)
+    days = days.withColumnRenamed(_DAY, _THAT_DAY)
+    joined = table.join(days, c(_DAY).eqNullSafe(c(_THAT_DAY)))
+    return joined.withColumn(name, start).drop(_DAY, _THAT_DAY, _AMOUNT, _START_OF_DAY)
 
 
 @dataclass
@@ -279,7 +307,9 @@ def with_rank(
     """
     ts = order[0]
     workspace = workspace or Workspace(df.sparkSession)
-    cells = cells or TimeCells.count(df, ts, max_rows, workspace)
+    if cells is None:
+        df = evaluated_once(df, workspace)
+        cells = TimeCells.count(df, ts, max_rows, workspace)
     starts = running_start(
         cells.counts, _CELL, cells.sizes.n_groups, F.col("n_rows"), _START
     ).select(_CELL, _START)

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import bucket_label, c
+from ..functions import bucket_label, c, refuse_names
 from ..operators.batches import batch_of, check_batch_size
 from ..operators.buckets import (
     as_of,
@@ -22,6 +22,8 @@ from ..operators.ranking import (
     MAX_TASK_ROWS,
     GroupSizes,
     TimeCells,
+    evaluated_once,
+    sized_partitions,
     spread_by_range,
     with_rank,
 )
@@ -29,8 +31,6 @@ from ..sources.parquet import check_codec, refuse_own_input
 from ..storage import write_table
 from ..workspace import Workspace
 
-MAX_FILES = 10_000
-
 # Folder of the manifest inside an export; readers of the export skip it.
 MANIFEST = "_manifest"
 
@@ -59,8 +59,9 @@ class ExportResult:
     as_of: str | None = None
 
 
-def _refuse_too_many(n_files: int, max_files: int) -> None:
-    if n_files > max_files:
+def _refuse_too_many(n_files: int, max_files: int | None) -> None:
+    """A guard for those who ask for one; by default any number of files is written."""
+    if max_files is not None and n_files > max_files:
         raise ValueError(f"export would write {n_files} files, more than max_files={max_files}")
 
 
@@ -68,8 +69,7 @@ def _check_target(df: DataFrame, path: str, codec: str, mode: str) -> None:
     check_codec(codec)
     if mode not in ("overwrite", "errorifexists"):
         raise ValueError(f"unknown mode {mode!r}, expected 'overwrite' or 'errorifexists'")
-    if mode == "overwrite":
-        refuse_own_input(df, path)
+    refuse_own_input(df, path)
 
 
 def _finish(
@@ -79,8 +79,8 @@ def _finish(
     spark = rows.sparkSession
     write_table(manifest, f"{path}/{MANIFEST}")
     stored = spark.read.schema(manifest.schema).parquet(f"{path}/{MANIFEST}")
-    # Bounded by max_files, so the list fits the driver.
-    n_files = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+    written = spark.read.schema(rows.schema).parquet(path).select("_metadata.file_path")
+    n_files = written.distinct().count()
     elapsed_ms = round((time.monotonic() - started) * 1000)
     n_groups, n_rows = totals
     run_type = RUN_TYPES[key]
@@ -103,7 +103,7 @@ def export_batches(
     order: tuple[str, ...] = ("time_stamp",),
     codec: str = "snappy",
     mode: str = "overwrite",
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
     rows_per_file: int = MAX_TASK_ROWS,
 ) -> ExportResult:
     """Write runs of ``n`` rows in time order, one folder ``batch_id=k`` with one file each.
@@ -112,9 +112,11 @@ def export_batches(
     run of its own in the same order.
     """
     check_batch_size(n)
+    refuse_names(df, "batch_id")
     _check_target(df, path, codec, mode)
     spark, ts, started = df.sparkSession, order[0], time.monotonic()
     with Workspace(spark) as workspace:
+        df = evaluated_once(df, workspace)
         cells = TimeCells.count(df, ts, MAX_TASK_ROWS, workspace)
         n_rows = cells.sizes.n_rows
         full, rest = divmod(n_rows, n)
@@ -130,7 +132,7 @@ def export_batches(
             spread.append(F.call_function("div", in_batch, F.lit(rows_per_file)))
             options["maxRecordsPerFile"] = rows_per_file
         rows = (
-            batched.repartition(*spread)
+            sized_partitions(batched, n_rows, MAX_TASK_ROWS, *spread)
             .sortWithinPartitions("batch_id", _RANK)
             .select(*map(c, df.columns), "batch_id")
         )
@@ -151,20 +153,25 @@ def export_buckets(
     at: datetime | str | None = None,
     codec: str = "snappy",
     mode: str = "overwrite",
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
     rows_per_file: int = MAX_TASK_ROWS,
 ) -> ExportResult:
     """Write the rows before ``at``, one folder ``bucket_label=…`` with one file per bucket.
 
     Rows inside a file are in the order of ``measure``, nulls last. A bucket with
     more than ``rows_per_file`` rows is written by several tasks, as sorted files
-    over separate ranges of that order.
+    over separate ranges of that order. A null timestamp, which is neither before nor after
+    ``at``, fails the job.
     """
+    refuse_names(df, "bucket", "bucket_label")
     _check_target(df, path, codec, mode)
     spark, started = df.sparkSession, time.monotonic()
     at = resolve_as_of(df, ts, at)
-    kept = as_of(df, ts, at)
     with Workspace(spark) as workspace:
+        df = evaluated_once(df, workspace)
+        if not df.filter(c(ts).isNull()).isEmpty():
+            raise ValueError(f"null in {ts}")
+        kept = as_of(df, ts, at)
         counts = workspace.save(bucket_counts(kept, ts, seconds), "bucket-counts")
         sizes = GroupSizes.of(counts, "bucket", rows_per_file)
         _refuse_too_many(sizes.n_pieces, max_files)
@@ -172,7 +179,7 @@ def export_buckets(
         bucketed = with_bucket(kept, ts, seconds)
         small, large = sizes.split(bucketed, "bucket")
         keys = bucket_sort_keys(bucketed, measure, ts)
-        rows = small.repartition(c("bucket"))
+        rows = sized_partitions(small, sizes.n_rows, rows_per_file, c("bucket"))
         if large is not None:
             spread = spread_by_range(large, keys, sizes.n_hot_pieces, workspace)
             rows = rows.unionByName(spread.drop(ADDRESS))

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..operators.buckets import as_of, resolve_as_of
 from ..operators.contract import enforce, export_names
+from ..operators.ranking import MAX_TASK_ROWS
 from ..schema import N_BATTERIES, file_schema, readings_schema
 from ..sources.csv import load_csv
-from ..sources.parquet import write_parquet
+from ..sources.parquet import refuse_own_input, write_parquet
 from ..sources.readings import append_readings, readings, row_count
-from .exports import MAX_FILES, ExportResult, export_batches, export_buckets, verify_export
+from .exports import ExportResult, export_batches, export_buckets, verify_export
 from .runlog import log_run
 
 
@@ -37,7 +38,8 @@ def export_job(
     narrow: bool = False,
     quarantine_path: str | None = None,
     log_path: str | None = None,
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
+    rows_per_file: int = MAX_TASK_ROWS,
     n_batteries: int = N_BATTERIES,
 ) -> ExportResult:
     """Export the readings table by record ``count`` or by time ``bucket``, check it and log it.
@@ -48,6 +50,7 @@ def export_job(
     cut-off ``at`` applies to bucket exports only: a count export takes every row.
     """
     table = readings(spark, table_path)
+    refuse_own_input(table, out_path, quarantine_path, log_path)
     contract = file_schema(group, n_batteries, narrow) if group in ("count", "bucket") else None
 
     def fitted(rows: DataFrame) -> DataFrame:
@@ -63,7 +66,8 @@ def export_job(
     if group == "count":
         rows = fitted(export_names(table, "count", n_batteries))
         result = export_batches(
-            rows, out_path, size, ("timestamp",), codec=codec, max_files=max_files
+            rows, out_path, size, ("timestamp",), codec=codec, max_files=max_files,
+            rows_per_file=rows_per_file,
         )
     elif group == "bucket":
         # The bucket label comes first and is added by the export itself.
@@ -71,7 +75,8 @@ def export_job(
         at = resolve_as_of(rows, "time_stamp", at)
         rows = fitted(as_of(rows, "time_stamp", at))
         result = export_buckets(
-            rows, out_path, size, "time_stamp", "bat 1 temp", at, codec, max_files=max_files
+            rows, out_path, size, "time_stamp", "bat 1 temp", at, codec, max_files=max_files,
+            rows_per_file=rows_per_file,
         )
     else:
         raise ValueError(f"unknown group {group!r}, expected 'count' or 'bucket'")

@@ -19,7 +19,8 @@ def log_run(
 
     ``run_type`` is padded to its fixed length and refused beyond it. A run
     without rows has no first reading and is not logged; the result tells. A
-    zone-less first reading is taken in the session zone.
+    zone-less first reading is taken in the session zone. An unknown number of
+    files is null.
     """
     if not run_type or len(run_type) > RUN_TYPE_LENGTH:
         raise ValueError(f"run_type must have 1 to {RUN_TYPE_LENGTH} characters: {run_type!r}")
@@ -28,13 +29,12 @@ def log_run(
     row = manifest.agg(
         F.min("ts_from").cast("timestamp").alias("data_start_timestamp"),
         F.sum("n_rows").alias("n_rows"),
-        F.count(F.lit(1)).alias("n_groups"),
     ).select(
         F.now().alias("last_runtime_stamp"),
         not_null("data_start_timestamp"),
         F.rpad(F.lit(run_type), RUN_TYPE_LENGTH, " ").alias("run_type"),
         "n_rows",
-        (F.col("n_groups") if n_files is None else F.lit(n_files).cast("bigint")).alias("n_files"),
+        F.lit(n_files).cast("bigint").alias("n_files"),
         F.lit(elapsed_ms).cast("bigint").alias("elapsed_ms"),
     )
     write_table(row, path, mode="append")

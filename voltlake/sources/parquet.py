@@ -1,12 +1,9 @@
 """Parquet sink."""
 
-import os
-from urllib.parse import unquote, urlparse
-
 from pyspark.sql import DataFrame, types as T
 
 from ..operators.contract import enforce
-from ..storage import path_exists, write_table
+from ..storage import full_path, write_table
 
 CODECS = ("snappy", "gzip", "uncompressed")
 
@@ -17,26 +14,32 @@ def check_codec(codec: str) -> str:
     return codec
 
 
-def _location(path: str) -> str:
-    location = unquote(urlparse(path).path)
-    if "://" not in path and not path.startswith("file:"):
-        location = os.path.abspath(path)
-    return location.rstrip("/")
+def _input_folders(df: DataFrame) -> list[str]:
+    """The root folders that ``df`` reads, from its plan; no files are listed."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    folders = []
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.nodeName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() == "HadoopFsRelation":
+            roots = relation.location().rootPaths()
+            folders += [roots.apply(i).toString().rstrip("/") for i in range(roots.size())]
+    return folders
 
 
-def refuse_own_input(df: DataFrame, path: str) -> None:
-    """Overwriting deletes first, so the target must not hold, or lie inside, what is read.
+def refuse_own_input(df: DataFrame, *paths: str | None) -> None:
+    """A job must not write into a folder that it reads, nor above or below one.
 
-    The list of input files is long for a large table, so it is only fetched
-    when there is something to overwrite.
+    Overwriting would delete the input; a dataset inside another makes that one
+    unreadable. Missing paths (None) are passed over.
     """
-    if not path_exists(df.sparkSession, path):
-        return
-    target = _location(path)
-    for source in map(_location, df.inputFiles()):
-        folder = os.path.dirname(source)
-        if source == target or source.startswith(target + "/") or target == folder:
-            raise ValueError(f"{path} is an input of the same job")
+    folders = _input_folders(df)
+    for path in filter(None, paths):
+        target = full_path(df.sparkSession, path)
+        for source in folders:
+            if f"{source}/".startswith(f"{target}/") or f"{target}/".startswith(f"{source}/"):
+                raise ValueError(f"{path} is, holds or lies in an input of the same job")
 
 
 def write_parquet(
@@ -61,6 +64,6 @@ def write_parquet(
         df, bad = enforce(df, schema, policy)
     targets = [(df, path)] + ([(bad, quarantine_path)] if bad is not None else [])
     for rows, target in targets:
-        if mode == "overwrite":
+        if mode != "append":
             refuse_own_input(rows, target)
         write_table(rows, target, mode, codec)

@@ -1,5 +1,6 @@
 """How tables are written, looked up and removed."""
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -19,6 +20,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system, so that two spellings of one folder are equal."""
+    files, location = _file_system(spark, path)
+    return files.makeQualified(location).toString().rstrip("/")
+
+
+def replace_folder(spark: SparkSession, path: str, by: str) -> None:
+    """Move the finished folder ``by`` to ``path``, where an older one may be."""
+    files, target = _file_system(spark, path)
+    source = _file_system(spark, by)[1]
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {by} to {path}")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     files, location = _file_system(spark, path)
     files.delete(location, True)
@@ -47,9 +63,24 @@ def write_table(
     partition_by: str | None = None,
     **options: int,
 ) -> None:
-    """Write Parquet; ``overwrite`` replaces the whole dataset, whatever the session's overwrite mode."""
+    """Write Parquet; ``overwrite`` replaces the whole dataset, whatever the session's overwrite mode.
+
+    An existing dataset is replaced by a folder written beside it, so a failed job
+    leaves it as it was.
+    """
+    spark, target = df.sparkSession, path
+    staged = mode == "overwrite" and path_exists(spark, target)
+    if staged:
+        path = f"{full_path(spark, target)}.staging-{uuid.uuid4().hex[:12]}"
     writer = df.write.mode(mode).option("compression", codec).options(**options)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "static").partitionBy(partition_by)
-    with _microsecond_timestamps(df.sparkSession):
-        writer.parquet(path)
+    try:
+        with _microsecond_timestamps(spark):
+            writer.parquet(path)
+        if staged:
+            replace_folder(spark, target, path)
+    except BaseException:
+        if staged:
+            remove_folder(spark, path)
+        raise
