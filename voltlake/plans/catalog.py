@@ -6,11 +6,11 @@ the first measure, ``event_id`` as last word in the order.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import operators as ops
 from ..functions import bucket_label, time_bucket
-from ..schema import MEASURES
+from ..schema import MEASURES, file_schema
 from ..sources import (
     export_csv,
     load_csv,
@@ -37,6 +37,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events")
 
 
+def _hot_rows(df: DataFrame) -> int:
+    """A task size of a hundredth of the table, so that it takes the way of large tables."""
+    return max(1, df.count() // 100)
+
+
 def q_time_bucket(spark, sf_dir):
     return _events(spark, sf_dir).select("event_id", time_bucket("ts", WIDTH).alias("bucket"))
 
@@ -62,6 +67,19 @@ def q_bucket_manifest(spark, sf_dir):
 
 
 def q_order_in_bucket(spark, sf_dir):
+    """The place of each row in its bucket, read off the order in which the sorted rows are stored."""
+    events = _events(spark, sf_dir).select("event_id", "ts", "value")
+    bucketed = ops.with_bucket(ops.as_of(events, "ts", AS_OF), "ts", WIDTH)
+    ordered = ops.order_in_bucket(bucketed, "value", "ts").withColumn(
+        "stored_at", F.monotonically_increasing_id()
+    )
+    stored = Workspace(spark).save(ordered, "ordered")
+    before = Window.partitionBy("bucket").orderBy("stored_at")
+    pos = F.row_number().over(before).cast("bigint").alias("pos")
+    return stored.select("event_id", "bucket", "ts", "value", pos)
+
+
+def q_position_in_bucket(spark, sf_dir):
     events = _events(spark, sf_dir).select("event_id", "ts", "value")
     bucketed = ops.with_bucket(ops.as_of(events, "ts", AS_OF), "ts", WIDTH)
     placed = ops.position_in_bucket(
@@ -87,10 +105,80 @@ def q_batch_summary(spark, sf_dir):
 def q_batch_export(spark, sf_dir):
     path = Workspace(spark).path("batches")
     export_batches(_events(spark, sf_dir), path, FILE_BATCH, ("ts", "event_id"))
-    written = spark.read.parquet(path)
-    return written.groupBy(F.col("batch_id").cast("int").alias("batch_id")).agg(
-        F.count(F.lit(1)).alias("n_rows")
+    return spark.read.parquet(path).select("event_id", F.col("batch_id").cast("int").alias("batch_id"))
+
+
+def q_batch_assign_ties(spark, sf_dir):
+    """Only a few distinct times, and a task size for which each has too many rows."""
+    month = F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("month")
+    lines = _table(spark, sf_dir, "lineitem").select(month, "l_orderkey", "l_linenumber")
+    order = ["month", "l_orderkey", "l_linenumber"]
+    batched = ops.with_batch_id(lines, order, SMALL_BATCH, max_rows=_hot_rows(lines))
+    return batched.select("l_orderkey", "l_linenumber", "batch_id")
+
+
+def q_bucket_export_hot(spark, sf_dir):
+    """Buckets of a day, each written as several files."""
+    path = Workspace(spark).path("hot-buckets")
+    events = _events(spark, sf_dir).select("event_id", "ts", "value")
+    export_buckets(events, path, 86400, "ts", "value", AS_OF, rows_per_file=_hot_rows(events))
+    return spark.read.parquet(path).select("bucket", "event_id", "ts", "value")
+
+
+def q_bucket_nulls(spark, sf_dir):
+    """Buckets of a table in which one time in ten is missing."""
+    ts = F.when(F.col("event_id") % 10 != 0, F.col("ts")).alias("ts")
+    events = _events(spark, sf_dir).select("event_id", ts)
+    manifest = ops.bucket_manifest(events, "ts", WIDTH).select("bucket", "n_rows", "bucket_no")
+    bucketed = ops.with_bucket(events, "ts", WIDTH)
+    return bucketed.join(manifest, bucketed["bucket"].eqNullSafe(manifest["bucket"])).select(
+        "event_id", bucketed["bucket"], "n_rows", "bucket_no"
+    )
+
+
+def q_typed_sink(spark, sf_dir):
+    """Rows that fit the declared types from one folder, and those that do not from another."""
+    workspace = Workspace(spark)
+    good, bad = workspace.path("good"), workspace.path("bad")
+    contract = T.StructType([T.StructField("temp", T.DecimalType(5, 3))])
+    events = _events(spark, sf_dir).select("event_id", F.col("value").alias("temp"))
+    write_parquet(events, good, "gzip", schema=contract, policy="quarantine", quarantine_path=bad)
+    fit = spark.read.parquet(good).select("event_id", "temp", F.lit(None).cast("double").alias("was"))
+    unfit = spark.read.parquet(bad).select(
+        "event_id", F.lit(None).cast("decimal(5,3)").alias("temp"), F.col("temp").alias("was")
     )
+    return fit.unionByName(unfit)
+
+
+def q_sheet_export(spark, sf_dir):
+    """The spreadsheet layout: its labels and declared types, gzipped."""
+    path = Workspace(spark).path("sheet")
+    measures = [F.col("value").alias(m) for m in MEASURES]
+    named = ops.export_names(_events(spark, sf_dir).select("ts", *measures), "sheet", 1)
+    contract = file_schema("sheet", 1)
+    contract["timestamp"].dataType = T.TimestampNTZType()
+    write_parquet(named, path, "gzip", schema=contract)
+    return spark.read.parquet(path)
+
+
+def q_csv_text_load(spark, sf_dir):
+    """Texts with quotes, commas, blanks at the ends, empty ones and nulls, through CSV."""
+    path = Workspace(spark).path("texts-csv")
+    number = F.col("event_id") % 4
+    note = (
+        F.when(number == 0, F.concat(F.lit(' "'), "event_type", F.lit('", ')))
+        .when(number == 1, F.lit(""))
+        .when(number == 2, F.lit("  "))
+    )
+    export_csv(_events(spark, sf_dir).select("event_id", "props", note.alias(" note")), path)
+    schema = T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("props", T.StringType()),
+            T.StructField("note", T.StringType()),
+        ]
+    )
+    return load_csv(spark, path, schema, required=("event_id",))
 
 
 def q_bucket_export(spark, sf_dir):
@@ -171,6 +259,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bucket_label": q_bucket_label,
     "bucket_manifest": q_bucket_manifest,
     "order_in_bucket": q_order_in_bucket,
+    "position_in_bucket": q_position_in_bucket,
+    "bucket_nulls": q_bucket_nulls,
+    "batch_assign_ties": q_batch_assign_ties,
+    "bucket_export_hot": q_bucket_export_hot,
+    "typed_sink": q_typed_sink,
+    "sheet_export": q_sheet_export,
+    "csv_text_load": q_csv_text_load,
     "batch_assign": q_batch_assign,
     "batch_manifest": q_batch_manifest,
     "batch_summary": q_batch_summary,
@@ -208,10 +303,43 @@ ORACLES: dict[str, str] = {
         f"(select {_BUCKET} as bucket, count(*) as n_rows from events where {_BEFORE} group by 1)"
     ),
     "order_in_bucket": (
+        "select event_id, bucket, ts, value, row_number() over "
+        "(partition by bucket order by value nulls last, ts, event_id) as pos from "
+        f"(select *, {_BUCKET} as bucket from events where {_BEFORE})"
+    ),
+    "position_in_bucket": (
         "select event_id, bucket, row_number() over "
         "(partition by bucket order by value nulls last, event_id) as pos from "
         f"(select *, {_BUCKET} as bucket from events where {_BEFORE})"
     ),
+    "bucket_nulls": (
+        "select event_id, bucket, count(*) over (partition by bucket) as n_rows, "
+        "dense_rank() over (order by bucket nulls last) as bucket_no from "
+        f"(select event_id, time_bucket(interval '{WIDTH} seconds', "
+        "case when event_id % 10 <> 0 then ts end) as bucket from events)"
+    ),
+    "batch_assign_ties": (
+        "select l_orderkey, l_linenumber, (row_number() over "
+        "(order by date_trunc('month', l_shipdate), l_orderkey, l_linenumber) - 1) "
+        f"// {SMALL_BATCH} + 1 as batch_id "
+        "from lineitem"
+    ),
+    "bucket_export_hot": (
+        "select time_bucket(interval '86400 seconds', ts) as bucket, event_id, ts, value "
+        f"from events where {_BEFORE}"
+    ),
+    "typed_sink": (
+        "select event_id, try_cast(value as decimal(5,3)) as temp, "
+        "case when try_cast(value as decimal(5,3)) is null then value end as was from events"
+    ),
+    "sheet_export": (
+        'select ts as "timestamp", value as "bat 1 temp", '
+        'cast(trunc(value) as bigint) as "bat 1 charge", value as " bat 1 voltage" from events'
+    ),
+    "csv_text_load": (
+        "select event_id, props, case event_id % 4 when 0 then ' \"' || event_type || '\", ' "
+        "when 1 then '' when 2 then '  ' end as note from events"
+    ),
     "batch_assign": f"select event_id, {_batch(SMALL_BATCH)} as batch_id from events",
     "batch_manifest": (
         "select batch_id, count(*) as n_rows, min(ts) as ts_from, max(ts) as ts_to from "
@@ -222,8 +350,7 @@ ORACLES: dict[str, str] = {
         f"count(*) % {SMALL_BATCH} as last_batch_rows from lineitem"
     ),
     "batch_export": (
-        "select cast(batch_id as integer) as batch_id, count(*) as n_rows from "
-        f"(select {_batch(FILE_BATCH)} as batch_id from events) group by 1"
+        f"select event_id, cast({_batch(FILE_BATCH)} as integer) as batch_id from events"
     ),
     "bucket_export": (
         "select time_bucket(interval '86400 seconds', ts) as bucket, event_id, ts, value "
