@@ -1,12 +1,27 @@
 """Fixed-size record batches in time order."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import c
+from ..functions import c, refuse_names, time_bucket
 from ..workspace import Workspace
-from .ranking import MAX_TASK_ROWS, TimeCells, with_rank
+from .ranking import (
+    CELL,
+    MAX_BROADCAST_ROWS,
+    MAX_TASK_ROWS,
+    GroupSizes,
+    TimeCells,
+    broadcast_if_small,
+    evaluated_once,
+    positions,
+    running_start,
+    with_rank,
+)
 
 _RANK = "_vl_rank"
+_BEFORE = "_vl_before"
+_LAST = "_vl_last_batch"
 
 
 def check_batch_size(n: int) -> int:
@@ -20,6 +35,59 @@ def batch_of(rank: Column, n: int) -> Column:
     return F.call_function("div", rank - 1, F.lit(n)) + 1
 
 
+@dataclass
+class BatchCells:
+    """Time cells split by whether a batch ends inside them.
+
+    ``whole`` has the one batch of each cell that lies in it with all its rows, ``border``
+    the rank before each other cell. Only rows of border cells need a rank.
+    """
+
+    width: int
+    whole: DataFrame
+    n_whole: int
+    border: DataFrame
+    sizes: GroupSizes
+
+    @classmethod
+    def of(cls, cells: TimeCells, n: int, workspace: Workspace) -> "BatchCells | None":
+        """None if most rows lie in border cells: ranking them all is then one shuffle less."""
+        narrow = cells.narrow()
+        table = running_start(narrow.counts, CELL, narrow.sizes.n_groups, F.col("n_rows"), _BEFORE)
+        table = workspace.save(
+            table.select(
+                "*",
+                batch_of(c(_BEFORE) + 1, n).alias("batch_id"),
+                batch_of(c(_BEFORE) + F.col("n_rows"), n).alias(_LAST),
+            ),
+            "batch-cells",
+        )
+        border = table.filter(c("batch_id") != c(_LAST))
+        sizes = GroupSizes.of(border, CELL, cells.sizes.max_rows)
+        if sizes.n_rows > cells.sizes.n_rows / 2 or narrow.sizes.n_groups > MAX_BROADCAST_ROWS:
+            return None
+        n_whole = narrow.sizes.n_groups - sizes.n_groups
+        return cls(narrow.width, table.filter(c("batch_id") == c(_LAST)), n_whole, border, sizes)
+
+    def border_rows(self, df: DataFrame, order: list[str], n: int, workspace: Workspace) -> DataFrame:
+        """The rows of the border cells with their ``batch_id``."""
+        keys = broadcast_if_small(self.border.select(CELL), self.sizes.n_groups)
+        celled = self._celled(df, order[0]).join(keys, CELL, "left_semi")
+        small, large = positions(celled, CELL, order, self.sizes, _RANK, workspace)
+        ranked = small if large is None else small.unionByName(large)
+        starts = broadcast_if_small(self.border.select(CELL, _BEFORE), self.sizes.n_groups)
+        batch = batch_of(c(_BEFORE) + c(_RANK), n).alias("batch_id")
+        return ranked.join(starts, CELL).select(*map(c, df.columns), batch)
+
+    def whole_rows(self, df: DataFrame, ts: str) -> DataFrame:
+        """The rows of all other cells with the batch of their cell; they are not shuffled."""
+        batches = broadcast_if_small(self.whole.select(CELL, "batch_id"), self.n_whole)
+        return self._celled(df, ts).join(batches, CELL).select(*map(c, df.columns), "batch_id")
+
+    def _celled(self, df: DataFrame, ts: str) -> DataFrame:
+        return df.select(*map(c, df.columns), time_bucket(c(ts), self.width).alias(CELL))
+
+
 def with_batch_id(
     df: DataFrame,
     order: list[str],
@@ -30,6 +98,15 @@ def with_batch_id(
 ) -> DataFrame:
     """``df`` plus ``batch_id``: runs of ``n`` rows in ``order``; the last run may be short."""
     check_batch_size(n)
+    refuse_names(df, "batch_id")
+    workspace = workspace or Workspace(df.sparkSession)
+    if cells is None:
+        df = evaluated_once(df, workspace)
+        cells = TimeCells.count(df, order[0], max_rows, workspace)
+    split = BatchCells.of(cells, n, workspace)
+    if split is not None:
+        border = split.border_rows(df, order, n, workspace)
+        return split.whole_rows(df, order[0]).unionByName(border)
     ranked = with_rank(df, order, _RANK, max_rows, workspace, cells)
     return ranked.select(*map(c, df.columns), batch_of(c(_RANK), n).alias("batch_id"))
 
@@ -56,11 +133,28 @@ def batch_manifest(
     """The batches an export would write: rows and time range of each, nothing written.
 
     Which of several rows with one timestamp falls into which batch does not
-    show in a manifest, so only ``ts`` is read and ranked.
+    show in a manifest, so only ``ts`` is read, and cells that lie in one batch are
+    summed up from their counts.
     """
-    batches = with_batch_id(df.select(c(ts)), [ts], n, max_rows, workspace, cells)
-    return batches.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min(c(ts)).alias("ts_from"),
-        F.max(c(ts)).alias("ts_to"),
+    check_batch_size(n)
+    times = df.select(c(ts))
+    workspace = workspace or Workspace(df.sparkSession)
+    if cells is None:
+        times = evaluated_once(times, workspace)
+        cells = TimeCells.count(times, ts, max_rows, workspace)
+    split = BatchCells.of(cells, n, workspace)
+    if split is None:
+        ranked = with_rank(times, [ts], _RANK, max_rows, workspace, cells)
+        parts = ranked.select(batch_of(c(_RANK), n).alias("batch_id"), *_one_row(c(ts)))
+    else:
+        border = split.border_rows(times, [ts], n, workspace).select("batch_id", *_one_row(c(ts)))
+        parts = split.whole.select("batch_id", "n_rows", "ts_from", "ts_to").unionByName(border)
+    return parts.groupBy("batch_id").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.min("ts_from").alias("ts_from"),
+        F.max("ts_to").alias("ts_to"),
     )
+
+
+def _one_row(ts: Column) -> list[Column]:
+    return [F.lit(1).cast("bigint").alias("n_rows"), ts.alias("ts_from"), ts.alias("ts_to")]

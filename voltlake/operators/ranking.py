@@ -28,7 +28,7 @@ MINUTE = 60
 ADDRESS = "_vl_address"
 _SEQUENCE = "_vl_sequence"
 _PIECE = "_vl_piece"
-_CELL = "_vl_cell"
+CELL = "_vl_cell"
 _DAY = "_vl_day"
 _THAT_DAY = "_vl_that_day"
 _START = "_vl_start"
@@ -262,6 +262,16 @@ class TimeCells:
     width: int
     counts: DataFrame
     sizes: GroupSizes
+    counted: DataFrame
+    counted_width: int
+
+    def narrow(self) -> "TimeCells":
+        """The narrowest counted cells of which there are few enough to broadcast a table."""
+        for width in (self.counted_width, HOUR, DAY):
+            cells = self._rolled_up(self.counted, width, self.sizes.max_rows, self.counted_width)
+            if cells.sizes.n_groups <= MAX_BROADCAST_ROWS:
+                break
+        return cells
 
     @classmethod
     def count(cls, df: DataFrame, ts: str, max_rows: int, workspace: Workspace) -> "TimeCells":
@@ -276,19 +286,30 @@ class TimeCells:
             if not cells.sizes.n_hot_groups:
                 return cells
         if cells.sizes.n_hot_rows > cells.sizes.n_rows / 2:
-            return cls._rolled_up(_count_cells(df, ts, 1, workspace), 1, max_rows)
+            return cls._rolled_up(_count_cells(df, ts, 1, workspace), 1, max_rows, 1)
         return cells
 
     @classmethod
-    def _rolled_up(cls, counted: DataFrame, width: int, max_rows: int) -> "TimeCells":
-        wider = counted.select(time_bucket(c(_CELL), width).alias(_CELL), "n_rows")
-        counts = wider.groupBy(_CELL).agg(F.sum("n_rows").alias("n_rows"))
-        return cls(width, counts, GroupSizes.of(counts, _CELL, max_rows))
+    def _rolled_up(
+        cls, counted: DataFrame, width: int, max_rows: int, counted_width: int = MINUTE
+    ) -> "TimeCells":
+        wider = counted.withColumn(CELL, time_bucket(c(CELL), width))
+        counts = wider.groupBy(CELL).agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.min("ts_from").alias("ts_from"),
+            F.max("ts_to").alias("ts_to"),
+        )
+        sizes = GroupSizes.of(counts, CELL, max_rows)
+        return cls(width, counts, sizes, counted, counted_width)
 
 
 def _count_cells(df: DataFrame, ts: str, width: int, workspace: Workspace) -> DataFrame:
-    cells = df.select(not_null(ts)).select(time_bucket(c(ts), width).alias(_CELL))
-    return workspace.save(count_rows(cells, _CELL), "cell-counts")
+    """Row count and time range of each cell."""
+    times = df.select(not_null(ts)).select(c(ts), time_bucket(c(ts), width).alias(CELL))
+    counts = times.groupBy(CELL).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(c(ts)).alias("ts_from"), F.max(c(ts)).alias("ts_to")
+    )
+    return workspace.save(counts, "cell-counts")
 
 
 def with_rank(
@@ -311,17 +332,17 @@ def with_rank(
         df = evaluated_once(df, workspace)
         cells = TimeCells.count(df, ts, max_rows, workspace)
     starts = running_start(
-        cells.counts, _CELL, cells.sizes.n_groups, F.col("n_rows"), _START
-    ).select(_CELL, _START)
+        cells.counts, CELL, cells.sizes.n_groups, F.col("n_rows"), _START
+    ).select(CELL, _START)
 
     columns = df.columns
-    celled = df.select(*map(c, columns), time_bucket(c(ts), cells.width).alias(_CELL))
-    small, large = positions(celled, _CELL, order, cells.sizes, name, workspace)
+    celled = df.select(*map(c, columns), time_bucket(c(ts), cells.width).alias(CELL))
+    small, large = positions(celled, CELL, order, cells.sizes, name, workspace)
     rank = (c(_START) + c(name)).alias(name)
-    ranked = small.join(starts, _CELL).select(*map(c, columns), rank)
+    ranked = small.join(starts, CELL).select(*map(c, columns), rank)
     if large is None:
         return ranked
     n_hot = cells.sizes.n_hot_groups
-    hot_cells = broadcast_if_small(cells.sizes.hot.select(_CELL), n_hot)
-    hot_starts = broadcast_if_small(starts.join(hot_cells, _CELL, "left_semi"), n_hot)
-    return ranked.unionByName(large.join(hot_starts, _CELL).select(*map(c, columns), rank))
+    hot_cells = broadcast_if_small(cells.sizes.hot.select(CELL), n_hot)
+    hot_starts = broadcast_if_small(starts.join(hot_cells, CELL, "left_semi"), n_hot)
+    return ranked.unionByName(large.join(hot_starts, CELL).select(*map(c, columns), rank))

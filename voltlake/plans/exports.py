@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import bucket_label, c, refuse_names
-from ..operators.batches import batch_of, check_batch_size
+from ..operators.batches import batch_of, check_batch_size, with_batch_id
 from ..operators.buckets import (
     as_of,
     bucket_counts,
@@ -24,6 +24,7 @@ from ..operators.ranking import (
     TimeCells,
     evaluated_once,
     sized_partitions,
+    sort_keys,
     spread_by_range,
     with_rank,
 )
@@ -122,10 +123,13 @@ def export_batches(
         full, rest = divmod(n_rows, n)
         n_files = full * math.ceil(n / rows_per_file) + math.ceil(rest / rows_per_file)
         _refuse_too_many(n_files, max_files)
-        ranked = with_rank(df, list(order), _RANK, workspace=workspace, cells=cells)
-        batched = ranked.withColumn("batch_id", batch_of(c(_RANK), n))
-        spread, options = [c("batch_id")], {}
-        if n > rows_per_file:
+        spread, options, in_order = [c("batch_id")], {}, sort_keys(df, list(order))
+        if n <= rows_per_file:
+            batched = with_batch_id(df, list(order), n, workspace=workspace, cells=cells)
+        else:
+            ranked = with_rank(df, list(order), _RANK, workspace=workspace, cells=cells)
+            batched = ranked.withColumn("batch_id", batch_of(c(_RANK), n))
+            in_order = [c(_RANK)]
             # Parts of one batch may share a task; all but the last are full, so
             # the writer's own limit cuts between them.
             in_batch = (c(_RANK) - 1) % F.lit(n)
@@ -133,7 +137,7 @@ def export_batches(
             options["maxRecordsPerFile"] = rows_per_file
         rows = (
             sized_partitions(batched, n_rows, MAX_TASK_ROWS, *spread)
-            .sortWithinPartitions("batch_id", _RANK)
+            .sortWithinPartitions("batch_id", *in_order)
             .select(*map(c, df.columns), "batch_id")
         )
         write_table(rows, path, mode, codec, "batch_id", **options)
