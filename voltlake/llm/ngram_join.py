@@ -24,6 +24,9 @@ ROWS_PER_TILE = 200_000
 # The bitmap of wanted documents has this many bits, whatever the number of documents.
 SLOT_BITS, PART_BITS = 25, 7
 _KNOWN_CLASSES = 500_000
+# Tokens of so many classes get pivots before their pairs are compared.
+PIVOT_FROM, PIVOT_ROUNDS = 16, 3
+_TILE_WORDS = 1 << 17
 
 
 def shingle_sets(column: pa.Array, width: int = WIDTH):
@@ -58,14 +61,14 @@ def index_length(n, percent: int):
     return n - _least_overlap(n, n, percent) + 1
 
 
-def _band(n):
+def _band(n: str):
     """Sizes of similar sets lie in the same or in neighbouring bands."""
-    return np.floor(np.log(np.maximum(n, 1)) / math.log(1.25)).astype(np.int64)
+    return F.floor(F.log(F.col(n).cast("double")) / math.log(1.25)).cast("int")
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
-    """A bitmap with one bit per hashed shingle, one to two bits wide per element."""
-    width = 1 << max(6, len(shingles).bit_length())
+    """A bitmap with one bit per hashed shingle, two to four bits wide per element."""
+    width = 1 << max(6, len(shingles).bit_length() + 1)
     bits = np.zeros(width, bool)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
@@ -255,14 +258,11 @@ def _unpack(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-_MEMBERS = "token long, cls long, n long, index boolean, pivot long, pivot_n long"
+_MEMBERS = "token long, cls long, n long, index boolean, size long"
 
 
 def _shared_tokens(table: pa.Table) -> pa.Table:
-    """The tokens of a bucket that several classes have, with a pivot per token and size band.
-
-    The pivot of a band points to that of the band below, if there is one.
-    """
+    """The tokens of a bucket that several classes have, with the number of these classes."""
     token, cls = _unpack(table, "tokens", np.uint64), _unpack(table, "owners", np.int64)
     n, index = _unpack(table, "sizes", np.int64), _unpack(table, "index", np.uint8)
     order = np.lexsort((cls, n, token))
@@ -274,23 +274,13 @@ def _shared_tokens(table: pa.Table) -> pa.Table:
     length = np.diff(np.append(begin, len(token)))
     shared = np.repeat(length > 1, length)
     token, cls, n, index = token[shared], cls[shared], n[shared], index[shared]
-    band = _band(n)
-    new_token = np.append(True, token[1:] != token[:-1])[: len(token)]
-    new_band = new_token | np.append(True, band[1:] != band[:-1])[: len(token)]
-    heads = np.flatnonzero(new_band)
-    pivot = heads[np.cumsum(new_band) - 1] if len(token) else heads
-    below = heads.copy()
-    if len(heads):
-        below[1:] = np.where(new_token[heads[1:]], heads[1:], heads[:-1])
-        pivot[heads] = below
     return pa.table(
         {
             "token": pa.array(token.view(np.int64)),
             "cls": pa.array(cls),
             "n": pa.array(n),
             "index": pa.array(index.astype(bool)),
-            "pivot": pa.array(cls[pivot]),
-            "pivot_n": pa.array(n[pivot]),
+            "size": pa.array(np.repeat(length[length > 1], length[length > 1])),
         }
     )
 
@@ -406,6 +396,11 @@ def _with_both(pairs: DataFrame, table: DataFrame) -> DataFrame:
     return pairs
 
 
+def _both_sides(pairs: DataFrame) -> DataFrame:
+    sides = [pairs.select(F.col(side).alias("cls")).distinct() for side in ("x", "y")]
+    return sides[0].unionByName(sides[1]).distinct()
+
+
 class _Verifier:
     """Confirms candidate pairs: bit counts first, then the sets of what is left."""
 
@@ -417,7 +412,7 @@ class _Verifier:
 
     def _fetch(self, pairs: DataFrame) -> None:
         """Adds the sets of the classes in ``pairs`` that are not there yet."""
-        wanted = pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
+        wanted = _both_sides(pairs)
         if self.sets is not None:
             wanted = wanted.join(self.sets.select("cls"), "cls", "left_anti")
         wanted = self.workspace.save(wanted.join(self.classes, "cls").select("cls", "rep"), "wanted")
@@ -432,10 +427,12 @@ class _Verifier:
         found = self.workspace.save(found, "sets")
         self.sets = found if self.sets is None else self.sets.unionByName(found)
 
+    def bits_of(self, wanted: DataFrame) -> DataFrame:
+        return self.bits.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs of ``pairs`` (x, y), a stored table, that are similar."""
-        wanted = pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
-        bits = self.bits.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+        bits = self.bits_of(_both_sides(pairs))
         possible = self.workspace.save(
             _with_both(pairs, bits).mapInArrow(_possible(self.percent), "x long, y long"), "possible"
         )
@@ -444,18 +441,22 @@ class _Verifier:
         return self.workspace.save(both.mapInArrow(_similar(self.percent), "x long, y long"), "links")
 
 
-def _ordered(a: str, b: str):
-    return F.least(a, b).alias("x"), F.greatest(a, b).alias("y")
-
+def _cross_pairs(percent: int, with_bits: bool):
+    """All pairs that share a token, fit by size and are not in one component yet.
 
-def _cross_pairs(percent: int):
-    """All pairs that share a token, fit by size and are not in one component yet."""
+    With bits, only those of them whose bit counts allow the overlap that they need.
+    """
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
         token, cls, n = (table[c].to_numpy() for c in ("token", "cls", "n"))
         index, comp = table["index"].to_numpy(), table["comp"].to_numpy()
         order = np.lexsort((n, token))
         token, cls, n, index, comp = (x[order] for x in (token, cls, n, index, comp))
+        bits = None
+        if with_bits:
+            column = table["bits"].chunk(0) if table.num_rows else pa.array([], pa.binary())
+            bits = [np.frombuffer(column[int(i)].as_buffer(), np.uint64) for i in order]
         ends = np.append(np.flatnonzero(np.diff(token)) + 1, len(token))
         found, held = [np.zeros((0, 2), np.int64)], 0
         begin = 0
@@ -464,10 +465,12 @@ def _cross_pairs(percent: int):
                 # Members are in size order: i is the smaller side.
                 stop = np.searchsorted(n[i + 1 : end], n[i] * 100 // percent, "right") + i + 1
                 fits = (comp[i + 1 : stop] != comp[i]) & (index[i] | (n[i + 1 : stop] == n[i]))
-                others = cls[i + 1 : stop][fits]
+                others = np.flatnonzero(fits) + i + 1
+                if bits is not None and len(others):
+                    others = others[_may_overlap(bits, n, i, others, percent)]
                 if len(others):
-                    mine = np.full(len(others), cls[i])
-                    found.append(np.stack([np.minimum(mine, others), np.maximum(mine, others)], 1))
+                    mine, theirs = np.full(len(others), cls[i]), cls[others]
+                    found.append(np.stack([np.minimum(mine, theirs), np.maximum(mine, theirs)], 1))
                     held += len(others)
                     if held > 1_000_000:
                         found, held = [np.unique(np.concatenate(found), axis=0)], 0
@@ -478,6 +481,60 @@ def _cross_pairs(percent: int):
     return run
 
 
+def _may_overlap(bits, n: np.ndarray, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+    """Which of ``others`` can overlap enough with ``i`` by the bit counts; a tile of rows at a time."""
+    possible = np.zeros(len(others), bool)
+    widths = np.array([len(bits[k]) for k in others])
+    for width in np.unique(widths):
+        rows = np.flatnonzero(widths == width)
+        x = bits[i]
+        while len(x) > width:
+            x = x[: len(x) // 2] | x[len(x) // 2 :]
+        for tile in np.array_split(rows, max(1, len(rows) * width // _TILE_WORDS)):
+            y = np.stack([bits[k] for k in others[tile]])
+            while y.shape[1] > len(x):
+                y = y[:, : y.shape[1] // 2] | y[:, y.shape[1] // 2 :]
+            only_x = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+            only_y = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+            m = n[others[tile]]
+            bound = np.minimum(n[i] - only_x, m - only_y)
+            possible[tile] = bound >= _least_overlap(n[i], m, percent)
+    return possible
+
+
+def _open_rows(members: DataFrame, labels: DataFrame | None, workspace: Workspace) -> DataFrame:
+    """``members`` with their components, but only the tokens that several components share."""
+    if labels is None:
+        return members.withColumn("comp", F.col("cls"))
+    known = labels.withColumnRenamed("node", "cls")
+    tagged = members.join(known, "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
+    tagged = workspace.save(tagged.drop("component"), "tagged")
+    several = tagged.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    several = several.filter("low <> high").select("token")
+    return tagged.join(several, "token", "left_semi")
+
+
+def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
+    """Each member with the pivot of its token and size band and with that of the band above.
+
+    The first pivot is the member that shares most tokens: a text that the others
+    were made from shares more than those with changes of their own. Later ones are
+    any, by a hash.
+    """
+    score = F.col("shared") if round_ == 0 else F.xxhash64(F.lit(round_), "cls")
+    banded = rows.withColumn("band", _band("n"))
+    best = F.max(F.struct(score.alias("score"), "cls", "n", "comp")).alias("pivot")
+    pivots = banded.groupBy("token", "band").agg(best)
+    reached = pivots.select("token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), "pivot")
+    fits = F.least("n", "pivot.n") * 100 >= F.greatest("n", "pivot.n") * percent
+    return (
+        banded.join(reached, ["token", "band"])
+        .filter(fits & (F.col("comp") != F.col("pivot.comp")))
+        .select(F.least("cls", "pivot.cls").alias("x"), F.greatest("cls", "pivot.cls").alias("y"))
+        .distinct()
+    )
+
+
 def similar_classes(
     docs: DataFrame,
     text_col: str,
@@ -505,37 +562,47 @@ def similar_classes(
 
     verifier = _Verifier(docs, text_col, id_col, classes, summaries, width, percent, workspace)
 
-    # First each member against its pivots: one link joins it to all that share the pivot.
-    fits = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
-    first = workspace.save(
-        members.filter((F.col("cls") != F.col("pivot")) & fits)
-        .select(*_ordered("cls", "pivot"))
-        .distinct(),
-        "first-pairs",
+    # Tokens of many classes: each member against a pivot, which joins all that link to it.
+    shared = members.groupBy("cls").agg(F.count(F.lit(1)).alias("shared"))
+    large = workspace.save(
+        members.filter(F.col("size") >= PIVOT_FROM).join(shared, "cls"), "large-tokens"
     )
-    links = verifier.links(first)
-    known = connected_components(links, "x", "y", workspace)
-
-    # Then the pairs that are left: all those not connected by now.
-    labels = known.select(F.col("node").alias("cls"), "component")
-    tagged = members.join(labels, "cls", "left").select(
-        "token", "cls", "n", "index", F.coalesce("component", "cls").alias("comp")
+    links, tried, known = None, None, None
+    for round_ in range(PIVOT_ROUNDS):
+        pairs = _pivot_pairs(_open_rows(large, known, workspace), round_, percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["x", "y"], "left_anti")
+        pairs = workspace.save(pairs, "pivot-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if pairs.isEmpty():
+            break
+        found = verifier.links(pairs)
+        if found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        known = connected_components(links, "x", "y", workspace)
+
+    # Then all pairs that are left, those not connected by now.
+    rest = _open_rows(members, known, workspace)
+    bucket = F.pmod(F.xxhash64("token"), F.lit(n_buckets * 4)).alias("bucket")
+    small_pairs = (
+        rest.filter(F.col("size") < PIVOT_FROM)
+        .groupBy(bucket)
+        .applyInArrow(_cross_pairs(percent, False), "x long, y long")
     )
-    tagged = workspace.save(tagged, "tagged")
-    open_tokens = (
-        tagged.groupBy("token")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        .filter("low <> high")
-        .select("token")
+    bits = verifier.bits_of(large.select("cls").distinct()).select("cls", "bits")
+    large_pairs = (
+        rest.filter(F.col("size") >= PIVOT_FROM)
+        .join(bits, "cls")
+        .groupBy(bucket)
+        .applyInArrow(_cross_pairs(percent, True), "x long, y long")
     )
-    rest = tagged.join(open_tokens, "token", "left_semi")
-    bucket = F.pmod(F.xxhash64("token"), F.lit(n_buckets * 4)).alias("bucket")
-    crossing = rest.groupBy(bucket).applyInArrow(_cross_pairs(percent), "x long, y long")
-    pairs = workspace.save(crossing.distinct().join(first, ["x", "y"], "left_anti"), "pairs")
-    more = verifier.links(pairs)
-    if more.isEmpty():
-        return known
-    return connected_components(links.unionByName(more), "x", "y", workspace)
+    pairs = small_pairs.unionByName(large_pairs).distinct()
+    if tried is not None:
+        pairs = pairs.join(tried, ["x", "y"], "left_anti")
+    found = verifier.links(workspace.save(pairs, "pairs"))
+    links = found if links is None else links.unionByName(found)
+    return connected_components(links, "x", "y", workspace)
 
 
 def join_ngrams(
