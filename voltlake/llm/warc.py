@@ -284,31 +284,52 @@ def warc_record(record: ArcRecord, original: dict | None) -> bytes:
     return _head(fields) + block
 
 
-def _info(archive: str) -> bytes:
-    block = f"software: voltlake\r\nformat: WARC File Format 1.1\r\nconverted-from: {archive}\r\n".encode()
+def _info(first: ArcRecord) -> bytes:
+    """The record that opens a WARC file, named after the first record in it."""
+    block = f"software: voltlake\r\nformat: WARC File Format 1.1\r\nfirst-from: {first.archive}\r\n".encode()
     fields = {
         "WARC-Type": "warcinfo",
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(_ID_NAMESPACE, archive)}>",
-        "WARC-Date": "1970-01-01T00:00:00Z",
+        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(_ID_NAMESPACE, 'info ' + first.record_id)}>",
+        "WARC-Date": first.warc_date,
         "Content-Type": "application/warc-fields",
         "Content-Length": str(len(block)),
     }
     return _head(fields) + block
 
 
+_ARC_ROW = pa.schema(
+    [("path", pa.string()), ("offset", pa.int64())]
+    + [(name, pa.string()) for name in ("archive", "url", "ip", "date", "mime")]
+    + [("body", pa.binary())]
+)
+_ARC_SQL = (
+    "path string, offset long, archive string, url string, ip string, date string, mime string, "
+    "body binary"
+)
+
+
+def _arc_rows(batches):
+    def rows():
+        for batch in batches:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"]):
+                for r in read_arc(content.as_py(), path):
+                    yield path, r.offset, r.archive, r.url, r.ip, r.date, r.mime, r.body
+
+    yield from _in_batches(rows(), _ARC_ROW)
+
+
 def _converted(batches):
     def records():
+        opened = False
         for batch in batches:
-            for path, content, revisits in zip(
-                batch["path"].to_pylist(), batch["content"], batch["revisits"].to_pylist()
-            ):
-                originals = {r["offset"]: r for r in revisits or ()}
-                archive = None
-                for record in read_arc(content.as_py(), path):
-                    if archive is None:
-                        archive = record.archive
-                        yield (_info(archive),)
-                    yield (warc_record(record, originals.get(record.offset)),)
+            for row in batch.to_pylist():
+                original = row.pop("original")
+                del row["path"]
+                record = ArcRecord(**row)
+                if not opened:
+                    yield (_info(record),)
+                    opened = True
+                yield (warc_record(record, original),)
 
     yield from _in_batches(records(), _RECORD)
 
@@ -327,8 +348,8 @@ def convert_arc(
     number in the HTTP header ``prefer``, if given, then the last by file and
     place. Records without that number come after those with it.
 
-    The first pass finds each record's payload digest. The revisits are then listed by
-    file and joined to the files, which are read once more. A damaged archive fails the
+    The first pass finds each record's payload digest. The second reads the records once
+    more and joins them, by file and place, with the originals of the revisits. A damaged archive fails the
     job with its file and place. A folder without records gives no WARC file.
     """
     workspace = workspace or Workspace(spark)
@@ -345,13 +366,12 @@ def convert_arc(
         "originals",
     )
     placed = left_lookup(entries, originals, ["digest", "length"], "n", entries.count())
-    revisit = F.struct("offset", "original.record_id", "original.uri", "original.date")
-    revisits = (
-        placed.filter("original is not null and original.record_id <> record_id")
-        .groupBy("path")
-        .agg(F.collect_list(revisit).alias("revisits"))
+    original = F.struct("original.record_id", "original.uri", "original.date").alias("original")
+    revisits = placed.filter("original is not null and original.record_id <> record_id").select(
+        "path", "offset", original
     )
-    joined = files.join(revisits, "path", "left").select("path", "content", "revisits")
+    records = files.mapInArrow(_arc_rows, _ARC_SQL)
+    joined = records.join(revisits, ["path", "offset"], "left").sortWithinPartitions("path", "offset")
     _written(joined.mapInArrow(_converted, "record binary"), warc_path, "\r\n\r\n")
 
 
