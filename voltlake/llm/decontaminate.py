@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..workspace import Workspace
-from .wordhash import ALPHANUMERIC, Words, runs_of, words_of
+from .wordhash import ALPHANUMERIC, Words, release_memory, runs_of, slices, words_of
 
 WINDOW = 10
 SHINGLE = 5
@@ -103,7 +103,7 @@ def _count_tokens(lookups):
     def run(batches):
         by_width = lookups.value
         counts = {w: np.zeros(len(x.tokens), np.int64) for w, x in by_width.items()}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, whole.schema.names[0])):
             words = words_of(batch.column(0), ALPHANUMERIC)
             for width, lookup in by_width.items():
                 _, number = lookup.find(runs_of(words.hashes, width))
@@ -202,7 +202,7 @@ def _mark(finder, text_at: int, keep: list[str], schema: pa.Schema):
 
     def run(batches):
         find = finder.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, whole.schema.names[text_at])):
             words = words_of(batch.column(text_at), ALPHANUMERIC)
             n = batch.num_rows
             spans: list = [[] for _ in range(n)]
@@ -232,6 +232,7 @@ def _mark(finder, text_at: int, keep: list[str], schema: pa.Schema):
                 pa.array(items, schema.field("hit_items").type),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *RESULTS])
+        release_memory()
 
     return run
 

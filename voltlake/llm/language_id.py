@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .wordhash import mix
+from .wordhash import mix, release_memory, slices
 
 UNKNOWN = "und"
 
@@ -84,7 +84,7 @@ def _document_frequencies(batches):
     total = np.zeros(NONE + 1, np.int64)
     last = np.zeros(NONE + 1, np.int64)
     documents = 0
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, whole.schema.names[0])):
         texts = batch.column(0).to_pylist()
         for a, b in _pieces(texts):
             features, first = _grams(texts[a:b])
@@ -95,6 +95,7 @@ def _document_frequencies(batches):
                 last[mine] = place
                 total[mine[last[mine] == place]] += 1
         documents += len(texts)
+    release_memory()
     used = np.flatnonzero(total[:NONE])
     yield pa.RecordBatch.from_arrays(
         [
@@ -267,7 +268,7 @@ def _scores(texts: list[str | None], model: Model) -> np.ndarray:
 def _predict(shared, id_first: list[str]):
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "_text")):
             texts = batch["_text"].to_pylist()
             p = _softmax(_scores(texts, model) / model.temperature)
             best = p.argmax(axis=1)
@@ -279,6 +280,7 @@ def _predict(shared, id_first: list[str]):
                 ],
                 names=[*id_first, "_lang", "_score"],
             )
+        release_memory()
 
     return run
 

@@ -11,7 +11,7 @@ from ..workspace import Workspace
 from .addresses import FILE, ROW, addressed
 from .components import connected_components
 from .skew import left_lookup
-from .wordhash import NOT_SPACE, mix, runs_of, short_run, words_of
+from .wordhash import NOT_SPACE, mix, release_memory, runs_of, short_run, slices, words_of
 
 WIDTH = 5
 PERCENT = 80
@@ -97,7 +97,7 @@ def _summaries(width: int):
             counts[:] += np.bincount(slots.astype(np.int64), minlength=len(counts))
             waiting.clear()
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             id_type = batch.column(0).type
             sizes, classes, bits = [], [], []
             for s in shingle_sets(batch["text"], width):
@@ -122,6 +122,7 @@ def _summaries(width: int):
             )
         if waiting:
             count()
+        release_memory()
         parts = counts.reshape(SKETCH_PARTS, -1)
         used = np.flatnonzero(parts.any(axis=1))
         if len(used):
@@ -210,8 +211,8 @@ def _prefix_tokens(width: int, percent: int, sketch, n_buckets: int):
                 names=["bucket", "tokens", "owners", "sizes", "index"],
             )
 
-        for batch in batches:
-            for s in shingle_sets(batch.column(0), width):
+        for batch in (part for whole in batches for part in slices(whole, "text")):
+            for s in shingle_sets(batch["text"], width):
                 n = len(s)
                 if not n:
                     continue
@@ -237,6 +238,7 @@ def _prefix_tokens(width: int, percent: int, sketch, n_buckets: int):
                     held = 0
         if tokens:
             yield flush()
+        release_memory()
 
     return run
 
@@ -322,7 +324,7 @@ def _stored_sets(width: int, wanted):
     def run(batches):
         bits = wanted.value
         seen: set[int] = set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             slot = batch["slot"].to_numpy()
             keep = np.flatnonzero(bits[slot >> 3] & (128 >> (slot & 7)))
             classes, sizes, sets = [], [], []
@@ -343,6 +345,7 @@ def _stored_sets(width: int, wanted):
                 ],
                 names=["cls", "n", "shingles"],
             )
+        release_memory()
 
     return run
 
@@ -551,7 +554,7 @@ def similar_classes(
     total = summaries.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     n_buckets = max(1, math.ceil(total / TOKENS_PER_BUCKET))
 
-    packed = docs.select(text_col).mapInArrow(
+    packed = docs.select(F.col(text_col).alias("text")).mapInArrow(
         _prefix_tokens(width, percent, sketch, n_buckets),
         "bucket int, tokens binary, owners binary, sizes binary, index binary",
     )

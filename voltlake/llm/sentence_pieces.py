@@ -8,13 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .wordhash import release_memory, slices
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
-_CACHED_SEGMENTS = 200_000
-_CACHED_CHARS = 4_000_000
+_CACHED_SEGMENTS = 100_000
+_CACHED_CHARS = 2_000_000
 _CHARS_PER_STEP = 1_000_000
 
 
@@ -267,7 +269,7 @@ def decode_batch(ids: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -
 def _encode(shared, text_at: int, keep: list[str]):
     def run(batches):
         vocabulary = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, whole.schema.names[text_at])):
             column = batch.column(text_at)
             texts = column.to_pylist()
             ids, offsets = encode_batch(texts, vocabulary)
@@ -287,6 +289,8 @@ def _encode(shared, text_at: int, keep: list[str]):
                 ],
                 names=[*keep, "ids", "n_ids", "round_trip"],
             )
+        vocabulary.segments.empty()
+        release_memory()
 
     return run
 

@@ -1,12 +1,15 @@
 """Words of whole batches of texts, as 64-bit hashes, with numpy."""
 
+import ctypes
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+BYTES_AT_ONCE = 4 << 20
 _BLOCK = 1 << 18
 _LONG = 64
 
@@ -68,6 +71,26 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the system; workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library than glibc
+
+
+def slices(batch: pa.RecordBatch, text_col: str, limit: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows with about ``limit`` bytes of text; a longer text is a run of its own."""
+    _, offsets = utf8(batch[text_col])
+    begin = 0
+    while begin < batch.num_rows:
+        end = int(np.searchsorted(offsets, offsets[begin] + limit, side="right")) - 1
+        end = min(max(end, begin + 1), batch.num_rows)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _hash_words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A hash of each word's bytes, eight bytes at a time; ``data`` ends with eight spare bytes."""
     eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
