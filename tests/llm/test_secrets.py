@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from llm.helpers import documents
-from voltlake.llm.secrets import find_candidates, frequent_words, scan_secrets
+from voltlake.llm.secrets import find_candidates, frequent_words, rule_label, scan_secrets, with_features
 
 HEX = "0123456789abcdef"
 
@@ -60,3 +60,19 @@ def test_labels_of_one_kind_or_none(spark):
     # The row that repeats document 1 repeats its finding.
     assert sum(r["doc_id"] == 1 for r in none) == 2
     assert scan_secrets(docs.limit(0), everything).collect() == []
+
+
+def test_each_candidate_has_its_own_whole_context(spark):
+    filler = ",".join(f'"field{k}":"some value"' for k in range(60)).replace(" ", "_")
+    line = f'{{"id":"0123456789abcdef0123",{filler},"authentication_token_value":"fedcba9876543210ffff","n":"0000111122223333"}}'
+    long_key = "x." * 50 + "password:"
+    rows = [(1, line), (2, f"{long_key} 0123456789abcdef"), (3, "a\x01b \x02 token:0123456789.0123456789abcdef")]
+    found = find_candidates(documents(spark, rows), path_col=None).withColumn("label", rule_label())
+    got = {(r["id"], r["nth"]): r for r in found.collect()}
+    assert set(got) == {(1, 0), (1, 1), (1, 2), (2, 0), (3, 0)}
+    assert [got[1, k]["label"] for k in range(3)] == [0, 1, 0]
+    assert got[1, 0]["left"] == '{"id":"' and got[1, 0]["right"] == got[1, 1]["left"]
+    assert got[1, 1]["left"].endswith('"authentication_token_value":"') and got[1, 2]["left"] == '","n":"'
+    assert got[2, 0]["before1"] == long_key and got[2, 0]["label"] == 1
+    assert (got[3, 0]["word"], got[3, 0]["left"], got[3, 0]["before2"]) == (2, "token:0123456789.", "a\x03b")
+    assert with_features(found, ["the"]).count() == 5

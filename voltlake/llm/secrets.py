@@ -10,9 +10,12 @@ from ..workspace import Workspace
 # A run of these characters of at least this length, with a digit in it, is a candidate.
 CHARS = r"[A-Za-z0-9+/_=\-]"
 SHORTEST = 16
-_CANDIDATE = rf"({CHARS}{{{SHORTEST},}})"
-_HAS_CANDIDATE = rf"(?={CHARS}{{{SHORTEST}}})[A-Za-z+/_=\-]*[0-9]"
+_NO_DIGIT = r"[A-Za-z+/_=\-]"
+# Tried at the start of a run only, so that long runs cost one pass.
+_CANDIDATE = rf"((?<!{CHARS})(?={_NO_DIGIT}*+[0-9]){CHARS}{{{SHORTEST},}}+)"
 _BLANKS = r"[\x20\x09-\x0D]+"
+# Marks set around candidates; a text's own such characters are taken for the spare one.
+_START, _END, _SPARE = "\x01", "\x02", "\x03"
 
 # Words that tell of credentials, and of samples.
 CREDENTIAL_WORDS = "token|secret|passw|pwd|api_?key|auth|bearer|credential|private"
@@ -40,40 +43,74 @@ def find_candidates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source"
 ) -> DataFrame:
     """``id``, ``path``, ``word`` (place of the word), ``nth`` (in the word), ``candidate`` and its
-    neighbours: three words before, ``around`` (the word without the candidate) and one after.
+    neighbours: three words before and one after, ``left`` and ``right`` (what stands between it
+    and the next candidate, or the end, of its word on each side) and both together as ``around``.
 
     Words are separated by ASCII white space. A null text has no candidates; a null path
-    or a missing neighbour is empty.
+    or a missing neighbour is empty. Neighbours are whole, up to the nearest candidate that
+    they hold. The words before belong to a word's first candidate, the one after to its last:
+    for the others another candidate is nearer.
     """
     text = docs[text_col]
     path = docs[path_col].cast("string") if path_col else F.lit("")
-    rows = docs.filter(text.rlike(_HAS_CANDIDATE)).select(
+    marked = F.regexp_replace(
+        F.translate(text, _START + _END, _SPARE * 2), _CANDIDATE, f"{_START}$1{_END}"
+    )
+    rows = docs.filter(text.rlike(_CANDIDATE)).select(
         docs[id_col].alias("id"),
         F.coalesce(path, F.lit("")).alias("path"),
-        F.split(text, _BLANKS).alias("_words"),
-    )
-    words = rows.select("*", F.posexplode("_words").alias("word", "_text")).filter(
-        F.col("_text").rlike(_HAS_CANDIDATE)
+        F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(1)).alias("_found"),
+        F.split(text, _CANDIDATE).alias("_gaps"),
+        F.split(marked, _BLANKS).alias("_words"),
     )
 
-    def neighbour(step: int) -> Column:
-        place = F.col("word") + step
+    def counted(word: Column, place: Column) -> Column:
+        n = F.when(F.contains(word, F.lit(_START)), F.regexp_count(word, F.lit(_START))).otherwise(0)
+        return F.struct(place.alias("word"), n.alias("n"))
+
+    def numbered(word: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), word["n"] - 1),
+            lambda nth: F.struct(word["word"].alias("word"), nth.alias("nth"), word["n"].alias("n")),
+        )
+
+    def neighbour(place: Column, side: str) -> Column:
         # A negative place would count from the end.
-        found = F.when(place >= 0, F.get("_words", place))
-        return F.lower(F.substring(F.coalesce(found, F.lit("")), 1, 64))
-
-    found = words.select(
-        "id",
-        "path",
-        "word",
-        neighbour(-3).alias("before3"),
-        neighbour(-2).alias("before2"),
-        neighbour(-1).alias("before1"),
-        neighbour(1).alias("after1"),
-        F.lower(F.substring(F.regexp_replace("_text", _CANDIDATE, ""), 1, 64)).alias("around"),
-        F.posexplode(F.regexp_extract_all("_text", F.lit(_CANDIDATE), F.lit(1))).alias("nth", "candidate"),
+        found = F.coalesce(F.when(place >= 0, F.get("_words", place)), F.lit(""))
+        nearest = F.substring_index(found, _END, -1) if side == "before" else F.substring_index(found, _START, 1)
+        return F.lower(nearest)
+
+    def with_neighbours(c: Column) -> Column:
+        at, first = c["at"], c["at"]["nth"] == 0
+        left = F.lower(F.element_at(F.split(c["left"], _BLANKS), -1))
+        right = F.lower(F.element_at(F.split(c["right"], _BLANKS), 1))
+        before = [
+            F.when(first, neighbour(at["word"] - k, "before")).otherwise("").alias(f"before{k}")
+            for k in (3, 2, 1)
+        ]
+        after = F.when(at["nth"] == at["n"] - 1, neighbour(at["word"] + 1, "after")).otherwise("")
+        return F.struct(
+            at["word"].alias("word"),
+            *before,
+            after.alias("after1"),
+            left.alias("left"),
+            right.alias("right"),
+            F.concat(left, right).alias("around"),
+            at["nth"].alias("nth"),
+            c["candidate"].alias("candidate"),
+        )
+
+    places = F.flatten(
+        F.transform(F.filter(F.transform("_words", counted), lambda w: w["n"] > 0), numbered)
+    )
+    n = F.size("_gaps") - 1
+    parts = F.arrays_zip(
+        places.alias("at"),
+        F.col("_found").alias("candidate"),
+        F.slice("_gaps", 1, n).alias("left"),
+        F.slice("_gaps", 2, n).alias("right"),
     )
-    return found.filter(F.col("candidate").rlike("[0-9]"))
+    return rows.select("id", "path", F.inline(F.transform(parts, with_neighbours)))
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY_SIZE) -> list[str]:
@@ -95,11 +132,12 @@ def with_features(candidates: DataFrame, dictionary: list[str]) -> DataFrame:
     numbers["covered"] = 1 - F.length(rest) / length
     numbers["path_depth"] = F.size(F.split("path", "/")).cast("double")
     numbers["path_sample"] = F.lower("path").rlike(SAMPLE_WORDS).cast("double")
-    near = F.concat_ws(" ", "before3", "before2", "before1", "around")
+    # What stands after a candidate may be the key of another one.
+    near = F.concat_ws(" ", "before3", "before2", "before1", "left")
     numbers["near_credential"] = near.rlike(CREDENTIAL_WORDS).cast("double")
-    numbers["near_sample"] = near.rlike(SAMPLE_WORDS).cast("double")
+    numbers["near_sample"] = (near.rlike(SAMPLE_WORDS) | F.col("right").rlike(SAMPLE_WORDS)).cast("double")
     numbers["assigned"] = (
-        F.col("before1").rlike("[=:]$") | F.col("around").rlike("[=:]")
+        F.col("before1").rlike("[=:]$") | F.col("left").rlike("[=:]")
     ).cast("double")
     numbers["quoted"] = F.col("around").rlike("[\"'`]").cast("double")
     frame = candidates.select("*", *(v.alias(f"_{k}") for k, v in numbers.items()))
@@ -144,7 +182,7 @@ def score_findings(
 
 def rule_label() -> Column:
     """1 for a candidate that is the quoted or plain value of a credential, 0 for any other."""
-    near = F.concat_ws(" ", "before2", "before1", "around")
+    near = F.concat_ws(" ", "before2", "before1", "left")
     return (near.rlike(rf"({CREDENTIAL_WORDS})[a-z_\"']*!* *[=:]")).cast("int")
 
 
