@@ -9,7 +9,7 @@ apart by where they are stored.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltlake.llm.addresses import FILE, ROW, addressed
+from voltlake.llm.addresses import FILE, ROW, addressed, stored_rows
 from voltlake.llm.decontaminate import mark_benchmark
 from voltlake.llm.exact_dedup import exact_dedup
 from voltlake.llm.language_id import UNKNOWN, held_out, predict, train
@@ -46,6 +46,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, that with the smallest id stays."""
     workspace = Workspace(spark)
     rows, names = _shielded(docs)
+    rows = stored_rows(rows, workspace)
     at = addressed(rows, workspace)
     judged = exact_dedup(rows, names["doc_id"], names["text"], addresses=True, workspace=workspace)
     kept = judged.filter("kept").select(FILE, ROW)
@@ -56,6 +57,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of similar documents, that with the smallest id stays."""
     workspace = Workspace(spark)
     rows, names = _shielded(docs)
+    rows = stored_rows(rows, workspace)
     at = addressed(rows, workspace)
     grouped = join_ngrams(rows, names["doc_id"], names["text"], addresses=True, workspace=workspace)
     doc_id = F.col(names["doc_id"])

@@ -68,3 +68,22 @@ def test_benchmark_passages_go(spark):
     assert all(len(words(r["text"])) >= 10 for r in items)
     kept = corpus_pipeline.drop_benchmark_passages(spark, docs, SF_DIR).collect()
     assert [r["doc_id"] for r in kept] == [9]
+
+
+def test_dedup_stages_take_frames_that_are_not_files(spark, folder):
+    docs = awkward(spark).select("doc_id", "text")
+    half = stored(spark, docs.limit(5), folder("half"))
+    docs.repartition(1).write.json(folder("json"))
+    both, copies = (corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies), (corpus_pipeline.drop_copies,)
+    cases = [
+        (docs, docs, both),
+        (half.union(half), docs.limit(5), copies),
+        # Rows of one file row are rows of their own.
+        (half.crossJoin(spark.range(2)).drop("id"), docs.limit(5), copies),
+        (spark.read.schema("doc_id long, text string").json(folder("json")), docs, copies),
+    ]
+    for k, (frame, same, stages) in enumerate(cases):
+        expected = stored(spark, same, folder(f"same-{k}"))
+        for stage in stages:
+            got, want = (sorted((r["doc_id"] or 0) for r in stage(spark, d, SF_DIR).collect()) for d in (frame, expected))
+            assert want and got == want, (k, stage)
