@@ -66,7 +66,7 @@ def test_each_candidate_has_its_own_whole_context(spark):
     filler = ",".join(f'"field{k}":"some value"' for k in range(60)).replace(" ", "_")
     line = f'{{"id":"0123456789abcdef0123",{filler},"authentication_token_value":"fedcba9876543210ffff","n":"0000111122223333"}}'
     long_key = "x." * 50 + "password:"
-    rows = [(1, line), (2, f"{long_key} 0123456789abcdef"), (3, "a\x01b \x02 token:0123456789.0123456789abcdef")]
+    rows = [(1, line), (2, f"{long_key} 0123456789abcdef"), (3, "a\x01b \x02 code:0123456789.0123456789abcdef")]
     found = find_candidates(documents(spark, rows), path_col=None).withColumn("label", rule_label())
     got = {(r["id"], r["nth"]): r for r in found.collect()}
     assert set(got) == {(1, 0), (1, 1), (1, 2), (2, 0), (3, 0)}
@@ -74,5 +74,33 @@ def test_each_candidate_has_its_own_whole_context(spark):
     assert got[1, 0]["left"] == '{"id":"' and got[1, 0]["right"] == got[1, 1]["left"]
     assert got[1, 1]["left"].endswith('"authentication_token_value":"') and got[1, 2]["left"] == '","n":"'
     assert got[2, 0]["before1"] == long_key and got[2, 0]["label"] == 1
-    assert (got[3, 0]["word"], got[3, 0]["left"], got[3, 0]["before2"]) == (2, "token:0123456789.", "a\x03b")
+    assert (got[3, 0]["word"], got[3, 0]["left"], got[3, 0]["before2"]) == (2, "code:0123456789.", "a\x03b")
     assert with_features(found, ["the"]).count() == 5
+
+
+def test_every_value_of_a_credential_is_a_candidate(spark):
+    cases = {
+        'password = "hunter2x"': ["hunter2x"],
+        "pwd: abcdefgh, x": ["abcdefgh"],
+        "my_Password=hunter2x&id=0123456789abcdef": ["hunter2x", "id=0123456789abcdef"],
+        '{"secret":"p@ss, w{rd! (ok)","n":1}': ["p@ss, w{rd! (ok)"],
+        'x = "{\\"api_key\\":\\"short\\"}"': ["short"],
+        "Authorization: Bearer eyJh.eyJz.sig-n": ["eyJh.eyJz.sig-n"],
+        "token: str = 'allletters'": ["allletters"],
+        "passwd=\n next": [],
+        'password = ""': [],
+        "the password is here": [],
+        "author: \"see 0123456789abcdef and fedcba9876543210\"": ["see", "0123456789abcdef", "fedcba9876543210"],
+        "z" * 300_000 + "7": ["z" * 300_000 + "7"],
+        "token=" + "a.b" * 100_000: ["a.b" * 100_000],
+    }
+    docs = documents(spark, list(enumerate(cases)))
+    found = find_candidates(docs, path_col=None).withColumn("label", rule_label())
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: (r["id"], r["word"], r["nth"])):
+        got.setdefault(r["id"], []).append(r)
+    for k, (text, want) in enumerate(cases.items()):
+        assert [r["candidate"] for r in got.get(k, [])] == want, text[:80]
+    assert [r["label"] for r in got[2]] == [1, 0] and got[0][0]["label"] == got[3][0]["label"] == 1
+    assert (got[3][0]["word"], got[3][0]["right"]) == (0, '","n":1}')
+    assert with_features(found.filter("id <> 11 and id <> 12"), ["the"]).count() == 11

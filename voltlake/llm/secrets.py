@@ -7,20 +7,49 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..workspace import Workspace
 
-# A run of these characters of at least this length, with a digit in it, is a candidate.
+# Words that tell of credentials, and of samples.
+CREDENTIAL_WORDS = "token|secret|passw|pwd|api_?key|auth|bearer|credential|private"
+SAMPLE_WORDS = "test|example|sample|mock|dummy|fixture|docs?"
+
+_BLANKS = r"[\x20\x09-\x0D]+"
+
+# The value of a credential is a candidate, whatever its length and characters. Its key is a
+# credential word with letters behind it, brackets or quotes that close, and = or :, maybe with
+# a type or a scheme between them and the value.
+_KEY = (
+    rf"(?=[a-cpstA-CPST])(?i:{CREDENTIAL_WORDS})[A-Za-z_\-]*+[0-9]{{0,4}}+[\"'`\])\\]{{0,4}}+[\x20\x09]*+"
+    r"(?::[\x20\x09]*+[A-Za-z_][A-Za-z_.\[\]?]*+[\x20\x09]*+=(?!=)|[=:]{1,3}+>?)"
+    rf"(?:{_BLANKS}(?=[\"'`])|[\x20\x09]*+)(?:(?i:bearer|basic)[\x20\x09]++)?\\?[\"'`]?"
+    r"(?:(?<=[\"'`])(?i:bearer|basic)[\x20\x09]++)?"
+)
+# A run of these characters of at least this length, with a digit in it, is a candidate too.
 CHARS = r"[A-Za-z0-9+/_=\-]"
 SHORTEST = 16
 _NO_DIGIT = r"[A-Za-z+/_=\-]"
-# Tried at the start of a run only, so that long runs cost one pass.
-_CANDIDATE = rf"((?<!{CHARS})(?={_NO_DIGIT}*+[0-9]){CHARS}{{{SHORTEST},}}+)"
-_BLANKS = r"[\x20\x09-\x0D]+"
+_ANY_RUN = rf"(?<!{CHARS})(?={_NO_DIGIT}*+[0-9]){CHARS}{{{SHORTEST},}}+"
+
+
+def _quoted(quote: str) -> str:
+    """A value up to the quote that closes it; one with blanks and runs in it is no single value."""
+    inside = rf"[^{quote}\r\n]"
+    return (
+        rf"(?<={quote}|{quote}(?i:bearer|basic)[\x20\x09])(?!{quote})"
+        rf"(?!(?={inside}*?[\x20\x09]){inside}*?{_ANY_RUN})"
+        rf"[^\r\n]+?(?<=[^\\]|\\\\)(?={quote})"
+    )
+
+
+_PLAIN = r"[^\x20\x09-\x0D\"'`,;&<>{}()\[\]\\][^\x20\x09-\x0D\"'`,;&<>{}]*(?<![)\]\\])"
+_ESCAPED = r"(?<=\\[\"'])[^\"'\\\r\n]++(?=\\[\"'])"
+_VALUE = "|".join([_ESCAPED, *map(_quoted, "\"'`"), _PLAIN])
+# A run ends before a key and its value, and is tried at its start only: long runs cost one pass.
+_NO_KEY = rf"(?!{_KEY}(?:{_VALUE}))"
+_RUN = rf"(?<!{CHARS})(?={CHARS}{{{SHORTEST}}})(?=(?:{_NO_KEY}{_NO_DIGIT})*+{_NO_KEY}[0-9])(?:{_NO_KEY}{CHARS}){{{SHORTEST},}}+"
+# Groups: the key, its value, the run.
+_CANDIDATE = rf"({_KEY})({_VALUE})|({_RUN})"
 # Marks set around candidates; a text's own such characters are taken for the spare one.
 _START, _END, _SPARE = "\x01", "\x02", "\x03"
 
-# Words that tell of credentials, and of samples.
-CREDENTIAL_WORDS = "token|secret|passw|pwd|api_?key|auth|bearer|credential|private"
-SAMPLE_WORDS = "test|example|sample|mock|dummy|fixture|docs?"
-
 DICTIONARY_SIZE = 1000
 # The forest is fitted on at most so many labelled findings.
 TRAINING_FINDINGS = 50_000
@@ -46,23 +75,33 @@ def find_candidates(
     neighbours: three words before and one after, ``left`` and ``right`` (what stands between it
     and the next candidate, or the end, of its word on each side) and both together as ``around``.
 
-    Words are separated by ASCII white space. A null text has no candidates; a null path
-    or a missing neighbour is empty. Neighbours are whole, up to the nearest candidate that
+    Candidates are the values of credentials, of any length and characters, and runs of at least
+    ``SHORTEST`` characters with a digit. Words are separated by ASCII white space. A null text
+    has no candidates; a null path or a missing neighbour is empty. Neighbours are whole, up to the nearest candidate that
     they hold. The words before belong to a word's first candidate, the one after to its last:
     for the others another candidate is nearer.
     """
     text = docs[text_col]
     path = docs[path_col].cast("string") if path_col else F.lit("")
     marked = F.regexp_replace(
-        F.translate(text, _START + _END, _SPARE * 2), _CANDIDATE, f"{_START}$1{_END}"
+        F.translate(text, _START + _END, _SPARE * 2), _CANDIDATE, f"$1{_START}$2$3{_END}"
     )
     rows = docs.filter(text.rlike(_CANDIDATE)).select(
         docs[id_col].alias("id"),
         F.coalesce(path, F.lit("")).alias("path"),
-        F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(1)).alias("_found"),
-        F.split(text, _CANDIDATE).alias("_gaps"),
+        *(F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(k)).alias(f"_group{k}") for k in (1, 2, 3)),
+        F.split(text, _CANDIDATE).alias("_between"),
         F.split(marked, _BLANKS).alias("_words"),
     )
+    # A key belongs to what stands before its value; nothing follows the last part.
+    keys = F.concat("_group1", F.array(F.lit("")))
+    rows = rows.select(
+        "id",
+        "path",
+        "_words",
+        F.zip_with("_group2", "_group3", lambda value, run: F.concat(value, run)).alias("_found"),
+        F.zip_with("_between", keys, lambda between, key: F.concat(between, key)).alias("_gaps"),
+    )
 
     def counted(word: Column, place: Column) -> Column:
         n = F.when(F.contains(word, F.lit(_START)), F.regexp_count(word, F.lit(_START))).otherwise(0)
@@ -78,7 +117,7 @@ def find_candidates(
         # A negative place would count from the end.
         found = F.coalesce(F.when(place >= 0, F.get("_words", place)), F.lit(""))
         nearest = F.substring_index(found, _END, -1) if side == "before" else F.substring_index(found, _START, 1)
-        return F.lower(nearest)
+        return F.lower(F.translate(nearest, _START + _END, ""))
 
     def with_neighbours(c: Column) -> Column:
         at, first = c["at"], c["at"]["nth"] == 0
@@ -88,7 +127,9 @@ def find_candidates(
             F.when(first, neighbour(at["word"] - k, "before")).otherwise("").alias(f"before{k}")
             for k in (3, 2, 1)
         ]
-        after = F.when(at["nth"] == at["n"] - 1, neighbour(at["word"] + 1, "after")).otherwise("")
+        # A quoted value may hold blanks and end in a later word.
+        last = at["word"] + F.regexp_count(c["candidate"], F.lit(_BLANKS))
+        after = F.when(at["nth"] == at["n"] - 1, neighbour(last + 1, "after")).otherwise("")
         return F.struct(
             at["word"].alias("word"),
             *before,
