@@ -1,0 +1,115 @@
+"""Text extraction against the articles that the supplied pages hold, and on pages of many shapes."""
+
+import html
+import re
+
+import pytest
+
+from voltlake.llm.html_text import Page, extract_text
+
+PAGE_SCHEMA = "page_id long, url string, html string"
+
+
+def text(body):
+    return Page(body).text(set())[0]
+
+
+def planted(body):
+    """The article of a supplied page: its headings and paragraphs are its only blocks."""
+    article = re.search("<article>(.*?)</article>", body or "", re.DOTALL)
+    blocks = re.split("</?(?:p|h1)>", article[1]) if article else []
+    plain = (re.sub("<br>", " ", re.sub("</?b>", "", block)) for block in blocks)
+    return "\n".join(filter(None, (" ".join(html.unescape(block).split()) for block in plain)))
+
+
+def test_supplied_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = pages.collect()
+    found = {r.page_id: r for r in extract_text(pages, keep=["page_id", "url"]).collect()}
+    assert len(found) == len(rows)
+    for row in rows:
+        got = found[row.page_id]
+        assert (got.url, got.text, got.n_chars) == (row.url, planted(row.html), len(planted(row.html)))
+
+
+@pytest.mark.parametrize(
+    "body, expected",
+    [
+        ("", ""),
+        ("plain & simple &lt;b&gt; a < b", "plain & simple <b> a < b"),
+        ("<p>one<p>two <b>bold<br>line</p>three", "one\ntwo bold line\nthree"),
+        ("<article><p>kept</p></article><p>not kept</p>", "kept"),
+        ("<main><h1>T</h1><p>x</p></main><div>y</div>", "T\nx"),
+        ("<nav><ul><li>Home</ul></nav><header>Site</header><p>text</p><footer>f</footer>", "text"),
+        ("<aside>side</aside><form><input><p>Your name</p></form><p>text</p>", "text"),
+        ('<div class="cookie-notice">We use</div><div id="comments"><p>first!</p></div><p>text</p>', "text"),
+        ('<div class="content no-sidebar"><p>text</p></div>', "text"),
+        ('<article><p>a</p><section class="comments"><p>b</p></section></article>', "a"),
+        ('<article class="comment"><p>b</p></article><div><p>a</p></div>', "a"),
+        ("<article><header><h1>Title</h1></header><p>a</p><footer>tags</footer></article>", "Title\na"),
+        ("<p>a<script>var t='</p>';</script>b</p><style>p{}</style>", "ab"),
+        ("<p>a<span class='ad'>buy</span> b</p><noscript>enable</noscript>", "a b"),
+        ("<!-- <p>no</p> --><p>yes</p><!-- open <p>end", "yes"),
+        ("<p>cut <a href='x", "cut"),
+        ("<p title='a > b'>quoted</p><p title=\"it's\">two</p>", "quoted\ntwo"),
+        ("<table><tr><td>a<td>b<tr><td><p>c</p></td></table>", "a b\nc"),
+        ("<ul><li>one<li>two</ul>", "one\ntwo"),
+        ("<pre>a\n   b\xa0\tc</pre>", "a b c"),
+        ("</div></p>x</article>y", "x\ny"),
+        ("&amp;&copy&#233;&#x1F600;&am", "&©é😀&am"),
+        ("<form><article><p>whole page in a form</p></article></form>", "whole page in a form"),
+        ("<head><title>t</title><body><p>no end of head</p>", "no end of head"),
+        ("<div hidden>x</div><div role='navigation'>y</div><p>z</p>", "z"),
+        ("<P CLASS=lead>UP</P><DIV Class='Advert Box'>ad</DIV>", "UP"),
+    ],
+)
+def test_shapes_of_pages(body, expected):
+    assert text(body) == expected
+
+
+def site(spark, n=12):
+    """Pages without any telling name: a menu and a foot on all, one article as a group of copies."""
+    article = "<div><p>The same story on very many pages of this site, word for word.</p><p>Second part.</p></div>"
+    rows = []
+    for k in range(n):
+        own = article if k % 2 else f"<div><p>Story number {k}, told here alone and at some length.</p><p>License line</p></div>"
+        rows.append((k, f"http://One.example/{k}", f"<div>Home News Sport</div>{own}<div><div>All rights</div></div>"))
+    rows += [(100, "http://two.example/", "<div>Home News Sport</div><p>Another site</p>"), (101, None, "<div>Home News Sport</div>")]
+    rows += [(102, "no host", None), (103, "http://one.example/x", "")]
+    return spark.createDataFrame(rows, PAGE_SCHEMA)
+
+
+def test_what_a_site_repeats_goes(spark):
+    found = {r.page_id: r for r in extract_text(site(spark)).collect()}
+    assert found[0].text == "Story number 0, told here alone and at some length."
+    assert found[1].text == "The same story on very many pages of this site, word for word.\nSecond part.", "copies are no template"
+    assert found[100].text == "Home News Sport\nAnother site" and found[101].text == "Home News Sport"
+    assert (found[102].text, found[103].text, found[102].n_chars) == ("", "", 0)
+    assert found[0].n_template > 0 and found[100].n_template == 0
+
+
+def test_counts_decide(spark):
+    found = {r.page_id: r for r in extract_text(site(spark), min_pages=50).collect()}
+    assert found[0].text.startswith("Home News Sport\nStory") and found[0].text.endswith("All rights")
+
+
+def test_paragraphs_of_articles_are_no_template(spark):
+    rows = [(k, "http://a.example/", f"<article><p>Licensed under terms.</p><p>Own words, number {k}, and more.</p></article>") for k in range(9)]
+    found = extract_text(spark.createDataFrame(rows, PAGE_SCHEMA)).collect()
+    assert all(r.text == f"Licensed under terms.\nOwn words, number {r.page_id}, and more." for r in found)
+
+
+def test_empty_table_repeats_and_clashing_columns(spark):
+    assert extract_text(spark.createDataFrame([], PAGE_SCHEMA)).collect() == []
+    pages = spark.createDataFrame([(1, "http://a.b/", "<p>x</p>")] * 2, PAGE_SCHEMA)
+    clash = pages.selectExpr("*", "1 as text", "2 as _html", "3 as _host", "4 as _template", "array(1) as _column_0", "6 as `a.b`".replace(".", "_"))
+    result = extract_text(clash)
+    assert result.columns == ["page_id", "url", "_html", "_host", "_template", "_column_0", "a_b", "text", "n_chars", "n_template"]
+    assert [(r.text, r._html, r._column_0) for r in result.collect()] == [("x", 2, [1])] * 2
+
+
+def test_long_and_deep_pages():
+    deep = "<div>" * 20_000 + "x" + "</b>" * 20_000 + "<p>" * 20_000 + "</i></div>" * 20_000
+    assert text(deep) == "x"
+    assert text("<p>word </p>" * 100_000) == "\n".join(["word"] * 100_000)
+    assert text('<a href="' * 3000 + "<p>") == ""
