@@ -37,4 +37,4 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_all_are_registered():
     assert QUERIES.keys() | {"pipeline"} <= contract.queries().keys()
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))

@@ -4,14 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .conversation_trie import conversation_trie
 from .decontaminate import mark_benchmark
 from .exact_dedup import exact_dedup
+from .html_text import extract_text
 from .language_id import identify_languages
 from .line_dedup import dedup_lines
 from .ngram_join import join_ngrams
 from .secrets import scan_secrets
 from .sentence_pieces import MODEL_PATH, encode_pieces
 from .sharding import shard_documents
+from .spelling import group_spellings
 from .url_filter import judge_urls
 from .warc import archive_pages
 
@@ -96,6 +99,18 @@ def q_ngram_join(spark, sf_dir):
     return join_ngrams(_table(spark, sf_dir, "documents"))
 
 
+def q_spelling_variants(spark, sf_dir):
+    return group_spellings(_table(spark, sf_dir, "documents"))
+
+
+def q_conversation_trie(spark, sf_dir):
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def q_html_extraction(spark, sf_dir):
+    return extract_text(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": q_secret_scans,
     "op2_url_filters": q_url_filters,
@@ -107,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": q_benchmark_decontamination,
     "op9_exact_dedup": q_exact_dedup,
     "op10_ngram_join": q_ngram_join,
+    "op11_spelling_variants": q_spelling_variants,
+    "op12_conversation_trie": q_conversation_trie,
+    "op13_html_extraction": q_html_extraction,
 }
 
 _URL_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -122,6 +140,25 @@ def _hex(place: str) -> str:
     return f"(instr('0123456789abcdef', substr(d, 1 + {place}, 1)) - 1)"
 
 
+# The public CRC-32, byte by byte, over a list of bytes.
+_CRC_TABLE = """
+        crc_table as (
+            select list(list_reduce([i] || range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) order by i) as crc
+            from range(256) bytes(i))"""
+
+
+def _crc32(bytes_list: str) -> str:
+    step = "lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce([4294967295::bigint] || {bytes_list}, {step}), 4294967295)"
+
+
+def _utf8(text: str) -> str:
+    """The bytes of a text whose characters all lie below U+0800."""
+    two = "[192 + unicode(x) // 64, 128 + unicode(x) % 64]"
+    one = f"lambda x: case when unicode(x) < 128 then [unicode(x)] else {two} end"
+    return f"flatten(list_transform(string_split({text}, ''), {one}))::bigint[]"
+
+
 ORACLES: dict[str, str] = {
     "op2_url_filters": f"""
         with parsed as (
@@ -216,4 +253,65 @@ ORACLES: dict[str, str] = {
             from normal)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256
         from grouped""",
+    "op11_spelling_variants": rf"""
+        with recursive {_CRC_TABLE},
+        run as (
+            select doc_id, run, count(*) as n, {_crc32(_utf8("coalesce(doc_id::varchar, '') || ':' || run"))} as h
+            from (
+                select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')), {_ASCII_LOWER}) as run
+                from documents where text is not null), crc_table
+            group by doc_id, run, crc),
+        words as (
+            select word, sum(n)::bigint as n from (
+                select n, case when h % 97 = 0
+                    then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word
+                from run)
+            where length(word) >= 5 group by word having sum(n) >= 3),
+        shorter as (
+            select word, k, substr(word, 1, k) || substr(word, k + 2) as rest
+            from (select word, unnest(range(length(word))) as k from words)),
+        pairs as (
+            select a.word, b.word as near from shorter a join shorter b on a.rest = b.rest and a.k = b.k where a.word <> b.word
+            union select a.word, a.rest from shorter a join words b on a.rest = b.word
+            union select a.rest, a.word from shorter a join words b on a.rest = b.word),
+        placed as (
+            select word, near, n, count(*) over (partition by word) as n_near,
+                row_number() over (partition by word order by n desc, near) as place
+            from pairs join (select word as near, n from words) using (near)),
+        forms as (
+            select w.word, w.n, coalesce(n_near, 0) as n_near,
+                case when p.n >= 2 * w.n then near end as form, case when p.n >= 2 * w.n then p.n end as form_n
+            from words w left join placed p on w.word = p.word and place = 1),
+        steps as (
+            select word, word as reached, 0 as step from forms
+            union all
+            select s.word, form, step + 1 from steps s join forms f on s.reached = f.word where form is not null)
+        select word, form, root, n, n_near, form_n
+        from forms join (select word, arg_max(reached, step) as root from steps group by word) using (word)""",
+    "op12_conversation_trie": f"""
+        with {_CRC_TABLE},
+        own as (
+            select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as turns
+            from conversations where conv_id is not null group by conv_id),
+        taken as (select conv_id, turns, {_crc32(_utf8("conv_id::varchar"))} % 6 as h from own, crc_table),
+        rebuilt as (
+            select t.conv_id, coalesce(f.turns[1 : t.h], []) || t.turns[t.h + 1 :] as turns
+            from taken t left join own f on f.conv_id = t.conv_id - t.conv_id % 100),
+        members as (
+            select conv_id, len(turns) as n, depth, turns[1 : depth] as path
+            from (select *, unnest(range(len(turns) + 1)) as depth from rebuilt)),
+        node as (
+            select path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+                (count(*) - 1) * coalesce(length(path[-1].text), 0) as saved,
+                sha256(coalesce(string_agg(conv_id, ',' order by conv_id) filter (where n = depth), '')) as ends_sha256
+            from members group by path, depth),
+        children as (
+            select path[1 : depth - 1] as path, count(*) as n_children from node where depth > 0 group by all),
+        counted as (select node.*, coalesce(n_children, 0) as n_children from node left join children using (path)),
+        below as (
+            select path[1 : above] as path, sum(saved)::bigint as saved_tokens, count(*) filter (where n_children = 0) as n_leaves
+            from (select *, unnest(range(depth + 1)) as above from counted) group by 1)
+        select c.conv_id, c.depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+        from counted c join below using (path) left join node p on c.depth > 0 and p.path = c.path[1 : c.depth - 1]""",
 }
