@@ -3,10 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import ADDRESS, sort_keys, with_address
-from ..storage import write_table
+from ..storage import settle, write_table
 
 
 def readings(spark: SparkSession, path: str) -> DataFrame:
+    """The table's rows; a replacement of the table that was interrupted is finished or undone first."""
+    settle(spark, path)
     return spark.read.parquet(path)
 
 
