@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import c, not_null
+from ..workspace import Workspace
+from .csv_records import csv_records
 
 # Timestamps keep their microseconds, instants also their offset.
 INSTANT_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
@@ -19,6 +21,7 @@ def load_csv(
     required: tuple[str, ...] = ("time_stamp",),
     zone: str | None = None,
     multi_line: bool = False,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Read comma-separated files with one header line; the columns bind by position.
 
@@ -26,20 +29,19 @@ def load_csv(
     a required column fails the job, whichever columns it reads. Timestamps without
     an offset are read in ``zone``, by default the session zone. Quotes inside a
     quoted field are doubled; an unquoted empty field is null, a quoted one an empty
-    text. ``multi_line`` allows line breaks in quoted fields, but a file is then
-    read by one task.
+    text. ``multi_line`` allows line breaks in quoted fields: the lines are stored first, and records
+    put together from what each task reads, so a large file is still read by many tasks.
     """
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("escape", '"')
-        .option("nullValue", _NULL)
-        .option("multiLine", multi_line)
-    )
+    options = {"mode": "FAILFAST", "escape": '"', "nullValue": _NULL}
     if zone:
-        reader = reader.option("timeZone", zone)
-    df = reader.csv(path)
+        options["timeZone"] = zone
+    if multi_line:
+        fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+        records = csv_records(spark, path, workspace or Workspace(spark))
+        parsed = F.from_csv("record", fields, options | {"multiLine": "true"}).alias("row")
+        df = records.select(parsed).select("row.*")
+    else:
+        df = spark.read.schema(schema).options(header=True, **options).csv(path)
     checked = [not_null(n) if n in required else c(n) for n in df.columns]
     # Always true, but of all columns: a projection would else skip the checks of the rest.
     whole = F.hash(*checked) >= F.lit(-(2**31))
