@@ -12,13 +12,18 @@ from .ranking import (
     MAX_TASK_ROWS,
     GroupSizes,
     TimeCells,
+    TimeSpan,
     broadcast_if_small,
     evaluated_once,
     positions,
+    rank_by_range,
     running_start,
     with_rank,
 )
 
+# Batches of fewer average time cells are cut by a range shuffle.
+CELLS_PER_BATCH = 4
+
 _RANK = "_vl_rank"
 _BEFORE = "_vl_before"
 _LAST = "_vl_last_batch"
@@ -88,26 +93,42 @@ class BatchCells:
         return df.select(*map(c, df.columns), time_bucket(c(ts), self.width).alias(CELL))
 
 
+def _small_batches(span: TimeSpan, n: int) -> bool:
+    """Whether most rows would lie in time cells that a batch border crosses."""
+    return n < CELLS_PER_BATCH * span.rows_per_cell()
+
+
 def with_batch_id(
     df: DataFrame,
     order: list[str],
     n: int,
     max_rows: int = MAX_TASK_ROWS,
     workspace: Workspace | None = None,
-    cells: TimeCells | None = None,
+    span: TimeSpan | None = None,
 ) -> DataFrame:
-    """``df`` plus ``batch_id``: runs of ``n`` rows in ``order``; the last run may be short."""
+    """``df`` plus ``batch_id``: runs of ``n`` rows in ``order``; the last run may be short.
+
+    Which way is taken depends on the number of rows and the seconds that they span: up to
+    ``max_rows`` one task sorts them; small batches take one range shuffle by the whole order; large ones take time
+    cells, most of which lie in one batch and need no shuffle.
+    """
     check_batch_size(n)
     refuse_names(df, "batch_id")
     workspace = workspace or Workspace(df.sparkSession)
-    if cells is None:
+    if span is None:
         df = evaluated_once(df, workspace)
+        span = TimeSpan.of(df, order[0])
+    if span.n_rows <= max_rows:
+        ranked = with_rank(df, order, _RANK, max_rows, workspace, span=span)
+    elif _small_batches(span, n):
+        ranked = rank_by_range(df, order, _RANK, span.n_rows, max_rows, workspace)
+    else:
         cells = TimeCells.count(df, order[0], max_rows, workspace)
-    split = BatchCells.of(cells, n, workspace)
-    if split is not None:
-        border = split.border_rows(df, order, n, workspace)
-        return split.whole_rows(df, order[0]).unionByName(border)
-    ranked = with_rank(df, order, _RANK, max_rows, workspace, cells)
+        split = BatchCells.of(cells, n, workspace)
+        if split is not None:
+            border = split.border_rows(df, order, n, workspace)
+            return split.whole_rows(df, order[0]).unionByName(border)
+        ranked = with_rank(df, order, _RANK, max_rows, workspace, cells)
     return ranked.select(*map(c, df.columns), batch_of(c(_RANK), n).alias("batch_id"))
 
 
@@ -128,23 +149,31 @@ def batch_manifest(
     ts: str = "time_stamp",
     max_rows: int = MAX_TASK_ROWS,
     workspace: Workspace | None = None,
-    cells: TimeCells | None = None,
+    span: TimeSpan | None = None,
 ) -> DataFrame:
     """The batches an export would write: rows and time range of each, nothing written.
 
     Which of several rows with one timestamp falls into which batch does not
-    show in a manifest, so only ``ts`` is read, and cells that lie in one batch are
-    summed up from their counts.
+    show in a manifest, so only ``ts`` is read. The way is chosen as by :func:`with_batch_id`; cells that lie
+    in one batch are summed up from their counts.
     """
     check_batch_size(n)
     times = df.select(c(ts))
     workspace = workspace or Workspace(df.sparkSession)
-    if cells is None:
+    if span is None:
         times = evaluated_once(times, workspace)
+        span = TimeSpan.of(times, ts)
+    split = None
+    if span.n_rows <= max_rows:
+        ranked = with_rank(times, [ts], _RANK, max_rows, workspace, span=span)
+    elif _small_batches(span, n):
+        ranked = rank_by_range(times, [ts], _RANK, span.n_rows, max_rows, workspace)
+    else:
         cells = TimeCells.count(times, ts, max_rows, workspace)
-    split = BatchCells.of(cells, n, workspace)
+        split = BatchCells.of(cells, n, workspace)
+        if split is None:
+            ranked = with_rank(times, [ts], _RANK, max_rows, workspace, cells)
     if split is None:
-        ranked = with_rank(times, [ts], _RANK, max_rows, workspace, cells)
         parts = ranked.select(batch_of(c(_RANK), n).alias("batch_id"), *_one_row(c(ts)))
     else:
         border = split.border_rows(times, [ts], n, workspace).select("batch_id", *_one_row(c(ts)))

@@ -1,5 +1,6 @@
 """Time-bucket operators: as-of filter, bucket column, order and manifest."""
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
@@ -92,16 +93,16 @@ def position_in_bucket(
     return position_in_group(df, bucket, order, counts, name, max_rows, workspace)
 
 
-def bucket_counts(df: DataFrame, ts: str, seconds: int) -> DataFrame:
-    """Row count and time range of each non-empty bucket; reads ``ts`` only."""
-    return (
-        with_bucket(df.select(c(ts)), ts, seconds)
-        .groupBy("bucket")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.min(c(ts)).alias("ts_from"),
-            F.max(c(ts)).alias("ts_to"),
-        )
+def bucket_counts(
+    df: DataFrame, ts: str, seconds: int, more: dict[str, Callable[[DataFrame], Column]] | None = None
+) -> DataFrame:
+    """Row count and time range of each non-empty bucket, and ``more`` sums; without those only ``ts`` is read."""
+    bucketed = with_bucket(df if more else df.select(c(ts)), ts, seconds)
+    return bucketed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min(c(ts)).alias("ts_from"),
+        F.max(c(ts)).alias("ts_to"),
+        *(total(bucketed).alias(name) for name, total in (more or {}).items()),
     )
 
 
@@ -115,6 +116,7 @@ def number_buckets(counts: DataFrame, n_buckets: int) -> DataFrame:
         "n_rows",
         "ts_from",
         "ts_to",
+        *(name for name in counts.columns if name not in ("bucket", "n_rows", "ts_from", "ts_to")),
     )
 
 

@@ -18,6 +18,11 @@ def export_names(
     return df.toDF(*labels)
 
 
+# Columns of rows that were judged by a contract.
+FITS = "_vl_fits"
+REJECTED = "rejected_columns"
+
+
 def _typed(name: str, target: T.DataType) -> Column:
     return c(name).try_cast(target)
 
@@ -103,9 +108,19 @@ def enforce(
         raise ValueError(f"unknown policy {policy!r}, expected 'fail' or 'quarantine'")
 
     unfit = reduce(Column.__or__, [bad(n, types[n]) for n in sorted(changed)], F.lit(False))
-    # A plain cast, which no longer can fail: see check_contract on shared expressions.
-    good = df.filter(~unfit).select(
-        *[c(n).cast(types[n]).alias(n) if n in changed else c(n) for n in df.columns]
-    )
-    rejected = _names_where(df, contract, bad).alias("rejected_columns")
-    return good, df.filter(unfit).select("*", rejected)
+    rejected = _names_where(df, contract, bad).alias(REJECTED)
+    return typed(df.filter(~unfit), contract), df.filter(unfit).select("*", rejected)
+
+
+def with_verdict(df: DataFrame, contract: T.StructType, name: str) -> DataFrame:
+    """``df`` plus ``rejected_columns`` and ``name``: whether all values fit the contract's types."""
+    types = {f.name: f.dataType for f in contract}
+    unfit = [_rejected(n, types[n]) for n in sorted(_retyped(df, contract))]
+    rejected = _names_where(df, contract, _rejected).alias(REJECTED)
+    return df.select("*", rejected, (~reduce(Column.__or__, unfit, F.lit(False))).alias(name))
+
+
+def typed(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """Rows that fit, in the contract's types: by a plain cast, which no longer can fail."""
+    changed, types = set(_retyped(df, contract)), {f.name: f.dataType for f in contract}
+    return df.select(*[c(n).cast(types[n]).alias(n) if n in changed else c(n) for n in df.columns])

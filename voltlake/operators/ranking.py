@@ -28,6 +28,8 @@ MINUTE = 60
 ADDRESS = "_vl_address"
 _SEQUENCE = "_vl_sequence"
 _PIECE = "_vl_piece"
+_ROW_IN_PIECE = "_vl_row_in_piece"
+_PIECE_START = "_vl_piece_start"
 CELL = "_vl_cell"
 _DAY = "_vl_day"
 _THAT_DAY = "_vl_that_day"
@@ -189,23 +191,13 @@ def positions(
     if large is None:
         return small, None
 
-    # Written once: sequence numbers and piece sizes must come from one evaluation.
     n_pieces = max(
         sizes.n_hot_pieces, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     )
-    spread = spread_by_range(large, keys, n_pieces, workspace)
-    ordered = spread.sortWithinPartitions(*keys, c(ADDRESS)).drop(ADDRESS)
-    written = workspace.save(
-        ordered.withColumn(_SEQUENCE, F.monotonically_increasing_id()), "sorted-groups"
-    ).withColumn(_PIECE, F.shiftright(c(_SEQUENCE), _ROW_BITS))
-
-    # One row per piece and one per large group: both windows run over bounded tables.
-    pieces = count_rows(written, _PIECE).select(
-        _PIECE, earlier_sum(_PIECE, "n_rows").alias("_vl_piece_start")
-    )
+    written, pieces = _sorted_pieces(large, keys, n_pieces, workspace)
+    # One row per large group: the window runs over a bounded table.
     groups = sizes.hot.select(group, earlier_sum(group, "n_rows").alias("_vl_group_start"))
-    row_in_piece = c(_SEQUENCE).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    position = c("_vl_piece_start") + row_in_piece + 1 - c("_vl_group_start")
+    position = c(_PIECE_START) + c(_ROW_IN_PIECE) + 1 - c("_vl_group_start")
     large = (
         written.join(broadcast_if_small(pieces, n_pieces), _PIECE)
         .join(broadcast_if_small(groups, sizes.n_hot_groups), group)
@@ -214,6 +206,45 @@ def positions(
     return small, large
 
 
+def _sorted_pieces(
+    df: DataFrame, keys: list[Column], n_pieces: int, workspace: Workspace
+) -> tuple[DataFrame, DataFrame]:
+    """The rows in sorted pieces, each row with its piece and place in it; and where each piece starts.
+
+    Written once: sequence numbers and piece sizes must come from one evaluation. There is one row per piece,
+    so the window over the sizes is bounded.
+    """
+    spread = spread_by_range(df, keys, n_pieces, workspace)
+    ordered = spread.sortWithinPartitions(*keys, c(ADDRESS)).drop(ADDRESS)
+    sequenced = workspace.save(
+        ordered.withColumn(_SEQUENCE, F.monotonically_increasing_id()), "sorted-groups"
+    )
+    written = sequenced.withColumn(_PIECE, F.shiftright(c(_SEQUENCE), _ROW_BITS)).withColumn(
+        _ROW_IN_PIECE, c(_SEQUENCE).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    )
+    pieces = count_rows(written, _PIECE).select(
+        _PIECE, earlier_sum(_PIECE, "n_rows").alias(_PIECE_START)
+    )
+    return written, pieces
+
+
+def rank_by_range(
+    df: DataFrame, order: list[str], name: str, n_rows: int, max_rows: int, workspace: Workspace
+) -> DataFrame:
+    """``df`` plus ``name``, each row's rank, from one range shuffle by the whole order.
+
+    The sizes of the sorted pieces tell where each starts; no time cells are counted. The rows are
+    written once.
+    """
+    addressed = with_address(df)
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_pieces = max(math.ceil(n_rows / max_rows), shuffled)
+    keys = sort_keys(df, order)
+    written, pieces = _sorted_pieces(df if addressed is None else addressed, keys, n_pieces, workspace)
+    rank = (c(_PIECE_START) + c(_ROW_IN_PIECE) + 1).alias(name)
+    return written.join(broadcast_if_small(pieces, n_pieces), _PIECE).select(*map(c, df.columns), rank)
+
+
 def position_in_group(
     df: DataFrame,
     group: str,
@@ -251,6 +282,24 @@ def running_start(
     return joined.withColumn(name, start).drop(_DAY, _THAT_DAY, _AMOUNT, _START_OF_DAY)
 
 
+@dataclass
+class TimeSpan:
+    """How many rows there are and how many seconds they span, from one pass over ``ts`` without a shuffle."""
+
+    n_rows: int
+    seconds: int
+
+    @classmethod
+    def of(cls, df: DataFrame, ts: str) -> "TimeSpan":
+        times = df.select(not_null(ts))
+        seconds = F.timestamp_diff("SECOND", F.min(c(ts)), F.max(c(ts)))
+        n_rows, seconds = times.agg(F.count(F.lit(1)), F.coalesce(seconds, F.lit(0))).first()
+        return cls(n_rows, seconds)
+
+    def rows_per_cell(self, width: int = MINUTE) -> float:
+        return self.n_rows / (self.seconds / width + 1)
+
+
 @dataclass
 class TimeCells:
     """Rows per time cell: ``width`` seconds wide, with the large ones known.
@@ -319,17 +368,24 @@ def with_rank(
     max_rows: int = MAX_TASK_ROWS,
     workspace: Workspace | None = None,
     cells: TimeCells | None = None,
+    span: TimeSpan | None = None,
 ) -> DataFrame:
     """``df`` plus ``name``, the exact 1-based position of each row in the whole ``order``.
 
-    The first column of ``order`` is a timestamp without nulls. Rows per time
+    The first column of ``order`` is a timestamp without nulls. A table of at most ``max_rows``, counted
+    first, is sorted by one task. Beyond that, rows per time
     cell give the rank at which each cell starts; inside a cell rows are
     numbered by :func:`positions`. The rows themselves are shuffled once.
     """
     ts = order[0]
     workspace = workspace or Workspace(df.sparkSession)
     if cells is None:
-        df = evaluated_once(df, workspace)
+        if span is None:
+            df = evaluated_once(df, workspace)
+            span = TimeSpan.of(df, ts)
+        if span.n_rows <= max_rows:
+            place = F.row_number().over(Window.orderBy(*sort_keys(df, order)))
+            return df.select("*", place.cast("bigint").alias(name))
         cells = TimeCells.count(df, ts, max_rows, workspace)
     starts = running_start(
         cells.counts, CELL, cells.sizes.n_groups, F.col("n_rows"), _START
