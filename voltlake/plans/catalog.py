@@ -19,6 +19,7 @@ from ..sources import (
     row_count,
     write_parquet,
 )
+from ..storage import write_table
 from ..workspace import Workspace
 from .exports import export_batches, export_buckets, verify_export
 from .runlog import log_run, run_log
@@ -181,6 +182,23 @@ def q_csv_text_load(spark, sf_dir):
     return load_csv(spark, path, schema, required=("event_id",))
 
 
+def q_csv_line_breaks(spark, sf_dir):
+    """Texts with line breaks, quotes and commas, through CSV files that many tasks read."""
+    path = Workspace(spark).path("line-breaks-csv")
+    number = F.col("event_id") % 3
+    more = F.when(number == 0, F.lit('"\n\n')).when(number == 1, F.lit(",\n")).otherwise(F.lit(""))
+    note = F.concat("event_type", F.lit("\n"), more, F.coalesce("props", F.lit(""))).alias("note")
+    export_csv(_events(spark, sf_dir).select("event_id", note, "value"), path)
+    schema = T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("note", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+        ]
+    )
+    return load_csv(spark, path, schema, required=("event_id",), multi_line=True)
+
+
 def q_bucket_export(spark, sf_dir):
     path = Workspace(spark).path("buckets")
     events = _events(spark, sf_dir).select("event_id", "ts", "value")
@@ -240,6 +258,44 @@ def q_verify_export(spark, sf_dir):
     return verify_export(spark, path, result.manifest, result.key)
 
 
+def q_verify_contents(spark, sf_dir):
+    """An export in which the value of one row is changed after the fact: its batch alone is not as written."""
+    path = Workspace(spark).path("changed-batches")
+    events = _events(spark, sf_dir).select("event_id", "ts", "value")
+    result = export_batches(events, path, FILE_BATCH, ("ts", "event_id"), contents=True)
+    changed = spark.read.schema(events.schema).parquet(f"{path}/batch_id=1")
+    first = changed.agg(F.min("event_id")).first()[0]
+    value = F.when(F.col("event_id") == first, F.col("value") + 1).otherwise(F.col("value"))
+    write_table(changed.withColumn("value", value), f"{path}/batch_id=1", "overwrite")
+    return verify_export(spark, path, result.manifest, result.key)
+
+
+def q_batch_file_order(spark, sf_dir):
+    """The place of each row in its file, as the rows are stored."""
+    path = Workspace(spark).path("ordered-batches")
+    export_batches(_events(spark, sf_dir).select("event_id", "ts"), path, FILE_BATCH, ("ts", "event_id"))
+    stored = spark.read.parquet(path)
+    pos = (F.col("_metadata.row_index") + 1).alias("pos")
+    return stored.select("event_id", F.col("batch_id").cast("long").alias("batch_id"), pos)
+
+
+def q_bucket_file_order(spark, sf_dir):
+    path = Workspace(spark).path("ordered-buckets")
+    events = _events(spark, sf_dir).select("event_id", "ts", "value")
+    export_buckets(events, path, 86400, "ts", "value", AS_OF)
+    pos = (F.col("_metadata.row_index") + 1).alias("pos")
+    return spark.read.parquet(path).select("bucket", "event_id", pos)
+
+
+def _roundtrip(codec):
+    def query(spark, sf_dir):
+        path = Workspace(spark).path(f"orders-{codec}")
+        write_parquet(_table(spark, sf_dir, "orders"), path, codec=codec)
+        return spark.read.parquet(path)
+
+    return query
+
+
 def q_run_metrics(spark, sf_dir):
     path = Workspace(spark).path("run-log")
     events = ops.as_of(_events(spark, sf_dir), "ts", AS_OF)
@@ -278,6 +334,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readings_scan": q_readings_scan,
     "row_count": q_row_count,
     "verify_export": q_verify_export,
+    "verify_contents": q_verify_contents,
+    "batch_file_order": q_batch_file_order,
+    "bucket_file_order": q_bucket_file_order,
+    "parquet_roundtrip_snappy": _roundtrip("snappy"),
+    "parquet_roundtrip_uncompressed": _roundtrip("uncompressed"),
+    "csv_line_breaks": q_csv_line_breaks,
     "run_metrics": q_run_metrics,
 }
 
@@ -371,6 +433,25 @@ ORACLES: dict[str, str] = {
         "select batch_id, count(*) as expected, count(*) as found, true as ok from "
         f"(select {_batch(FILE_BATCH)} as batch_id from events) group by 1"
     ),
+    "verify_contents": (
+        "select batch_id, count(*) as expected, count(*) as found, batch_id <> 1 as ok from "
+        f"(select {_batch(FILE_BATCH)} as batch_id from events) group by 1"
+    ),
+    "batch_file_order": (
+        "select event_id, batch_id, row_number() over (partition by batch_id order by ts, event_id) as pos "
+        f"from (select *, {_batch(FILE_BATCH)} as batch_id from events)"
+    ),
+    "bucket_file_order": (
+        "select bucket, event_id, row_number() over "
+        "(partition by bucket order by value nulls last, ts, event_id) as pos from "
+        f"(select *, time_bucket(interval '86400 seconds', ts) as bucket from events where {_BEFORE})"
+    ),
+    "parquet_roundtrip_snappy": "select * from orders",
+    "parquet_roundtrip_uncompressed": "select * from orders",
+    "csv_line_breaks": (
+        "select event_id, event_type || chr(10) || case event_id % 3 when 0 then '\"' || chr(10) || chr(10) "
+        "when 1 then ',' || chr(10) else '' end || coalesce(props, '') as note, value from events"
+    ),
     "run_metrics": (
         "select min(ts) as data_start_timestamp, rpad('bucket', 8, ' ') as run_type, "
         f"count(*) as n_rows from events where {_BEFORE}"

@@ -5,7 +5,7 @@ import time
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import bucket_label, c, refuse_names
 from ..operators.batches import batch_of, check_batch_size, with_batch_id
@@ -21,15 +21,16 @@ from ..operators.ranking import (
     ADDRESS,
     MAX_TASK_ROWS,
     GroupSizes,
-    TimeCells,
+    TimeSpan,
     evaluated_once,
     sized_partitions,
     sort_keys,
     spread_by_range,
     with_rank,
 )
+from ..sources.footers import group_files, group_keys, readable_in_tasks
 from ..sources.parquet import check_codec, refuse_own_input
-from ..storage import write_table
+from ..storage import path_exists, replacing, settle, write_files
 from ..workspace import Workspace
 
 # Folder of the manifest inside an export; readers of the export skip it.
@@ -58,6 +59,8 @@ class ExportResult:
     n_files: int
     elapsed_ms: int
     as_of: str | None = None
+    ts_from: datetime | None = None
+    ts_to: datetime | None = None
 
 
 def _refuse_too_many(n_files: int, max_files: int | None) -> None:
@@ -71,21 +74,78 @@ def _check_target(df: DataFrame, path: str, codec: str, mode: str) -> None:
     if mode not in ("overwrite", "errorifexists"):
         raise ValueError(f"unknown mode {mode!r}, expected 'overwrite' or 'errorifexists'")
     refuse_own_input(df, path)
+    settle(df.sparkSession, path)
+    if mode == "errorifexists" and path_exists(df.sparkSession, path):
+        raise FileExistsError(path)
 
 
-def _finish(
-    rows: DataFrame, manifest: DataFrame, path: str, key: str, totals: tuple[int, int], started: float
+def _digest(columns: list[str], df: DataFrame) -> Column:
+    """An order-free digest of rows: the sum of a hash of each, which also tells nulls apart."""
+    plain = [n for n in columns if not any(t in df.schema[n].dataType.simpleString() for t in ("map<", "variant"))]
+    row = F.xxhash64(*map(c, plain), *(c(n).isNull() for n in plain))
+    return F.sum(row.cast("decimal(20,0)"))
+
+
+def _publish(
+    rows: DataFrame,
+    manifest: DataFrame,
+    path: str,
+    key: str,
+    ts: str,
+    totals: tuple[int, int],
+    contents: list[str] | None,
+    codec: str,
+    options: dict,
+    started: float,
 ) -> ExportResult:
-    """Store the manifest beside the data and sum up the run."""
-    spark = rows.sparkSession
-    write_table(manifest, f"{path}/{MANIFEST}")
-    stored = spark.read.schema(manifest.schema).parquet(f"{path}/{MANIFEST}")
-    written = spark.read.schema(rows.schema).parquet(path).select("_metadata.file_path")
-    n_files = written.distinct().count()
+    """Write rows and manifest beside ``path``, check both, and put them in its place together.
+
+    Rows, their time range and their digest are summed up while they are written; the files and times of each
+    group come from the footers, read by tasks. An export that differs from its manifest is not published.
+    """
+    spark, (n_groups, n_rows) = rows.sparkSession, totals
+    watched = {"n_rows": F.count(F.lit(1)), "ts_from": F.min(c(ts)), "ts_to": F.max(c(ts))}
+    if contents:
+        watched["digest"] = _digest(contents, rows)
+    with Workspace(spark) as workspace, replacing(spark, path) as (staged,):
+        written = write_files(rows, staged, codec=codec, partition_by=key, observe=watched, **options)
+        if written["n_rows"] != n_rows:
+            raise RuntimeError(f"{written['n_rows']} rows were written to {path}, {n_rows} expected")
+        manifest, checks = _with_files(manifest, staged, rows, key, ts, n_groups, workspace)
+        if contents:
+            checks["digest"] = F.sum("digest")
+        seen = write_files(manifest, f"{staged}/{MANIFEST}", observe=checks, only_observed=("found",))
+        if seen["n_wrong"] or seen.get("digest") != written.get("digest"):
+            raise RuntimeError(f"{seen['n_wrong']} groups of {path} differ from the manifest")
+    stored = spark.read.schema(manifest.drop("found").schema).parquet(f"{path}/{MANIFEST}")
     elapsed_ms = round((time.monotonic() - started) * 1000)
-    n_groups, n_rows = totals
-    run_type = RUN_TYPES[key]
-    return ExportResult(path, run_type, key, stored, n_rows, n_groups, n_files, elapsed_ms)
+    return ExportResult(
+        path, RUN_TYPES[key], key, stored, n_rows, n_groups, seen["n_files"] or 0, elapsed_ms, None,
+        written["ts_from"], written["ts_to"],
+    )
+
+
+def _with_files(
+    manifest: DataFrame, staged: str, rows: DataFrame, key: str, ts: str, n_groups: int, workspace: Workspace
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The manifest with ``n_files``, ``found`` and, where it has none yet, the time range of each group."""
+    spark = rows.sparkSession
+    if readable_in_tasks(spark, staged):
+        ts_type = rows.schema[ts].dataType.simpleString()
+        files = group_files(staged, manifest, key, n_groups, ts, ts_type).drop("n_bytes")
+    else:
+        # Spark lists the folders itself; only it can open this store.
+        written = spark.read.schema(rows.schema).parquet(staged).groupBy(key)
+        files = written.agg(
+            F.count_distinct("_metadata.file_path").alias("n_files"),
+            F.count(F.lit(1)).alias("found"),
+            F.min(c(ts)).alias("ts_from"),
+            F.max(c(ts)).alias("ts_to"),
+        )
+    if "ts_from" in manifest.columns:
+        files = files.drop("ts_from", "ts_to")
+    checks = {"n_files": F.sum("n_files"), "n_wrong": F.count_if(~c("found").eqNullSafe(c("n_rows")))}
+    return manifest.join(files, key, "left").na.fill(0, ["n_files", "found"]), checks
 
 
 def _batch_sizes(spark: SparkSession, n_rows: int, n: int) -> DataFrame:
@@ -106,11 +166,13 @@ def export_batches(
     mode: str = "overwrite",
     max_files: int | None = None,
     rows_per_file: int = MAX_TASK_ROWS,
+    contents: bool = False,
 ) -> ExportResult:
     """Write runs of ``n`` rows in time order, one folder ``batch_id=k`` with one file each.
 
     A batch larger than ``rows_per_file`` is written as several files, each a
-    run of its own in the same order.
+    run of its own in the same order. With ``contents`` the manifest has a digest of each batch,
+    by which :func:`verify_export` compares values; that takes a second pass over the rows.
     """
     check_batch_size(n)
     refuse_names(df, "batch_id")
@@ -118,16 +180,16 @@ def export_batches(
     spark, ts, started = df.sparkSession, order[0], time.monotonic()
     with Workspace(spark) as workspace:
         df = evaluated_once(df, workspace)
-        cells = TimeCells.count(df, ts, MAX_TASK_ROWS, workspace)
-        n_rows = cells.sizes.n_rows
+        span = TimeSpan.of(df, ts)
+        n_rows = span.n_rows
         full, rest = divmod(n_rows, n)
         n_files = full * math.ceil(n / rows_per_file) + math.ceil(rest / rows_per_file)
         _refuse_too_many(n_files, max_files)
         spread, options, in_order = [c("batch_id")], {}, sort_keys(df, list(order))
         if n <= rows_per_file:
-            batched = with_batch_id(df, list(order), n, workspace=workspace, cells=cells)
+            batched = with_batch_id(df, list(order), n, workspace=workspace, span=span)
         else:
-            ranked = with_rank(df, list(order), _RANK, workspace=workspace, cells=cells)
+            ranked = with_rank(df, list(order), _RANK, workspace=workspace, span=span)
             batched = ranked.withColumn("batch_id", batch_of(c(_RANK), n))
             in_order = [c(_RANK)]
             # Parts of one batch may share a task; all but the last are full, so
@@ -140,12 +202,13 @@ def export_batches(
             .sortWithinPartitions("batch_id", *in_order)
             .select(*map(c, df.columns), "batch_id")
         )
-        write_table(rows, path, mode, codec, "batch_id", **options)
-
-        written = spark.read.schema(rows.schema).parquet(path).groupBy("batch_id")
-        times = written.agg(F.min(c(ts)).alias("ts_from"), F.max(c(ts)).alias("ts_to"))
-        manifest = _batch_sizes(spark, n_rows, n).join(times, "batch_id", "left")
-        return _finish(rows, manifest, path, "batch_id", (math.ceil(n_rows / n), n_rows), started)
+        manifest = _batch_sizes(spark, n_rows, n)
+        if contents:
+            digests = batched.groupBy("batch_id").agg(_digest(df.columns, df).alias("digest"))
+            manifest = workspace.save(manifest.join(digests, "batch_id", "left"), "digests")
+        totals = math.ceil(n_rows / n), n_rows
+        compared = df.columns if contents else None
+        return _publish(rows, manifest, path, "batch_id", ts, totals, compared, codec, options, started)
 
 
 def export_buckets(
@@ -159,13 +222,15 @@ def export_buckets(
     mode: str = "overwrite",
     max_files: int | None = None,
     rows_per_file: int = MAX_TASK_ROWS,
+    contents: bool = False,
 ) -> ExportResult:
     """Write the rows before ``at``, one folder ``bucket_label=…`` with one file per bucket.
 
     Rows inside a file are in the order of ``measure``, nulls last. A bucket with
     more than ``rows_per_file`` rows is written by several tasks, as sorted files
     over separate ranges of that order. A null timestamp, which is neither before nor after
-    ``at``, fails the job.
+    ``at``, fails the job. With ``contents`` the manifest has a digest of each bucket, by which
+    :func:`verify_export` compares values; it is summed up where the rows are counted.
     """
     refuse_names(df, "bucket", "bucket_label")
     _check_target(df, path, codec, mode)
@@ -176,7 +241,8 @@ def export_buckets(
         if not df.filter(c(ts).isNull()).isEmpty():
             raise ValueError(f"null in {ts}")
         kept = as_of(df, ts, at)
-        counts = workspace.save(bucket_counts(kept, ts, seconds), "bucket-counts")
+        digest = {"digest": lambda rows: _digest(["bucket", *df.columns], rows)} if contents else {}
+        counts = workspace.save(bucket_counts(kept, ts, seconds, digest), "bucket-counts")
         sizes = GroupSizes.of(counts, "bucket", rows_per_file)
         _refuse_too_many(sizes.n_pieces, max_files)
 
@@ -191,24 +257,37 @@ def export_buckets(
         rows = rows.withColumn("bucket_label", bucket_label(bucketed)).sortWithinPartitions(
             "bucket_label", *keys[1:]
         )
-        write_table(rows, path, mode, codec, "bucket_label")
-
         manifest = number_buckets(counts, sizes.n_groups)
         totals = sizes.n_groups, sizes.n_rows
-        result = _finish(rows, manifest, path, "bucket_label", totals, started)
+        compared = bucketed.columns if contents else None
+        result = _publish(rows, manifest, path, "bucket_label", ts, totals, compared, codec, {}, started)
         result.as_of = at
         return result
 
 
 def verify_export(spark: SparkSession, path: str, manifest: DataFrame, key: str) -> DataFrame:
-    """Count the written rows of each group and compare with the manifest.
+    """Compare the written groups with the manifest: their rows and, if it has digests, their values.
 
-    Only the key, which is a folder name, is read, so the counts come from the
-    file footers. Groups missing on either side count as 0.
+    Rows are counted in the file footers, which tasks read; the driver lists nothing. Groups missing on either
+    side count as 0. Values are read back in full, and Spark lists the folders for that.
     """
+    settle(spark, path)
     key_type = manifest.schema[key].dataType.simpleString()
-    written = spark.read.schema(f"`{key}` {key_type}").parquet(path)
-    found = written.groupBy(key).agg(F.count(F.lit(1)).alias("found"))
     expected = manifest.select(key, F.col("n_rows").alias("expected"))
+    if readable_in_tasks(spark, path):
+        keys = manifest.select(key).union(group_keys(spark, path, key, key_type)).distinct()
+        with_count = Workspace(spark).save(keys, "group-keys")
+        found = group_files(path, with_count, key, with_count.count()).select(key, "found")
+    else:
+        written = spark.read.schema(f"`{key}` {key_type}").parquet(path)
+        found = written.groupBy(key).agg(F.count(F.lit(1)).alias("found"))
     counts = expected.join(found, key, "full_outer").na.fill(0, ["expected", "found"])
-    return counts.select(key, "expected", "found", (c("expected") == c("found")).alias("ok"))
+    if "digest" not in manifest.columns:
+        return counts.select(key, "expected", "found", (c("expected") == c("found")).alias("ok"))
+    rows = spark.read.parquet(path)
+    columns = [n for n in rows.columns if n != key]
+    read_back = rows.groupBy(c(key).cast(key_type).alias(key)).agg(_digest(columns, rows).alias("read_back"))
+    digests = manifest.select(key, "digest").join(read_back, key, "full_outer")
+    same = c("digest").eqNullSafe(c("read_back"))
+    ok = ((c("expected") == c("found")) & F.coalesce(same, F.lit(False))).alias("ok")
+    return counts.join(digests, key, "left").select(key, "expected", "found", ok)

@@ -11,6 +11,7 @@ from ..schema import N_BATTERIES, file_schema, readings_schema
 from ..sources.csv import load_csv
 from ..sources.parquet import refuse_own_input, write_parquet
 from ..sources.readings import append_readings, readings, row_count
+from ..storage import settle
 from .exports import ExportResult, export_batches, export_buckets, verify_export
 from .runlog import log_run
 
@@ -41,14 +42,17 @@ def export_job(
     max_files: int | None = None,
     rows_per_file: int = MAX_TASK_ROWS,
     n_batteries: int = N_BATTERIES,
+    contents: bool = False,
 ) -> ExportResult:
     """Export the readings table by record ``count`` or by time ``bucket``, check it and log it.
 
     ``size`` is the records per batch or the bucket width in seconds. Files
     carry the export labels. ``narrow`` applies the tighter types; rows that do
     not fit fail the job, or go to ``quarantine_path`` if there is one. The
-    cut-off ``at`` applies to bucket exports only: a count export takes every row.
+    cut-off ``at`` applies to bucket exports only: a count export takes every row. With ``contents`` the
+    written values are read back and compared, not only the row counts.
     """
+    settle(spark, table_path)
     table = readings(spark, table_path)
     refuse_own_input(table, out_path, quarantine_path, log_path)
     contract = file_schema(group, n_batteries, narrow) if group in ("count", "bucket") else None
@@ -67,7 +71,7 @@ def export_job(
         rows = fitted(export_names(table, "count", n_batteries))
         result = export_batches(
             rows, out_path, size, ("timestamp",), codec=codec, max_files=max_files,
-            rows_per_file=rows_per_file,
+            rows_per_file=rows_per_file, contents=contents,
         )
     elif group == "bucket":
         # The bucket label comes first and is added by the export itself.
@@ -76,7 +80,7 @@ def export_job(
         rows = fitted(as_of(rows, "time_stamp", at))
         result = export_buckets(
             rows, out_path, size, "time_stamp", "bat 1 temp", at, codec, max_files=max_files,
-            rows_per_file=rows_per_file,
+            rows_per_file=rows_per_file, contents=contents,
         )
     else:
         raise ValueError(f"unknown group {group!r}, expected 'count' or 'bucket'")
@@ -84,7 +88,7 @@ def export_job(
     checked = verify_export(spark, out_path, result.manifest, result.key)
     wrong = checked.filter("not ok").count()
     if wrong:
-        raise RuntimeError(f"{wrong} of {result.n_groups} groups in {out_path} differ in row count")
+        raise RuntimeError(f"{wrong} of {result.n_groups} groups in {out_path} differ from the manifest")
     if log_path:
         log_run(
             spark, log_path, result.run_type, result.manifest, result.n_files, result.elapsed_ms
