@@ -5,7 +5,7 @@ import gzip
 import hashlib
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..workspace import Workspace
 from .skew import left_lookup
+from .wordhash import release_memory
 
 # The field definitions of the two ARC versions.
 ARC_FIELDS = {
@@ -26,7 +27,10 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-_BYTES_PER_BATCH = 8 << 20
+_BYTES_PER_BATCH = 4 << 20
+# Records of one archive, its first one included: a file is read as a whole.
+RECORDS_PER_ARCHIVE = 1000
+_ROWS_AT_ONCE = 64
 _ID_NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -133,11 +137,29 @@ def _number(head: bytes, name: str) -> int | None:
     return int(value) if value is not None and value.lstrip(b"-").isdigit() else None
 
 
+def _small_parts(batches: Iterator[pa.RecordBatch], size: int = _ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that a whole Arrow batch never is a list of Python values as well."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, size):
+            yield batch.slice(begin, size)
+
+
+def _tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, which gives its memory back when a task ends; the worker lives on."""
+
+    def tidied(batches):
+        yield from run(batches)
+        release_memory()
+
+    return tidied
+
+
 def _written(rows: DataFrame, path: str, separator: str) -> None:
-    """Writes one archive per task; ``rows.record`` are the records without what ends them."""
+    """Writes archives of ``RECORDS_PER_ARCHIVE``; ``rows.record`` are the records without what ends them."""
     (
         rows.select(F.col("record").cast("string"))
         .write.option("lineSep", separator)
+        .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE)
         .option("compression", "gzip")
         .option("zlib.compress.level", "BEST_SPEED")
         .text(path)
@@ -169,7 +191,7 @@ _RECORD = pa.schema([("record", pa.binary())])
 def write_arc(
     pages: DataFrame, path: str, date: str = "20240101000000", server: str = "0.0.0.0"
 ) -> None:
-    """Writes ``pages`` (``page_id``, ``url``, ``html``) as gzipped ARC files, one for each task.
+    """Writes ``pages`` (``page_id``, ``url``, ``html``) as gzipped ARC files of a bounded number of records.
 
     Tasks write versions 1 and 2 in turn. Each page is an HTTP response with its id in
     ``X-Page-Id``; a null id leaves that header out, a null page is empty. Blanks and
@@ -178,17 +200,20 @@ def write_arc(
 
     def run(batches):
         number = TaskContext.get().partitionId()
-        version, name = 1 + number % 2, f"pages-{number:06d}.arc"
+        version = 1 + number % 2
 
         def records():
-            opened = False
-            for batch in batches:
+            n, name = 0, ""
+            for batch in _small_parts(batches):
                 for page, url, html in zip(*(batch[c].to_pylist() for c in ("page_id", "url", "html"))):
-                    if not opened:
+                    # The writer begins another file after so many records.
+                    if n % RECORDS_PER_ARCHIVE == 0:
+                        name = f"pages-{number:06d}-{n // RECORDS_PER_ARCHIVE:06d}.arc"
                         block = f"{version} 0 pages\n{ARC_FIELDS[version]}\n".encode()
                         head = f"filedesc://{name} {server} {date} text/plain {len(block)}\n"
                         yield (head.encode() + block,)
-                        opened = True
+                        n += 1
+                    n += 1
                     body = (html or "").encode()
                     known = "" if page is None else f"X-Page-Id: {page}\r\n"
                     http = (
@@ -204,7 +229,7 @@ def write_arc(
 
         yield from _in_batches(records(), _RECORD)
 
-    _written(pages.select("page_id", "url", "html").mapInArrow(run, "record binary"), path, "\n")
+    _written(pages.select("page_id", "url", "html").mapInArrow(_tidied(run), "record binary"), path, "\n")
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -232,7 +257,7 @@ _ENTRY_SQL = (
 def _payload_entries(prefer: str | None):
     def run(batches):
         def entries():
-            for batch in batches:
+            for batch in _small_parts(batches, 1):
                 for path, content in zip(batch["path"].to_pylist(), batch["content"]):
                     for r in read_arc(content.as_py(), path):
                         if http := r.http():
@@ -310,7 +335,7 @@ _ARC_SQL = (
 
 def _arc_rows(batches):
     def rows():
-        for batch in batches:
+        for batch in _small_parts(batches, 1):
             for path, content in zip(batch["path"].to_pylist(), batch["content"]):
                 for r in read_arc(content.as_py(), path):
                     yield path, r.offset, r.archive, r.url, r.ip, r.date, r.mime, r.body
@@ -320,16 +345,17 @@ def _arc_rows(batches):
 
 def _converted(batches):
     def records():
-        opened = False
-        for batch in batches:
+        n = 0
+        for batch in _small_parts(batches):
             for row in batch.to_pylist():
                 original = row.pop("original")
                 del row["path"]
                 record = ArcRecord(**row)
-                if not opened:
+                if n % RECORDS_PER_ARCHIVE == 0:
                     yield (_info(record),)
-                    opened = True
+                    n += 1
                 yield (warc_record(record, original),)
+                n += 1
 
     yield from _in_batches(records(), _RECORD)
 
@@ -354,7 +380,7 @@ def convert_arc(
     """
     workspace = workspace or Workspace(spark)
     files = _files(spark, arc_path)
-    entries = workspace.save(files.mapInArrow(_payload_entries(prefer), _ENTRY_SQL), "entries")
+    entries = workspace.save(files.mapInArrow(_tidied(_payload_entries(prefer)), _ENTRY_SQL), "entries")
     order = F.struct(
         F.col("preference").isNotNull().alias("known"), "preference", "path", "offset",
         "record_id", "uri", "date",
@@ -370,9 +396,9 @@ def convert_arc(
     revisits = placed.filter("original is not null and original.record_id <> record_id").select(
         "path", "offset", original
     )
-    records = files.mapInArrow(_arc_rows, _ARC_SQL)
+    records = files.mapInArrow(_tidied(_arc_rows), _ARC_SQL)
     joined = records.join(revisits, ["path", "offset"], "left").sortWithinPartitions("path", "offset")
-    _written(joined.mapInArrow(_converted, "record binary"), warc_path, "\r\n\r\n")
+    _written(joined.mapInArrow(_tidied(_converted), "record binary"), warc_path, "\r\n\r\n")
 
 
 _WARC_ROW = pa.schema(
@@ -410,7 +436,7 @@ def read_warc_file(content: bytes, name: str = "warc") -> Iterator[tuple[dict[st
 
 def _warc_rows(batches):
     def rows():
-        for batch in batches:
+        for batch in _small_parts(batches, 1):
             for path, content in zip(batch["path"].to_pylist(), batch["content"]):
                 for fields, block in read_warc_file(content.as_py(), path):
                     if fields["warc-type"] not in ("response", "revisit"):
@@ -434,7 +460,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     A revisit has the digest and the length of the whole payload, though it does not hold it.
     ``intact`` is whether a response's payload has the digest that its header declares.
     """
-    return _files(spark, path).mapInArrow(_warc_rows, _WARC_SQL)
+    return _files(spark, path).mapInArrow(_tidied(_warc_rows), _WARC_SQL)
 
 
 def archive_pages(pages: DataFrame, workspace: Workspace | None = None) -> DataFrame:
