@@ -14,6 +14,8 @@ MAX_N = 3
 BITS = 17
 # The classifier is fitted on about so many labelled rows of each language.
 ROWS_PER_LANGUAGE = 1500
+# Values of the language column that the model may have; each adds a column of weights.
+MOST_LANGUAGES = 500
 # Of these rows one in five is kept from fitting, to calibrate on.
 CALIBRATION_PART = 5
 EPOCHS = 3
@@ -191,7 +193,8 @@ def train(
     ids and texts. Without any such row the model has no language.
     """
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    per_language = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    per_language = counts.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
     languages = sorted(r["lang"] for r in per_language)
     if not languages:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0)
@@ -232,24 +235,33 @@ def train(
         rows.filter(draw < share)
         .select(text_col, F.col(lang_col).alias("lang"), F.xxhash64(text_col, id_col).alias("draw"))
         .mapInArrow(features, "lang string, draw long, features array<int>, values array<float>")
+        # Twice the expected number bounds the sample before it is fetched, whatever the ids are.
+        .orderBy("draw")
+        .limit(2 * rows_per_language * len(languages))
         .toArrow()
     )
-    # Twice the expected number bounds the sample, whatever the ids are.
-    sample = sample.sort_by("draw").slice(0, 2 * rows_per_language * len(languages))
     for lang, drawn, f, v in zip(*(sample.column(c) for c in sample.column_names)):
         at = f.values.to_numpy()
         row = at, v.values.to_numpy() * inverse[at] * _SCALE, number[lang.as_py()]
         (check if drawn.as_py() % CALIBRATION_PART == 0 else fit).append(row)
+    del sample
     weights, bias = fit_ftrl(fit or check, len(languages), penalties or Penalties(), epochs)
     scores = np.array([x @ weights[at] + bias for at, x, _ in check]).reshape(-1, len(languages))
     temperature = fit_temperature(scores, np.array([k for *_, k in check], np.int64))
+    # The driver lives on, too.
+    del fit, check, scores
+    release_memory()
     return Model(languages, weights * inverse[:, None] * _SCALE, bias, temperature)
 
 
-def _scores(texts: list[str | None], model: Model) -> np.ndarray:
-    """The languages' scores of each text before calibration."""
+def _padded(model: Model) -> np.ndarray:
+    """The weights, and a row of zeros for n-grams that run over the end of a text."""
+    return np.vstack([model.weights, np.zeros(len(model.languages))]).astype(np.float32)
+
+
+def _scores(texts: list[str | None], model: Model, weights: np.ndarray) -> np.ndarray:
+    """The languages' scores of each text before calibration; ``weights`` as :func:`_padded` has them."""
     out = np.zeros((len(texts), len(model.languages)))
-    weights = np.vstack([model.weights, np.zeros(len(model.languages))]).astype(np.float32)
     for a, b in _pieces(texts):
         features, first = _grams(texts[a:b])
         lengths = np.diff(first)
@@ -268,9 +280,10 @@ def _scores(texts: list[str | None], model: Model) -> np.ndarray:
 def _predict(shared, id_first: list[str]):
     def run(batches):
         model = shared.value
+        weights = _padded(model)
         for batch in (part for whole in batches for part in slices(whole, "_text")):
             texts = batch["_text"].to_pylist()
-            p = _softmax(_scores(texts, model) / model.temperature)
+            p = _softmax(_scores(texts, model, weights) / model.temperature)
             best = p.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
