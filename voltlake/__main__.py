@@ -29,6 +29,7 @@ def main() -> None:
     export.add_argument("--max-files", type=int, help="refuse an export of more files")
     export.add_argument("--rows-per-file", type=int, default=MAX_TASK_ROWS)
     export.add_argument("--batteries", type=int, default=N_BATTERIES)
+    export.add_argument("--contents", action="store_true", help="read the written values back and compare")
     export.add_argument("--log", help="path of the run log")
     args = parser.parse_args()
 
@@ -39,7 +40,7 @@ def main() -> None:
         result = export_job(
             spark, args.table, args.out, args.group, args.size, args.as_of,
             args.codec, args.narrow, args.quarantine, args.log,
-            args.max_files, args.rows_per_file, args.batteries,
+            args.max_files, args.rows_per_file, args.batteries, args.contents,
         )
         print(
             f"rows: {result.n_rows}, groups: {result.n_groups}, files: {result.n_files}, "
