@@ -8,7 +8,7 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 
-from tests.llm.helpers import DOC_SCHEMA, documents
+from llm.helpers import DOC_SCHEMA, documents
 from voltlake.llm import spelling
 from voltlake.llm.spelling import group_spellings
 

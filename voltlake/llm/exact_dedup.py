@@ -48,7 +48,7 @@ def exact_dedup(
     """
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
-    at = addressed(docs, workspace)
+    at = addressed(docs.select(docs[id_col], docs[text_col]), workspace)
     rows = at.select(at[id_col], FILE, ROW, normalised(at[text_col]).alias("_norm")).select(
         id_col,
         FILE,

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .names import shielded
 from .wordhash import mix, release_memory, slices
 
 UNKNOWN = "und"
@@ -319,14 +320,14 @@ def predict(
             *(docs[c] for c in keep), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
         )
     shared = spark.sparkContext.broadcast(model)
-    source = docs.select(
-        *(docs[c] for c in keep), docs[text_col].alias("_text"), has_letter(docs[text_col]).alias("_letter")
-    )
-    passed = [*keep, "_letter"]
+    rows, names = shielded(docs)
+    text, kept = rows[names[text_col]], [names[c] for c in keep]
+    source = rows.select(*kept, text.alias("_text"), has_letter(text).alias("_letter"))
+    passed = [*kept, "_letter"]
     schema = source.select(*passed, F.lit("").alias("_lang"), F.lit(0.0).alias("_score")).schema
     out = source.mapInArrow(_predict(shared, passed), schema)
     return out.select(
-        *keep,
+        *(F.col(new).alias(c) for c, new in zip(keep, kept)),
         F.when(F.col("_letter"), F.col("_lang")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(F.col("_letter"), F.col("_score")).otherwise(0.0).alias("score"),
     )

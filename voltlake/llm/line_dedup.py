@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..workspace import Workspace
 from .addresses import FILE, ROW, addressed
+from .names import shielded
 from .skew import left_lookup
 
 WINDOW = 3
@@ -32,8 +33,10 @@ def dedup_lines(
     """
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
-    at = addressed(docs, workspace)
-    lines = F.split(at[text_col], "\n")
+    rows, names = shielded(docs)
+    at = addressed(rows, workspace)
+    text = names[text_col]
+    lines = F.split(at[text], "\n")
 
     def hashed(start: int) -> Column:
         return F.transform(lines, lambda line: F.xxhash64(F.lit(start), line))
@@ -43,7 +46,7 @@ def dedup_lines(
         return F.xxhash64(*parts)
 
     long_enough = at.filter(F.size(lines) >= width).select(
-        F.col(id_col).alias("_id"),
+        F.col(names[id_col]).alias("_id"),
         FILE,
         ROW,
         hashed(1).alias("_one"),
@@ -80,7 +83,7 @@ def dedup_lines(
     merged = F.array_distinct(
         F.flatten(F.transform("_starts", lambda p: F.sequence(p, p + (width - 1))))
     )
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     cleaned = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
@@ -89,9 +92,9 @@ def dedup_lines(
         .withColumn("_gone", merged)
         .select(
             *(
-                F.when(F.col("_gone").isNull(), at[c]).otherwise(cleaned).alias(c)
+                F.when(F.col("_gone").isNull(), at[text]).otherwise(cleaned).alias(c)
                 if c == text_col
-                else at[c]
+                else at[names[c]].alias(c)
                 for c in others
             ),
             n_lines.alias("n_lines"),

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import Workspace
-from .addresses import FILE, ROW, addressed
+from .addresses import FILE, ROW, addressed, stored_rows
 from .components import connected_components
 from .skew import left_lookup
 from .wordhash import NOT_SPACE, mix, release_memory, runs_of, short_run, slices, words_of
@@ -636,6 +636,8 @@ def join_ngrams(
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
     id_type = docs.schema[id_col].dataType.simpleString()
+    # One stored frame for all passes: another evaluation could give other rows.
+    docs = stored_rows(docs.select(docs[id_col], docs[text_col]), workspace)
     at = addressed(docs, workspace)
     summaries = workspace.save(
         at.select(at[id_col].alias("id"), FILE, ROW, at[text_col].alias("text")).mapInArrow(

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..workspace import Workspace
+from .names import shielded
 
 ALLOW, BLOCK = "allow", "block"
 PREFIX_HEX = 8
@@ -75,13 +76,14 @@ def judge_urls(
     ready = workspace.save(prepare_rules(rules), "rules")
     shapes = [tuple(r) for r in ready.select("labels", "path_length").distinct().collect()]
 
-    kept = [pages[c] for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    parsed = pages.select(
-        *kept, host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path")
-    )
+    rows, names = shielded(pages)
+    kept = {new: c for c, new in names.items() if c not in ("host", "path", "rule", "verdict")}
+    own = [F.col(new).alias(c) for new, c in kept.items()]
+    url = rows[names[url_col]]
+    parsed = rows.select(*kept, host_of(url).alias("host"), path_of(url).alias("path"))
     if not shapes:
         return parsed.select(
-            "*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")
+            *own, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")
         )
 
     labels = F.split("host", r"\.")
@@ -108,7 +110,7 @@ def judge_urls(
     decided = confirmed.groupBy("host", "path").agg(best.alias("best"))
     # A third of the pages may have one host and path: adaptive execution splits that join.
     return parsed.join(decided, ["host", "path"], "left").select(
-        *[c for c in parsed.columns if c not in ("host", "path")],
+        *own,
         "host",
         "path",
         F.col("best.rule").alias("rule"),
