@@ -38,9 +38,15 @@ def components_of(spark, docs):
     return {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in join_ngrams(docs).collect()}
 
 
-@pytest.mark.parametrize("tile_rows", [ngram_join.ROWS_PER_TILE, 5])
-def test_equals_all_pairs(spark, folder, monkeypatch, tile_rows):
+@pytest.mark.parametrize(
+    ("tile_rows", "tile_classes", "pivot_from"),
+    [(ngram_join.ROWS_PER_TILE, ngram_join.TILE_CLASSES, ngram_join.PIVOT_FROM), (5, 3, 3), (10**6, 2, 10**6)],
+)
+def test_equals_all_pairs(spark, folder, monkeypatch, tile_rows, tile_classes, pivot_from):
     monkeypatch.setattr(ngram_join, "ROWS_PER_TILE", tile_rows)
+    monkeypatch.setattr(ngram_join, "TILE_CLASSES", tile_classes)
+    monkeypatch.setattr(ngram_join, "PIVOT_FROM", pivot_from)
+    monkeypatch.setattr(ngram_join, "HOT_SHARE", 50)
     monkeypatch.setattr(ngram_join, "TOKENS_PER_BUCKET", 2000)
     monkeypatch.setattr(ngram_join, "TOKENS_PER_FLUSH", 500)
     texts = corpus()
@@ -87,3 +93,30 @@ def test_shingles_do_not_depend_on_blocks(monkeypatch):
     assert [len(s) for s in whole] == [len(shingles(t)) for t in texts]
     found = words_of(pa.array(["y" * 200, "y" * 201, "y" * 200]), NOT_SPACE).hashes
     assert found[0] == found[2] != found[1]
+
+
+def test_a_template_below_the_limit_costs_no_pairs(spark, folder, monkeypatch):
+    """Texts that share 72 % of their shingles share none early enough, so nearly no pair is verified."""
+    template = [f"t{i}" for i in range(200)]
+    texts = [" ".join(template + [f"own{d}x{i}" for i in range(38)]) for d in range(400)]
+    docs = stored(spark, documents(spark, list(enumerate(texts))).repartition(3), folder("docs"))
+    verified = []
+    links = ngram_join._Verifier.links
+
+    def counted(self, pairs):
+        verified.append(pairs.count())
+        return links(self, pairs)
+
+    monkeypatch.setattr(ngram_join._Verifier, "links", counted)
+    got = join_ngrams(docs).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and len(got) == 400
+    assert sum(verified) < 400
+
+
+def test_a_frame_of_another_draw_each_time_keeps_its_links(spark):
+    """The rows are stored once, so classes, tokens and sets are those of one evaluation."""
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.range(40).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit(words + " "), F.rand().cast("string")).alias("text")
+    )
+    assert {r["component_id"] for r in join_ngrams(docs).collect()} == {0}

@@ -27,6 +27,10 @@ _KNOWN_CLASSES = 500_000
 # Tokens of so many classes get pivots before their pairs are compared.
 PIVOT_FROM, PIVOT_ROUNDS = 16, 3
 _TILE_WORDS = 1 << 17
+# Pairs are compared in tiles of about so many classes a side.
+TILE_CLASSES = 4096
+# A token with more than this share of all rows is looked up by broadcast: at most 1000 tokens.
+HOT_SHARE = 1000
 
 
 def shingle_sets(column: pa.Array, width: int = WIDTH):
@@ -56,9 +60,9 @@ def probe_length(n, percent: int):
     return n + (-percent * n // 100) + 1
 
 
-def index_length(n, percent: int):
-    """Tokens of which one must be in the probe tokens of any similar set that is not smaller."""
-    return n - _least_overlap(n, n, percent) + 1
+def _room(n, place, m, other, percent: int):
+    """Whether a first shared token at these places leaves room for the overlap that two sets need."""
+    return np.minimum(n - place, m - other) >= _least_overlap(n, m, percent)
 
 
 def _band(n: str):
@@ -181,6 +185,7 @@ def _prefix_tokens(width: int, percent: int, sketch, n_buckets: int):
     Rarity is the count of the token's hash slot: the same order for all documents,
     which is all that a prefix filter needs to be exact. A very frequent token's
     documents are split into pieces, and every two pieces meet in a tile of their own.
+    Each token keeps its place in that order.
     """
 
     def run(batches):
@@ -188,27 +193,27 @@ def _prefix_tokens(width: int, percent: int, sketch, n_buckets: int):
         background = float(counts.mean())
         tile_count = _tiles(counts, background)
         seen: set[int] = set()
-        tokens, owners, sizes, index, held = [], [], [], [], 0
+        tokens, owners, sizes, places, held = [], [], [], [], 0
 
         def flush():
             t, o = np.concatenate(tokens), np.concatenate(owners)
-            n, i = np.concatenate(sizes), np.concatenate(index)
+            n, p = np.concatenate(sizes), np.concatenate(places)
             bucket = ((t >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
-            bucket, t, o, n, i = bucket[order], t[order], o[order], n[order], i[order]
+            bucket, t, o, n, p = bucket[order], t[order], o[order], n[order], p[order]
             edges = np.flatnonzero(np.diff(bucket)) + 1
             ranges = list(zip([0, *edges], [*edges, len(bucket)]))
-            for x in (tokens, owners, sizes, index):
+            for x in (tokens, owners, sizes, places):
                 x.clear()
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([bucket[a] for a, _ in ranges], pa.int32()),
                     *(
                         pa.array([x[a:b].tobytes() for a, b in ranges], pa.binary())
-                        for x in (t, o, n, i)
+                        for x in (t, o, n, p)
                     ),
                 ],
-                names=["bucket", "tokens", "owners", "sizes", "index"],
+                names=["bucket", "tokens", "owners", "sizes", "places"],
             )
 
         for batch in (part for whole in batches for part in slices(whole, "text")):
@@ -225,13 +230,13 @@ def _prefix_tokens(width: int, percent: int, sketch, n_buckets: int):
                 slot = (s & np.uint64(len(counts) - 1)).astype(np.int64)
                 first = np.argsort(counts[slot], kind="stable")[: probe_length(n, percent)]
                 t, tiles = s[first], tile_count[slot[first]]
-                i = np.arange(len(t)) < index_length(n, percent)
+                p = np.arange(len(t), dtype=np.int32)
                 if tiles.max() > 1:
-                    t, i = _spread(t, i, tiles, owner)
+                    t, p = _spread(t, p, tiles, owner)
                 tokens.append(t)
                 owners.append(np.full(len(t), owner, np.int64))
                 sizes.append(np.full(len(t), n, np.int64))
-                index.append(i.astype(np.uint8))
+                places.append(p)
                 held += len(t)
                 if held > TOKENS_PER_FLUSH:
                     yield flush()
@@ -243,16 +248,16 @@ def _prefix_tokens(width: int, percent: int, sketch, n_buckets: int):
     return run
 
 
-def _spread(tokens: np.ndarray, index: np.ndarray, tiles: np.ndarray, owner: int):
+def _spread(tokens: np.ndarray, places: np.ndarray, tiles: np.ndarray, owner: int):
     """Sends a document's copy of a frequent token to each tile that its piece takes part in."""
-    out, flags = [tokens[tiles == 1]], [index[tiles == 1]]
-    for t, i, n in zip(tokens[tiles > 1], index[tiles > 1], tiles[tiles > 1]):
+    out, at = [tokens[tiles == 1]], [places[tiles == 1]]
+    for t, p, n in zip(tokens[tiles > 1], places[tiles > 1], tiles[tiles > 1]):
         piece = owner % int(n)
         other = np.arange(n)
         tile = np.minimum(piece, other) * n + np.maximum(piece, other) + 1
         out.append(mix(np.full(n, t) + mix(tile.astype(np.uint64))))
-        flags.append(np.full(n, i))
-    return np.concatenate(out), np.concatenate(flags)
+        at.append(np.full(n, p, np.int32))
+    return np.concatenate(out), np.concatenate(at)
 
 
 def _unpack(table: pa.Table, name: str, kind) -> np.ndarray:
@@ -260,28 +265,28 @@ def _unpack(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-_MEMBERS = "token long, cls long, n long, index boolean, size long"
+_MEMBERS = "token long, cls long, n long, place int, size long"
 
 
 def _shared_tokens(table: pa.Table) -> pa.Table:
     """The tokens of a bucket that several classes have, with the number of these classes."""
     token, cls = _unpack(table, "tokens", np.uint64), _unpack(table, "owners", np.int64)
-    n, index = _unpack(table, "sizes", np.int64), _unpack(table, "index", np.uint8)
-    order = np.lexsort((cls, n, token))
-    token, cls, n, index = token[order], cls[order], n[order], index[order]
+    n, place = _unpack(table, "sizes", np.int64), _unpack(table, "places", np.int32)
+    order = np.lexsort((place, cls, token))
+    token, cls, n, place = token[order], cls[order], n[order], place[order]
     again = np.zeros(len(token), bool)
     again[1:] = (token[1:] == token[:-1]) & (cls[1:] == cls[:-1])
-    token, cls, n, index = token[~again], cls[~again], n[~again], index[~again]
+    token, cls, n, place = token[~again], cls[~again], n[~again], place[~again]
     begin = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, int)
     length = np.diff(np.append(begin, len(token)))
     shared = np.repeat(length > 1, length)
-    token, cls, n, index = token[shared], cls[shared], n[shared], index[shared]
+    token, cls, n, place = token[shared], cls[shared], n[shared], place[shared]
     return pa.table(
         {
             "token": pa.array(token.view(np.int64)),
             "cls": pa.array(cls),
             "n": pa.array(n),
-            "index": pa.array(index.astype(bool)),
+            "place": pa.array(place),
             "size": pa.array(np.repeat(length[length > 1], length[length > 1])),
         }
     )
@@ -445,29 +450,37 @@ class _Verifier:
 
 
 def _cross_pairs(percent: int, with_bits: bool):
-    """All pairs that share a token, fit by size and are not in one component yet.
+    """The pairs of a tile that may be similar and are not in one component yet.
 
-    With bits, only those of them whose bit counts allow the overlap that they need.
+    Two similar sets meet in the tile of the first token that they share, where what
+    follows it must still hold the overlap they need; elsewhere they may be passed over.
+    With bits, the bit counts must allow that overlap too.
     """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        token, cls, n = (table[c].to_numpy() for c in ("token", "cls", "n"))
-        index, comp = table["index"].to_numpy(), table["comp"].to_numpy()
-        order = np.lexsort((n, token))
-        token, cls, n, index, comp = (x[order] for x in (token, cls, n, index, comp))
+        names = ("token", "tile", "n", "cls", "place", "comp", "side")
+        token, tile, n, cls, place, comp, side = (table[c].to_numpy() for c in names)
+        order = np.lexsort((n, tile, token))
+        token, tile, n, cls, place, comp, side = (
+            x[order] for x in (token, tile, n, cls, place, comp, side)
+        )
         bits = None
         if with_bits:
             column = table["bits"].chunk(0) if table.num_rows else pa.array([], pa.binary())
             bits = [np.frombuffer(column[int(i)].as_buffer(), np.uint64) for i in order]
-        ends = np.append(np.flatnonzero(np.diff(token)) + 1, len(token))
+        ends = np.append(np.flatnonzero((np.diff(token) != 0) | (np.diff(tile) != 0)) + 1, len(token))
+        # Of two sets the smaller has its place among its first ones, or there is no room.
+        early = _room(n, place, n, place, percent)
         found, held = [np.zeros((0, 2), np.int64)], 0
         begin = 0
         for end in ends:
-            for i in range(begin, end - 1):
-                # Members are in size order: i is the smaller side.
+            for i in begin + np.flatnonzero(early[begin:end]):
+                # Members are in size order: i is the smaller side, or as large.
                 stop = np.searchsorted(n[i + 1 : end], n[i] * 100 // percent, "right") + i + 1
-                fits = (comp[i + 1 : stop] != comp[i]) & (index[i] | (n[i + 1 : stop] == n[i]))
+                others = slice(i + 1, stop)
+                fits = (comp[others] != comp[i]) & _meet(side[i], side[others])
+                fits &= _room(n[i], place[i], n[others], place[others], percent)
                 others = np.flatnonzero(fits) + i + 1
                 if bits is not None and len(others):
                     others = others[_may_overlap(bits, n, i, others, percent)]
@@ -484,6 +497,45 @@ def _cross_pairs(percent: int, with_bits: bool):
     return run
 
 
+# Sides of a tile: all members meet, or those of one side meet the other's.
+_ALL, _LOW, _HIGH = 0, 1, 2
+
+
+def _meet(side, others):
+    """Whether members of these sides are compared in a tile: those of the upper side never with each other."""
+    return (side != others) | (side == _ALL)
+
+
+def _tiled(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``tile`` and ``side``: the tiles in which a class meets others with its token.
+
+    A token of at most ``TILE_CLASSES`` classes is one tile. The classes of any other are told
+    apart by size band and, by a hash, into pieces. Sizes of similar sets lie in the same
+    or in neighbouring bands, so piece ``p`` of a band meets each piece ``q`` of the
+    same band and of the next one in a tile of their own.
+    """
+    few = F.col("size") <= TILE_CLASSES
+    pieces = F.ceil(F.col("size") / TILE_CLASSES)
+    piece, band = F.pmod(F.xxhash64("cls"), pieces), _band("n")
+
+    def tile(lower, p, q, side):
+        return F.struct(F.xxhash64(lower, p, q).alias("tile"), F.lit(side).alias("side"))
+
+    every = F.sequence(F.lit(0).cast("long"), pieces - 1)
+    own = F.transform(
+        every,
+        lambda k: F.when(k == piece, tile(band, k, k, _ALL))
+        .when(k < piece, tile(band, k, piece, _HIGH))
+        .otherwise(tile(band, piece, k, _LOW)),
+    )
+    # Members of the next band are on the upper side; of two pieces of one band both ways are needed.
+    across = F.transform(every, lambda k: tile(F.concat_ws("-", band, band + 1), piece, k, _LOW))
+    below = F.transform(every, lambda k: tile(F.concat_ws("-", band - 1, band), k, piece, _HIGH))
+    one = F.array(F.struct(F.lit(0).cast("long").alias("tile"), F.lit(_ALL).alias("side")))
+    places = F.when(few, one).otherwise(F.concat(own, across, below))
+    return rows.select("*", F.inline(places))
+
+
 def _may_overlap(bits, n: np.ndarray, i: int, others: np.ndarray, percent: int) -> np.ndarray:
     """Which of ``others`` can overlap enough with ``i`` by the bit counts; a tile of rows at a time."""
     possible = np.zeros(len(others), bool)
@@ -505,19 +557,33 @@ def _may_overlap(bits, n: np.ndarray, i: int, others: np.ndarray, percent: int)
     return possible
 
 
-def _open_rows(members: DataFrame, labels: DataFrame | None, workspace: Workspace) -> DataFrame:
+def _look_up(rows: DataFrame, table: DataFrame, keys: list[str], how: str, n_rows: int) -> DataFrame:
+    """``rows`` joined with ``table`` on ``keys``, a token among them.
+
+    ``size`` of both tells how many classes have the token. One with many rows is looked up by
+    broadcast: fewer than ``HOT_SHARE`` tokens can have more than that part of all ``n_rows``.
+    """
+    hot = F.col("size") > n_rows / HOT_SHARE
+    keys = [*keys, "size"]
+    many = rows.filter(hot).join(F.broadcast(table.filter(hot)), keys, how)
+    return many.unionByName(rows.filter(~hot).join(table.filter(~hot), keys, how))
+
+
+def _open_rows(
+    members: DataFrame, labels: DataFrame | None, n_rows: int, workspace: Workspace
+) -> DataFrame:
     """``members`` with their components, but only the tokens that several components share."""
     if labels is None:
         return members.withColumn("comp", F.col("cls"))
     known = labels.withColumnRenamed("node", "cls")
     tagged = members.join(known, "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     tagged = workspace.save(tagged.drop("component"), "tagged")
-    several = tagged.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    several = several.filter("low <> high").select("token")
-    return tagged.join(several, "token", "left_semi")
+    several = tagged.groupBy("token", "size").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    several = several.filter("low <> high").select("token", "size")
+    return _look_up(tagged, several, ["token"], "left_semi", n_rows)
 
 
-def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
+def _pivot_pairs(rows: DataFrame, round_: int, percent: int, n_rows: int) -> DataFrame:
     """Each member with the pivot of its token and size band and with that of the band above.
 
     The first pivot is the member that shares most tokens: a text that the others
@@ -526,12 +592,15 @@ def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
     """
     score = F.col("shared") if round_ == 0 else F.xxhash64(F.lit(round_), "cls")
     banded = rows.withColumn("band", _band("n"))
-    best = F.max(F.struct(score.alias("score"), "cls", "n", "comp")).alias("pivot")
-    pivots = banded.groupBy("token", "band").agg(best)
-    reached = pivots.select("token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), "pivot")
+    best = F.max(F.struct(score.alias("score"), "cls", "n", "place", "comp")).alias("pivot")
+    pivots = banded.groupBy("token", "size", "band").agg(best)
+    bands = F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band")
+    reached = pivots.select("token", "size", bands, "pivot")
     fits = F.least("n", "pivot.n") * 100 >= F.greatest("n", "pivot.n") * percent
+    room = F.least(F.col("n") - F.col("place"), F.col("pivot.n") - F.col("pivot.place"))
+    fits &= room * (100 + percent) >= (F.col("n") + F.col("pivot.n")) * percent
     return (
-        banded.join(reached, ["token", "band"])
+        _look_up(banded, reached, ["token", "band"], "inner", n_rows)
         .filter(fits & (F.col("comp") != F.col("pivot.comp")))
         .select(F.least("cls", "pivot.cls").alias("x"), F.greatest("cls", "pivot.cls").alias("y"))
         .distinct()
@@ -556,13 +625,14 @@ def similar_classes(
 
     packed = docs.select(F.col(text_col).alias("text")).mapInArrow(
         _prefix_tokens(width, percent, sketch, n_buckets),
-        "bucket int, tokens binary, owners binary, sizes binary, index binary",
+        "bucket int, tokens binary, owners binary, sizes binary, places binary",
     )
     members = workspace.save(
         packed.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(_shared_tokens, _MEMBERS),
         "members",
     )
 
+    n_rows = members.count()
     verifier = _Verifier(docs, text_col, id_col, classes, summaries, width, percent, workspace)
 
     # Tokens of many classes: each member against a pivot, which joins all that link to it.
@@ -572,7 +642,7 @@ def similar_classes(
     )
     links, tried, known = None, None, None
     for round_ in range(PIVOT_ROUNDS):
-        pairs = _pivot_pairs(_open_rows(large, known, workspace), round_, percent)
+        pairs = _pivot_pairs(_open_rows(large, known, n_rows, workspace), round_, percent, n_rows)
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = workspace.save(pairs, "pivot-pairs")
@@ -585,9 +655,9 @@ def similar_classes(
         links = found if links is None else links.unionByName(found)
         known = connected_components(links, "x", "y", workspace)
 
-    # Then all pairs that are left, those not connected by now.
-    rest = _open_rows(members, known, workspace)
-    bucket = F.pmod(F.xxhash64("token"), F.lit(n_buckets * 4)).alias("bucket")
+    # Then all pairs that are left, those not connected by now, tile by tile.
+    rest = _tiled(_open_rows(members, known, n_rows, workspace))
+    bucket = F.pmod(F.xxhash64("token", "tile"), F.lit(n_buckets * 4)).alias("bucket")
     small_pairs = (
         rest.filter(F.col("size") < PIVOT_FROM)
         .groupBy(bucket)
