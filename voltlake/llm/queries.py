@@ -253,6 +253,30 @@ ORACLES: dict[str, str] = {
             from normal)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256
         from grouped""",
+    "op10_ngram_join": rf"""
+        with recursive words as (
+            select doc_id, list_filter(
+                string_split_regex(translate(text, {_ASCII_LOWER}), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+            from documents),
+        shingles as materialized (
+            select distinct doc_id, unnest(case
+                when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                when len(w) > 0 then [array_to_string(w, ' ')] end) as s
+            from words),
+        sizes as materialized (select doc_id, count(*) as n from shingles group by doc_id),
+        links as materialized (
+            select a.doc_id as u, b.doc_id as v
+            from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+                join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+            group by a.doc_id, b.doc_id, x.n, y.n
+            having 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reach(u, v) as (
+            select doc_id, doc_id from documents
+            union
+            select r.u, l.v from reach r join links l on l.u = r.v),
+        lowest as (select u as doc_id, min(v) as component_id from reach group by u)
+        select doc_id, coalesce(n, 0) as n_shingles, component_id
+        from documents left join sizes using (doc_id) join lowest using (doc_id)""",
     "op11_spelling_variants": rf"""
         with recursive {_CRC_TABLE},
         run as (
