@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -104,3 +105,34 @@ def test_every_value_of_a_credential_is_a_candidate(spark):
     assert [r["label"] for r in got[2]] == [1, 0] and got[0][0]["label"] == got[3][0]["label"] == 1
     assert (got[3][0]["word"], got[3][0]["right"]) == (0, '","n":1}')
     assert with_features(found.filter("id <> 11 and id <> 12"), ["the"]).count() == 11
+
+
+def test_long_texts_of_credential_words_take_linear_time(spark):
+    texts = ["token" * 200_000, "a1" + "secret_" * 100_000 + "=0123456789abcdef", "auth" * 50_000 + "9" * 20]
+    docs = documents(spark, list(enumerate(texts)))
+    begin = time.monotonic()
+    got = sorted((r["id"], r["candidate"]) for r in find_candidates(docs, path_col=None).collect())
+    assert time.monotonic() - begin < 60
+    assert got == [
+        (1, "0123456789abcdef"),
+        (1, "a1" + "secret_" * 99_999),
+        (2, "auth" * 50_000 + "9" * 20),
+    ]
+
+
+def test_key_of_several_credential_words(spark):
+    texts = ["my_auth_token = abc", "secret-password-1: x y", "PRIVATE_API_KEY='k'", "authtoken99 none"]
+    docs = documents(spark, list(enumerate(texts)))
+    got = {r["id"]: (r["candidate"], r["before2"]) for r in find_candidates(docs, path_col=None).collect()}
+    assert got == {0: ("abc", "my_auth_token"), 1: ("x", ""), 2: ("k", "")}
+
+
+def test_ties_repeats_and_clashing_columns(spark):
+    names = ["id", "word", "nth", "candidate", "features", "label", "probability", "_words", "_found"]
+    rows = [(1, 'token = "0123456789abcdef"')] * 3 + [(None, 'token = "0123456789abcdef"')]
+    docs = documents(spark, rows)
+    for name in names:
+        docs = docs.withColumn(name, F.lit("x"))
+    got = scan_secrets(docs, docs.select("doc_id").limit(1)).collect()
+    assert [r["candidate"] for r in got] == ["0123456789abcdef"] * 4
+    assert {r["probability"] for r in got} == {1.0}

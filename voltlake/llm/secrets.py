@@ -16,8 +16,11 @@ _BLANKS = r"[\x20\x09-\x0D]+"
 # The value of a credential is a candidate, whatever its length and characters. Its key is a
 # credential word with letters behind it, brackets or quotes that close, and = or :, maybe with
 # a type or a scheme between them and the value.
+# Of several credential words in one run of letters the last begins the key, so that each letter
+# is read once, however often a text repeats such a word.
+_WORD = rf"(?=[a-cpstA-CPST])(?i:{CREDENTIAL_WORDS})"
 _KEY = (
-    rf"(?=[a-cpstA-CPST])(?i:{CREDENTIAL_WORDS})[A-Za-z_\-]*+[0-9]{{0,4}}+[\"'`\])\\]{{0,4}}+[\x20\x09]*+"
+    rf"{_WORD}(?:(?!{_WORD})[A-Za-z_\-])*+[0-9]{{0,4}}+[\"'`\])\\]{{0,4}}+[\x20\x09]*+"
     r"(?::[\x20\x09]*+[A-Za-z_][A-Za-z_.\[\]?]*+[\x20\x09]*+=(?!=)|[=:]{1,3}+>?)"
     rf"(?:{_BLANKS}(?=[\"'`])|[\x20\x09]*+)(?:(?i:bearer|basic)[\x20\x09]++)?\\?[\"'`]?"
     r"(?:(?<=[\"'`])(?i:bearer|basic)[\x20\x09]++)?"
