@@ -1,9 +1,11 @@
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm.helpers import documents, stored
-from voltlake.llm.sharding import shard_documents
+from voltlake.llm.sharding import RunningSizes, cut_greedily, shard_documents
+from voltlake.workspace import Workspace
 
 
 def greedy(sizes, capacity):
@@ -59,3 +61,28 @@ def test_few_and_no_rows(spark):
     assert shard_documents(documents(spark, []), 40).collect() == []
     got = shard_documents(documents(spark, [(1, "a"), (1, "a"), (None, None)]), 40).collect()
     assert sorted((r["doc_id"] or 0, r["slot"]) for r in got) == [(0, 0), (1, 0), (1, 1)]
+
+
+def test_clashing_columns_and_a_very_long_text(spark, folder):
+    rows = [(i, f"text {i % 7}") for i in range(30)] + [(50, "long " * 200_000), (51, "")]
+    docs = documents(spark, rows)
+    for name in ("size", "text_crc32", "shard", "slot", "block", "key", "upto", "n", "_group", "_cell", "_start"):
+        docs = docs.withColumn(name, F.lit("caller"))
+    docs = stored(spark, docs, folder("docs"))
+    check(rows, shard_documents(docs, 3, groups_per_block=2, rows_per_cell=4).collect(), 3)
+
+
+def test_only_the_keys_of_the_cuts_are_fetched(spark, folder):
+    workspace = Workspace(spark)
+    groups = spark.range(2000).select(
+        (F.col("id") % 4).cast("int").alias("block"),
+        F.concat((F.col("id") % 4).cast("string"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("key"),
+        F.lit(3).cast("long").alias("size"),
+    )
+    sizes = RunningSizes(groups, 4, workspace)
+    assert sizes.total == 6000 and [sizes.reach(x) for x in (0, 2, 3, 1499, 1500, 9000)] == [0, 0, 3, 1497, 1500, 6000]
+    cuts = cut_greedily(sizes, 1503, 4)
+    assert cuts == [1503, 3006, 4509]
+    assert sizes.keys_at(cuts) == ["100001", "200006", "300011"]
+    assert sizes.keys_at([]) == []
+    assert all(held.dtype == "int64" for held in sizes._cache.values())

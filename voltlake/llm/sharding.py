@@ -1,6 +1,5 @@
 """Contiguous shards with the smallest possible largest shard."""
 
-import bisect
 import math
 from collections import OrderedDict
 
@@ -12,71 +11,71 @@ from ..workspace import Workspace
 ROW_BYTES = 16
 GROUPS_PER_BLOCK = 50_000
 ROWS_PER_CELL = 200_000
-_CACHED_BLOCKS = 256
+_CACHED_BLOCKS = 128
 
 
 class RunningSizes:
     """Running totals of the ordered group sizes, stored in blocks.
 
-    The driver holds one total per block and the few blocks that the search asks
-    for; it never holds all groups.
+    The driver holds one total per block and the running totals, eight bytes a group, of at
+    most 128 blocks that the search asks for. Keys stay in Spark: ``keys_at`` fetches those of the cuts.
     """
 
     def __init__(self, groups: DataFrame, n_blocks: int, workspace: Workspace):
         """``groups``: ``block`` int, ``key`` (ordered, also across blocks), ``size`` long."""
         window = Window.partitionBy("block").orderBy("key")
         running = groups.select("block", "key", F.sum("size").over(window).alias("upto"))
-        self.table = workspace.save(
-            running.groupBy("block")
-            .agg(F.sort_array(F.collect_list(F.struct("upto", "key"))).alias("rows"))
-            .select("block", F.col("rows.upto").alias("upto"), F.col("rows.key").alias("keys")),
-            "running",
-        )
-        totals = self.table.select("block", F.element_at("upto", -1).alias("size")).collect()
+        self.table = workspace.save(running, "running")
+        totals = self.table.groupBy("block").agg(F.max("upto").alias("size")).collect()
         per_block = np.zeros(n_blocks, np.int64)
         for row in totals:
             per_block[row["block"]] = row["size"]
         self.ends = np.cumsum(per_block)
         self.total = int(self.ends[-1]) if n_blocks else 0
-        self._cache: OrderedDict[int, tuple[np.ndarray, list]] = OrderedDict()
+        self._cache: OrderedDict[int, np.ndarray] = OrderedDict()
+
+    def _start(self, block: int) -> int:
+        return int(self.ends[block - 1]) if block else 0
 
-    def _block(self, number: int) -> tuple[np.ndarray, list]:
+    def _block(self, number: int) -> np.ndarray:
         if number in self._cache:
             self._cache.move_to_end(number)
             return self._cache[number]
-        row = self.table.filter(F.col("block") == number).first()
-        start = int(self.ends[number - 1]) if number else 0
-        self._cache[number] = np.array(row["upto"], np.int64) + start, row["keys"]
+        totals = self.table.filter(F.col("block") == number).select("upto").toArrow()
+        upto = np.sort(totals["upto"].to_numpy().astype(np.int64)) + self._start(number)
+        self._cache[number] = upto
         if len(self._cache) > _CACHED_BLOCKS:
             self._cache.popitem(last=False)
-        return self._cache[number]
+        return upto
 
-    def reach(self, limit: int) -> tuple[int, object]:
-        """The largest running total <= ``limit`` and the key of its group (0 and None if none)."""
+    def reach(self, limit: int) -> int:
+        """The largest running total <= ``limit``, 0 if there is none."""
         if limit >= self.total:
-            block = int(np.searchsorted(self.ends, self.total))
-            return self.total, self._block(block)[1][-1] if self.total else None
+            return self.total
         block = int(np.searchsorted(self.ends, limit, side="right"))
-        upto, keys = self._block(block)
-        i = bisect.bisect_right(upto, limit) - 1
-        if i >= 0:
-            return int(upto[i]), keys[i]
-        if block == 0:
-            return 0, None
-        end = int(self.ends[block - 1])
-        return end, self._block(int(np.searchsorted(self.ends, end)))[1][-1] if end else None
-
-
-def cut_greedily(sizes: RunningSizes, capacity: int, shards: int) -> list | None:
-    """Last key of each shard but the last, or None if more than ``shards`` are needed."""
+        upto = self._block(block)
+        i = int(np.searchsorted(upto, limit, side="right")) - 1
+        return int(upto[i]) if i >= 0 else self._start(block)
+
+    def keys_at(self, totals: list[int]) -> list:
+        """The keys of the groups that end at the running totals, in their order, by one job."""
+        wanted = F.lit(False)
+        for total in totals:
+            block = int(np.searchsorted(self.ends, total))
+            wanted |= (F.col("block") == block) & (F.col("upto") == total - self._start(block))
+        return [r["key"] for r in self.table.filter(wanted).select("key").orderBy("key").collect()]
+
+
+def cut_greedily(sizes: RunningSizes, capacity: int, shards: int) -> list[int] | None:
+    """Running total at the end of each shard but the last, or None if more than ``shards`` are needed."""
     cuts, done = [], 0
     for _ in range(shards):
-        upto, key = sizes.reach(done + capacity)
+        upto = sizes.reach(done + capacity)
         if upto >= sizes.total:
             return cuts
         if upto == done:
             return None
-        cuts.append(key)
+        cuts.append(upto)
         done = upto
     return None
 
@@ -149,7 +148,7 @@ def shard_documents(
     ordered = groups.select(block, F.col("_group").alias("key"), "size")
     sizes = RunningSizes(ordered, 16**digits, workspace)
     capacity = smallest_capacity(sizes, facts["largest"], shards)
-    cuts = cut_greedily(sizes, capacity, shards)
+    cuts = sizes.keys_at(cut_greedily(sizes, capacity, shards))
 
     # A shard is a range of digests, so a row finds its shard without a join.
     cells = max(1, math.ceil(facts["n"] / rows_per_cell))
