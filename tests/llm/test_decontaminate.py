@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from llm.helpers import documents, words
-from voltlake.llm.decontaminate import mark_benchmark
+from voltlake.llm.decontaminate import TokenFilter, mark_benchmark
 
 PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -58,3 +59,28 @@ def test_equals_plain_search_in_one_block_and_in_many(spark):
 def test_without_items_or_documents(spark):
     assert results(spark, ["a b", None], []) == [(2, 0, []), (0, 0, [])]
     assert results(spark, [], [(1, "a b")]) == []
+
+
+def test_one_hot_passage_a_long_text_and_clashing_columns(spark):
+    r = random.Random(5)
+    passage = " ".join(f"w{k}" for k in range(14))
+    items = [(k, f"{passage} own{k}") for k in range(40)] + [(90, "zz"), (91, passage.upper())]
+    texts = [f"x{k} {passage}, own{k % 50}" for k in range(80)]
+    texts += [" ".join(r.choice(["zz", "q", "Überall", "w3"]) for _ in range(60_000))]
+    docs = documents(spark, list(enumerate(texts)))
+    inner = ["_in_file", "_at_row", "token", "at", "lead", "words", "run", "n", "start", "end", "item", "_piece"]
+    for name in inner:
+        docs = docs.withColumn(name, F.lit("caller"))
+    table = spark.createDataFrame(items, "item_id long, text string").withColumn("item", F.lit("caller"))
+    rows = sorted(mark_benchmark(docs, table, block_bytes=500).collect(), key=lambda row: row["doc_id"])
+    assert [(x["n_words"], x["n_hit"], x["hit_items"]) for x in rows[:80]] == plain(texts[:80], items)
+    assert rows[80]["n_words"] == 60_000
+    assert rows[80]["n_hit"] == texts[80].split().count("zz") and rows[80]["hit_items"] == ["90"]
+    assert all(x[c] == "caller" for x in rows for c in inner)
+
+
+def test_filter_passes_every_wanted_token(spark):
+    tokens = [k * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for k in range(3000)]
+    wanted = TokenFilter(spark.createDataFrame([(t,) for t in tokens[:1000]], "token long"))
+    passed = wanted.find(np.array(tokens, np.int64).view(np.uint64))
+    assert passed[:1000].tolist() == list(range(1000)) and len(passed) < 1020

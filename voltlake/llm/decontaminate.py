@@ -1,242 +1,222 @@
 """Benchmark passages in documents, found by a prefix-filtered set join."""
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
 from ..workspace import Workspace
-from .wordhash import ALPHANUMERIC, Words, release_memory, runs_of, slices, words_of
+from .addresses import FILE, ROW, addressed, stored_rows
+from .names import shielded
+from .skew import HOT_KEYS, left_lookup, spread_join
+from .wordhash import ALPHANUMERIC, release_memory, runs_of, slices, words_of
 
 WINDOW = 10
 SHINGLE = 5
 BLOCK_BYTES = 4 << 20
 
-_FILTER_BITS = 20
+RESULTS = ("n_words", "n_hit", "hit_spans", "hit_items")
+
+# What holds words apart: ASCII but digits and letters.
+_GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
-RESULTS = {
-    "n_words": T.LongType(),
-    "hit_spans": T.ArrayType(
-        T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    ),
-    "hit_items": T.ArrayType(T.StringType()),
-}
+_BITS_PER_TOKEN = 32
+_LEAST_BITS, _MOST_BITS = 16, 27
+_SHIFTS = (0, 20, 37)
+_ROWS_AT_ONCE = 4096
 
 
-@dataclass
-class Block:
-    """The distinct windows of some items. All items of a block fit one task's memory.
+class TokenFilter:
+    """Says of 64-bit tokens whether they may be among the wanted: three bits of a table of 16 MB at most.
 
-    ``hashes`` holds the words of the windows one after another, from ``begin``;
-    ``items`` the items that have each window.
+    It passes every wanted token. With more than some 50 million of them it passes more and more
+    others as well, which the join behind it drops.
     """
 
-    hashes: np.ndarray
-    begin: np.ndarray
-    length: np.ndarray
-    items: list[list[str]]
-
-    @staticmethod
-    def of(items: list[tuple[str, str]], width: int) -> "Block":
-        words = words_of(pa.array([text for _, text in items], pa.large_string()), ALPHANUMERIC)
-        owners: dict[bytes, set[str]] = {}
-        for (item, _), a, b in zip(items, words.first[:-1], words.first[1:]):
-            span = min(width, b - a)
-            for start in range(a, b - span + 1) if span else ():
-                owners.setdefault(words.hashes[start : start + span].tobytes(), set()).add(item)
-        length = np.array([len(w) // 8 for w in owners], np.int64)
-        hashes = np.frombuffer(b"".join(owners), np.uint64)
-        return Block(hashes, np.cumsum(length) - length, length, [sorted(x) for x in owners.values()])
-
-    def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Token, its width, its window and its place there, for each shingle of each window.
-
-        A window shorter than a shingle is one shingle of its own width.
-        """
-        parts = []
-        for width in np.unique(np.minimum(self.length, size)):
-            windows = np.flatnonzero(np.minimum(self.length, size) == width)
-            count = self.length[windows] - width + 1
-            window = np.repeat(windows, count)
-            place = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
-            token = runs_of(self.hashes, int(width))[self.begin[window] + place]
-            parts.append((token, np.full(len(token), width), window, place))
-        return tuple(np.concatenate(x) for x in zip(*parts))
-
-
-class Lookup:
-    """Finds given 64-bit tokens among many, by a small bit table first."""
-
-    def __init__(self, tokens: np.ndarray):
-        self.tokens = np.unique(tokens)
-        self.table = np.zeros(1 << _FILTER_BITS, bool)
-        self.table[(self.tokens & np.uint64(len(self.table) - 1)).astype(np.int64)] = True
-
-    def find(self, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``among`` that hold a token, and the number of that token."""
-        at = np.flatnonzero(self.table[(among & np.uint64(len(self.table) - 1)).astype(np.int64)])
-        number = np.searchsorted(self.tokens, among[at])
-        same = number < len(self.tokens)
-        same[same] = self.tokens[number[same]] == among[at[same]]
-        return at[same], number[same]
-
-
-def _blocks(items: DataFrame, item_col: str, text_col: str, limit: int) -> Iterator[list]:
-    rows = items.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t"))
-    block, held = [], 0
-    for row in rows.dropna().toLocalIterator():
-        size = len(row["t"].encode())
-        if block and held + size > limit:
-            yield block
-            block, held = [], 0
-        block.append((row["i"], row["t"]))
-        held += size
-    if block:
-        yield block
-
-
-def _count_tokens(lookups):
-    """How often each token of the block occurs in the documents that one task reads."""
+    def __init__(self, tokens: DataFrame):
+        """``tokens``: one column ``token``, each once. The driver gets the table, not the tokens."""
+        n = max(1, tokens.count())
+        self.bits = min(max((n * _BITS_PER_TOKEN - 1).bit_length(), _LEAST_BITS), _MOST_BITS)
+        slots = F.explode(
+            F.array(
+                *(F.shiftrightunsigned("token", s).bitwiseAND(F.lit((1 << self.bits) - 1)) for s in _SHIFTS)
+            )
+        )
+        cells = (
+            tokens.select(slots.alias("slot"))
+            .groupBy(F.shiftright("slot", 6).alias("cell"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("value"))
+        )
+        got = cells.toArrow()
+        table = np.zeros(1 << (self.bits - 6), "<u8")
+        table[got["cell"].to_numpy()] = got["value"].to_numpy().view(np.uint64)
+        self.table = table.view(np.uint8)
+
+    def find(self, among: np.ndarray) -> np.ndarray:
+        """Positions in ``among`` of tokens that may be wanted, ascending."""
+        at = np.arange(len(among))
+        for shift in _SHIFTS:
+            slot = (among[at] >> np.uint64(shift)) & np.uint64((1 << self.bits) - 1)
+            set_ = (self.table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
+            at = at[set_ == 1]
+        return at
+
+
+def _item_windows(window: int, shingle: int):
+    """Every window of every item: its words, their number, and the tokens of its shingles in order."""
 
     def run(batches):
-        by_width = lookups.value
-        counts = {w: np.zeros(len(x.tokens), np.int64) for w, x in by_width.items()}
-        for batch in (part for whole in batches for part in slices(whole, whole.schema.names[0])):
-            words = words_of(batch.column(0), ALPHANUMERIC)
-            for width, lookup in by_width.items():
-                _, number = lookup.find(runs_of(words.hashes, width))
-                counts[width] += np.bincount(number, minlength=len(lookup.tokens))
-        for width, n in counts.items():
-            used = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(used), width), pa.int32()),
-                    pa.array(used, pa.int32()),
-                    pa.array(n[used]),
-                ],
-                names=["width", "number", "n"],
-            )
+        for batch in (part for whole in batches for part in slices(whole, "text")):
+            words = words_of(batch["text"], ALPHANUMERIC)
+            for row, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
+                n = min(window, int(b - a))
+                if not n:
+                    continue
+                width = min(shingle, n)
+                tokens = runs_of(words.hashes[a:b], width).view(np.int64)
+                texts = [words.text(k).decode() for k in range(a, b)]
+                last = len(texts) - n + 1
+                for low in range(0, last, _ROWS_AT_ONCE):
+                    starts = range(low, min(low + _ROWS_AT_ONCE, last))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([batch["item"][row].as_py()] * len(starts), pa.string()),
+                            pa.array([" ".join(texts[s : s + n]) for s in starts], pa.string()),
+                            pa.array([n] * len(starts), pa.int32()),
+                            pa.array([width] * len(starts), pa.int32()),
+                            pa.array([tokens[s : s + n - width + 1] for s in starts], pa.list_(pa.int64())),
+                        ],
+                        names=["item", "run", "n", "width", "tokens"],
+                    )
+        release_memory()
 
     return run
 
 
-def _rarest(block: Block, docs: DataFrame, text_col: str, size: int):
-    """For each window its rarest shingle: the one token that a text with the window must have."""
-    token, width, window, place = block.shingles(size)
-    lookups = {int(w): Lookup(token[width == w]) for w in np.unique(width)}
-    shared = docs.sparkSession.sparkContext.broadcast(lookups)
-    partial = docs.select(text_col).mapInArrow(_count_tokens(shared), "width int, number int, n long")
-    totals = partial.groupBy("width", "number").agg(F.sum("n").alias("n")).collect()
-    counts = {w: np.zeros(len(x.tokens), np.int64) for w, x in lookups.items()}
-    for row in totals:
-        counts[row["width"]][row["number"]] = row["n"]
-    shared.unpersist()
-    seen = np.zeros(len(token), np.int64)
-    for w, lookup in lookups.items():
-        mine = width == w
-        seen[mine] = counts[w][np.searchsorted(lookup.tokens, token[mine])]
-    order = np.lexsort((token, seen, window))
-    first = order[np.unique(window[order], return_index=True)[1]]
-    return token[first], width[first], window[first], place[first]
-
-
-class Finder:
-    """The prefix tokens of a block and how to confirm what they point to."""
-
-    def __init__(self, block: Block, prefix):
-        self.block = block
-        self.by_width = {}
-        token, width, window, place = prefix
-        for w in np.unique(width):
-            mine = width == w
-            lookup = Lookup(token[mine])
-            number = np.searchsorted(lookup.tokens, token[mine])
-            order = np.argsort(number, kind="stable")
-            first = np.searchsorted(number[order], np.arange(len(lookup.tokens) + 1))
-            self.by_width[int(w)] = lookup, first, window[mine][order], place[mine][order]
-
-    def occurrences(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """First word and window of each occurrence."""
-        starts, windows = [], []
-        for width, (lookup, first, window, place) in self.by_width.items():
-            at, number = lookup.find(runs_of(words.hashes, width))
-            # A token may stand for several windows.
-            count = first[number + 1] - first[number]
-            row = np.repeat(first[number], count) + (
-                np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            )
-            at = np.repeat(at, count)
-            start, found = at - place[row], window[row]
-            length = self.block.length[found]
-            text = np.searchsorted(words.first, at, side="right") - 1
-            inside = (start >= words.first[text]) & (start + length <= words.first[text + 1])
-            start, found, length = start[inside], found[inside], length[inside]
-            for n in np.unique(length):
-                s, f = start[length == n], found[length == n]
-                step = np.arange(n)
-                same = (
-                    words.hashes[s[:, None] + step]
-                    == self.block.hashes[self.block.begin[f][:, None] + step]
-                ).all(axis=1)
-                starts.append(s[same])
-                windows.append(f[same])
-        if not starts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(starts), np.concatenate(windows)
-
-
-def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = merged[-1][0], max(b, merged[-1][1])
-        else:
-            merged.append((a, b))
-    return merged
-
-
-def _mark(finder, text_at: int, keep: list[str], schema: pa.Schema):
-    """Adds a block's occurrences to those of the blocks before."""
+def _found(words, width: int, wanted: TokenFilter):
+    """Tokens that may be wanted: their value, first word and text. None runs over the end of a text."""
+    token = runs_of(words.hashes, width)
+    at = wanted.find(token)
+    text = np.searchsorted(words.first, at, side="right") - 1
+    inside = at + width <= words.first[text + 1]
+    return token[at[inside]].view(np.int64), at[inside], text[inside]
+
+
+def _token_counts(shared, widths: list[int], limit: int):
+    """How often each token that may be wanted occurs, per slice of texts."""
+
+    def run(batches):
+        for batch in (part for whole in batches for part in slices(whole, "text", limit)):
+            words = words_of(batch["text"], ALPHANUMERIC)
+            for width in widths:
+                token, n = np.unique(_found(words, width, shared.value)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
+        release_memory()
+
+    return run
+
+
+def _token_places(shared, widths: list[int], window: int, limit: int):
+    """Each place of a token that may be a prefix, with the words that a window through it can hold.
+
+    ``lead`` of these ``words`` stand before the token, whose first word is word ``at`` of the text.
+    """
 
     def run(batches):
-        find = finder.value
-        for batch in (part for whole in batches for part in slices(whole, whole.schema.names[text_at])):
-            words = words_of(batch.column(text_at), ALPHANUMERIC)
-            n = batch.num_rows
-            spans: list = [[] for _ in range(n)]
-            items: list = [[] for _ in range(n)]
-            if "hit_spans" in batch.schema.names:
-                spans = [[(s["start"], s["end"]) for s in x] for x in batch["hit_spans"].to_pylist()]
-                items = batch["hit_items"].to_pylist()
-            if find is not None:
-                start, window = find.occurrences(words)
-                text = np.searchsorted(words.first, start, side="right") - 1
-                order = np.argsort(text, kind="stable")
-                start, window, text = start[order], window[order], text[order]
-                edges = np.flatnonzero(np.diff(text)) + 1
-                for a, b in zip([0, *edges], [*edges, len(text)]) if len(text) else ():
-                    d, offset = text[a], words.first[text[a]]
-                    begin = start[a:b] - offset
-                    end = begin + find.block.length[window[a:b]]
-                    spans[d] = _merge([*spans[d], *zip(begin.tolist(), end.tolist())])
-                    owners = {i for w in set(window[a:b].tolist()) for i in find.block.items[w]}
-                    items[d] = sorted(owners.union(items[d]))
-            columns = [batch[c] for c in keep]
-            columns += [
-                pa.array(np.diff(words.first), pa.int64()),
-                pa.array(
-                    [[{"start": a, "end": b} for a, b in x] for x in spans], schema.field("hit_spans").type
-                ),
-                pa.array(items, schema.field("hit_items").type),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *RESULTS])
+        for batch in (part for whole in batches for part in slices(whole, "text", limit)):
+            words = words_of(batch["text"], ALPHANUMERIC)
+            for width in widths:
+                token, at, text = _found(words, width, shared.value)
+                low = np.maximum(words.first[text], at - (window - width))
+                high = np.minimum(words.first[text + 1], at + window)
+                for begin in range(0, len(at), _ROWS_AT_ONCE):
+                    part = slice(begin, begin + _ROWS_AT_ONCE)
+                    known: dict[int, str] = {}
+                    around = []
+                    for a, b in zip(low[part].tolist(), high[part].tolist()):
+                        for k in range(a, b):
+                            if k not in known:
+                                known[k] = words.text(k).decode()
+                        around.append([known[k] for k in range(a, b)])
+                    rows = pa.array(text[part])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch[FILE].take(rows),
+                            batch[ROW].take(rows),
+                            pa.array(token[part]),
+                            pa.array(at[part] - words.first[text[part]], pa.int64()),
+                            pa.array(at[part] - low[part], pa.int32()),
+                            pa.array(around, pa.list_(pa.string())),
+                        ],
+                        names=[FILE, ROW, "token", "at", "lead", "words"],
+                    )
         release_memory()
 
     return run
 
 
+def _rarest(shingles: DataFrame, counts: DataFrame) -> DataFrame:
+    """Of each window the rarest shingle (``token``, ``place``) with its count ``seen``.
+
+    Every text with the window has that token. Windows with a shingle that no text has are left out.
+    """
+    # A shingle may be in a large share of all windows.
+    tokens = shingles.groupBy("token").agg(F.count(F.lit(1)).alias("weight"))
+    table = tokens.join(counts.withColumnRenamed("n", "seen"), "token", "left")
+    counted = left_lookup(shingles, table, ["token"], "weight", shingles.count())
+    least = F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "token", "place")).alias("least")
+    return counted.groupBy("run", "n").agg(least).select("run", "n", "least.*").filter("seen > 0")
+
+
+def _occurrences(places: DataFrame, prefix: DataFrame) -> DataFrame:
+    """Address, ``start``, ``end`` and ``run`` of each window that a text holds.
+
+    The window's place must fit between the ends of the text; then all its words are compared.
+    """
+    tokens = prefix.groupBy("token").agg(F.max("seen").alias("seen"))
+    total = tokens.agg(F.sum("seen")).first()[0] or 0
+    hot = tokens.filter(F.col("seen") > total / HOT_KEYS).select("token")
+    met = spread_join(places, prefix, "token", hot, F.col(ROW) + F.col("at"))
+    skipped = F.col("lead") - F.col("place")
+    fits = (skipped >= 0) & (F.size("words") - skipped >= F.col("n"))
+    candidates = met.filter(fits).withColumn("first", skipped + 1)
+    same = F.array_join(F.slice("words", F.col("first"), F.col("n")), " ") == F.col("run")
+    start = F.col("at") - F.col("place")
+    return candidates.filter(same).select(
+        FILE, ROW, start.alias("start"), (start + F.col("n")).alias("end"), "run"
+    )
+
+
+def _merged(hits: DataFrame) -> DataFrame:
+    """``hit_spans`` of each text: overlapping and touching occurrences as one range each."""
+    before = Window.partitionBy(FILE, ROW).orderBy("start", "end")
+    reached = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (reached.isNull() | (F.col("start") > reached)).cast("long")
+    numbered = hits.select(FILE, ROW, "start", "end").distinct().withColumn("opens", opens)
+    numbered = numbered.withColumn("span", F.sum("opens").over(before))
+    spans = numbered.groupBy(FILE, ROW, "span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    ordered = F.sort_array(F.collect_list(F.struct("start", "end"))).alias("hit_spans")
+    return spans.groupBy(FILE, ROW).agg(ordered)
+
+
+def _owners(hits: DataFrame, windows: DataFrame, workspace: Workspace) -> DataFrame:
+    """``hit_items`` of each text: the items that have one of its windows."""
+    runs = workspace.save(hits.select(FILE, ROW, "run").distinct(), "runs")
+    texts = runs.groupBy("run").agg(F.count(F.lit(1)).alias("texts"))
+    hot = texts.filter(F.col("texts") > runs.count() / HOT_KEYS).select("run")
+    owned = spread_join(runs, windows.select("run", "item").distinct(), "run", hot, F.col(ROW))
+    return owned.groupBy(FILE, ROW).agg(F.sort_array(F.collect_set("item")).alias("hit_items"))
+
+
+def _n_words(text: Column) -> Column:
+    """Words become one letter each, then all else goes: what is left is counted."""
+    letters = F.regexp_replace(F.regexp_replace(text, f"[^{_GAP}]+", "a"), f"[{_GAP}]+", "")
+    return F.coalesce(F.length(letters), F.lit(0)).cast("long")
+
+
+def _shared_filter(spark: SparkSession, tokens: DataFrame):
+    return spark.sparkContext.broadcast(TokenFilter(tokens))
+
+
 def mark_benchmark(
     docs: DataFrame,
     items: DataFrame,
@@ -247,55 +227,80 @@ def mark_benchmark(
     window: int = WINDOW,
     shingle: int = SHINGLE,
     block_bytes: int = BLOCK_BYTES,
+    addresses: bool = False,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """The columns ``keep`` (default: all) of ``docs`` plus what of the items each text holds.
 
     Adds ``n_words``, ``n_hit``, ``hit_spans`` (merged word ranges, end excluded) and
-    ``hit_items`` (ids as strings, in string order). Words are runs of ASCII letters and
-    digits and of characters beyond ASCII, A-Z lower-cased. Each run of ``window`` item words is
-    a window, and an item of fewer words is one window; an item without words has none.
-    A document word inside any occurrence of a window is hit.
+    ``hit_items`` (ids as strings, in string order); with ``addresses`` also where each row is
+    stored. Words are runs of ASCII letters and digits and of characters beyond ASCII, A-Z
+    lower-cased. Each run of ``window`` item words is a window, and an item of fewer words
+    is one window; an item without words has none. A document word inside any occurrence
+    of a window is hit.
 
     Each window is a set of shingles of ``shingle`` words. As a window must be contained whole,
-    its rarest shingle, by its count in all documents, is a sufficient prefix. Where that
-    token occurs, the window's place and length must fit the text, and then all its
-    words are compared, by 64-bit hashes. Items are worked off in blocks of
-    ``block_bytes`` of text, with one pass over the documents to count and one to search.
+    its rarest shingle, by its count in all documents, is a sufficient prefix. Places of
+    these tokens in the documents are joined with the windows by token; place and length must
+    fit, and then all words are compared as text. Tokens in more than 1/1000 of the places
+    are spread over 32 pieces. Documents are read once to count and once to find places, by
+    tasks that work on about ``block_bytes`` of text at once. What was found is joined to the
+    documents by address, by broadcast where Spark finds it small.
 
     A null text has no words; items with null id or text are passed over; items that
     share an id count once. Rows are judged one by one, repeated or not. Columns of
-    ``docs`` named like a result are replaced.
+    ``docs`` named like a result are replaced, all other names are free.
     """
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
-    keep = [c for c in (keep or docs.columns) if c not in (*RESULTS, "n_hit")]
-    source = docs.select(*(docs[c] for c in dict.fromkeys([*keep, text_col])))
-    schema = T.StructType(
-        [source.schema[c] for c in source.columns] + [T.StructField(k, v) for k, v in RESULTS.items()]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
+    rows, names = shielded(docs)
+    rows = addressed(stored_rows(rows, workspace), workspace)
+    text = F.col(names[text_col])
+    texts = rows.select(FILE, ROW, text.alias("text"))
+
+    wanted = items.select(items[item_col].cast("string").alias("item"), items[item_text_col].alias("text"))
+    windows = workspace.save(
+        wanted.dropna().mapInArrow(
+            _item_windows(window, shingle), "item string, run string, n int, width int, tokens array<long>"
+        ),
+        "windows",
+    )
+    widths = [r["width"] for r in windows.select("width").distinct().collect()]
+    distinct = windows.select("run", "n", "tokens").dropDuplicates(["run"])
+    shingles = workspace.save(
+        distinct.select("run", "n", F.posexplode("tokens").alias("place", "token")), "shingles"
+    )
+
+    shared = _shared_filter(spark, shingles.select("token").distinct())
+    counts = texts.select("text").mapInArrow(_token_counts(shared, widths, block_bytes), "token long, n long")
+    prefix = workspace.save(
+        _rarest(shingles, counts.groupBy("token").agg(F.sum("n").alias("n"))), "prefix"
     )
-    arrow = pa.schema(
-        [
-            ("hit_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            ("hit_items", pa.list_(pa.string())),
-        ]
+    shared.unpersist()
+
+    shared = _shared_filter(spark, prefix.select("token").distinct())
+    places = texts.mapInArrow(
+        _token_places(shared, widths, window, block_bytes),
+        f"{FILE} long, {ROW} long, token long, at long, lead int, words array<string>",
     )
+    hits = workspace.save(_occurrences(places, prefix), "occurrences")
+    shared.unpersist()
 
-    def marked(frame: DataFrame, finder, columns: list[str]) -> DataFrame:
-        out = T.StructType([f for f in schema if f.name in columns or f.name in RESULTS])
-        at = frame.columns.index(text_col)
-        shared = spark.sparkContext.broadcast(finder)
-        return frame.mapInArrow(_mark(shared, at, columns, arrow), out)
-
-    result, waiting = source, None
-    for rows in _blocks(items, item_col, item_text_col, block_bytes):
-        block = Block.of(rows, window)
-        if not len(block.length):
-            continue
-        finder = Finder(block, _rarest(block, source, text_col, shingle))
-        if waiting is not None:
-            result = workspace.save(marked(result, waiting, source.columns), "marked")
-        waiting = finder
-    result = marked(result, waiting, keep)
+    found = workspace.save(
+        _merged(hits).join(_owners(hits, windows, workspace), [FILE, ROW]), "found"
+    )
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return result.select(*keep, "n_words", n_hit.alias("n_hit"), "hit_spans", "hit_items")
+    spans = F.coalesce("hit_spans", F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    return (
+        rows.select(FILE, ROW, *(names[c] for c in keep), _n_words(text).alias("n_words"))
+        .join(found, [FILE, ROW], "left")
+        .select(
+            *(F.col(names[c]).alias(c) for c in keep),
+            "n_words",
+            F.coalesce(n_hit, F.lit(0)).cast("long").alias("n_hit"),
+            spans.alias("hit_spans"),
+            F.coalesce("hit_items", F.array().cast("array<string>")).alias("hit_items"),
+            *([FILE, ROW] if addresses else []),
+        )
+    )

@@ -1,8 +1,9 @@
 """Joins that stay even when one key holds a large share of all rows."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_KEYS = 1000
+PIECES = 32
 
 
 def left_lookup(
@@ -22,3 +23,18 @@ def left_lookup(
     hits = rows.join(F.broadcast(hot), keys, "inner")
     misses = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return hits.unionByName(misses.join(cold, keys, "left"))
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, spread: Column) -> DataFrame:
+    """``rows`` joined with ``table``, which may have many rows per key.
+
+    ``hot`` has one column, the keys with more than 1/1000 of all ``rows``, so at most 1000. Their
+    ``rows`` are dealt to 32 pieces by the whole number ``spread``, and their rows of ``table``
+    go to every piece. Null keys match nothing.
+    """
+    mark = F.broadcast(hot.withColumn("_is_hot", F.lit(True)))
+    piece = F.when(F.col("_is_hot"), F.pmod(spread, F.lit(PIECES))).otherwise(0).cast("int")
+    pieces = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))
+    many = rows.join(mark, key, "left").withColumn("_piece", piece).drop("_is_hot")
+    few = table.join(mark, key, "left").withColumn("_piece", F.explode(pieces)).drop("_is_hot")
+    return many.join(few, [key, "_piece"]).drop("_piece")
