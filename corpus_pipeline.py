@@ -83,9 +83,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     _tidy()
+    workspace = Workspace(spark)
     rows, names = _shielded(docs)
-    marked = mark_benchmark(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), names["text"])
-    return _restored(marked.filter("n_hit = 0"), names)
+    rows = stored_rows(rows, workspace)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    marked = mark_benchmark(rows, items, names["text"], keep=[], addresses=True, workspace=workspace)
+    gone = workspace.save(marked.filter("n_hit > 0").select(FILE, ROW), "gone")
+    return _restored(addressed(rows, workspace).join(gone, [FILE, ROW], "left_anti"), names)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
