@@ -2,7 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T, Window
 
 from ..workspace import Workspace
 from .addresses import FILE, ROW, addressed, stored_rows
@@ -16,9 +16,6 @@ BLOCK_BYTES = 4 << 20
 
 RESULTS = ("n_words", "n_hit", "hit_spans", "hit_items")
 
-# What holds words apart: ASCII but digits and letters.
-_GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-
 _BITS_PER_TOKEN = 32
 _LEAST_BITS, _MOST_BITS = 16, 27
 _SHIFTS = (0, 20, 37)
@@ -207,57 +204,51 @@ def _owners(hits: DataFrame, windows: DataFrame, workspace: Workspace) -> DataFr
     return owned.groupBy(FILE, ROW).agg(F.sort_array(F.collect_set("item")).alias("hit_items"))
 
 
-def _n_words(text: Column) -> Column:
-    """Words become one letter each, then all else goes: what is left is counted."""
-    letters = F.regexp_replace(F.regexp_replace(text, f"[^{_GAP}]+", "a"), f"[{_GAP}]+", "")
-    return F.coalesce(F.length(letters), F.lit(0)).cast("long")
+def _count_words(limit: int):
+    """The other columns with ``n_words`` in place of ``text``."""
+
+    def run(batches):
+        for batch in (part for whole in batches for part in slices(whole, "text", limit)):
+            n = np.diff(words_of(batch["text"], ALPHANUMERIC).first)
+            others = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in others), pa.array(n, pa.int64())], [*others, "n_words"]
+            )
+        release_memory()
+
+    return run
 
 
 def _shared_filter(spark: SparkSession, tokens: DataFrame):
     return spark.sparkContext.broadcast(TokenFilter(tokens))
 
 
-def mark_benchmark(
+def find_benchmark(
     docs: DataFrame,
     items: DataFrame,
     text_col: str = "text",
-    keep: list[str] | None = None,
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
     shingle: int = SHINGLE,
     block_bytes: int = BLOCK_BYTES,
-    addresses: bool = False,
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """The columns ``keep`` (default: all) of ``docs`` plus what of the items each text holds.
+    """Address, ``hit_spans`` and ``hit_items`` of each text that holds a window of an item.
 
-    Adds ``n_words``, ``n_hit``, ``hit_spans`` (merged word ranges, end excluded) and
-    ``hit_items`` (ids as strings, in string order); with ``addresses`` also where each row is
-    stored. Words are runs of ASCII letters and digits and of characters beyond ASCII, A-Z
-    lower-cased. Each run of ``window`` item words is a window, and an item of fewer words
-    is one window; an item without words has none. A document word inside any occurrence
-    of a window is hit.
+    ``docs`` are ``stored_rows``, so that the addresses mean something to the caller. See
+    ``mark_benchmark`` for words, windows and results; texts without an occurrence give no row.
 
     Each window is a set of shingles of ``shingle`` words. As a window must be contained whole,
     its rarest shingle, by its count in all documents, is a sufficient prefix. Places of
     these tokens in the documents are joined with the windows by token; place and length must
     fit, and then all words are compared as text. Tokens in more than 1/1000 of the places
     are spread over 32 pieces. Documents are read once to count and once to find places, by
-    tasks that work on about ``block_bytes`` of text at once. What was found is joined to the
-    documents by address, by broadcast where Spark finds it small.
-
-    A null text has no words; items with null id or text are passed over; items that
-    share an id count once. Rows are judged one by one, repeated or not. Columns of
-    ``docs`` named like a result are replaced, all other names are free.
+    tasks that work on about ``block_bytes`` of text at once.
     """
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
-    rows, names = shielded(docs)
-    rows = addressed(stored_rows(rows, workspace), workspace)
-    text = F.col(names[text_col])
-    texts = rows.select(FILE, ROW, text.alias("text"))
+    texts = addressed(docs.select(docs[text_col].alias("text")), workspace)
 
     wanted = items.select(items[item_col].cast("string").alias("item"), items[item_text_col].alias("text"))
     windows = workspace.save(
@@ -286,21 +277,47 @@ def mark_benchmark(
     )
     hits = workspace.save(_occurrences(places, prefix), "occurrences")
     shared.unpersist()
+    return workspace.save(_merged(hits).join(_owners(hits, windows, workspace), [FILE, ROW]), "found")
 
-    found = workspace.save(
-        _merged(hits).join(_owners(hits, windows, workspace), [FILE, ROW]), "found"
-    )
+
+def mark_benchmark(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    keep: list[str] | None = None,
+    workspace: Workspace | None = None,
+    **options,
+) -> DataFrame:
+    """The columns ``keep`` (default: all) of ``docs`` plus what of the items each text holds.
+
+    Adds ``n_words``, ``n_hit``, ``hit_spans`` (merged word ranges, end excluded) and
+    ``hit_items`` (ids as strings, in string order). Words are runs of ASCII letters and
+    digits and of characters beyond ASCII, A-Z lower-cased. Each run of ``window`` item words
+    is a window, and an item of fewer words is one window; an item without words has none.
+    A document word inside any occurrence of a window is hit. ``options`` are those of
+    ``find_benchmark``, which finds the occurrences; they are joined to the documents by
+    address, by broadcast where Spark finds them small.
+
+    A null text has no words; items with null id or text are passed over; items that
+    share an id count once. Rows are judged one by one, repeated or not. Columns of
+    ``docs`` named like a result are replaced, all other names are free.
+    """
+    workspace = workspace or Workspace(docs.sparkSession)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
+    rows, names = shielded(docs)
+    rows = stored_rows(rows, workspace)
+    found = find_benchmark(rows, items, names[text_col], workspace=workspace, **options)
+
+    at = addressed(rows, workspace)
+    at = at.select(FILE, ROW, *(names[c] for c in keep), F.col(names[text_col]).alias("text"))
+    schema = T.StructType([f for f in at.schema if f.name != "text"]).add("n_words", T.LongType())
+    counted = at.mapInArrow(_count_words(options.get("block_bytes", BLOCK_BYTES)), schema)
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     spans = F.coalesce("hit_spans", F.array().cast("array<struct<start:bigint,end:bigint>>"))
-    return (
-        rows.select(FILE, ROW, *(names[c] for c in keep), _n_words(text).alias("n_words"))
-        .join(found, [FILE, ROW], "left")
-        .select(
-            *(F.col(names[c]).alias(c) for c in keep),
-            "n_words",
-            F.coalesce(n_hit, F.lit(0)).cast("long").alias("n_hit"),
-            spans.alias("hit_spans"),
-            F.coalesce("hit_items", F.array().cast("array<string>")).alias("hit_items"),
-            *([FILE, ROW] if addresses else []),
-        )
+    return counted.join(found, [FILE, ROW], "left").select(
+        *(F.col(names[c]).alias(c) for c in keep),
+        "n_words",
+        F.coalesce(n_hit, F.lit(0)).cast("long").alias("n_hit"),
+        spans.alias("hit_spans"),
+        F.coalesce("hit_items", F.array().cast("array<string>")).alias("hit_items"),
     )
