@@ -12,7 +12,7 @@ import gc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltlake.llm.addresses import FILE, ROW, addressed, stored_rows
-from voltlake.llm.decontaminate import mark_benchmark
+from voltlake.llm.decontaminate import find_benchmark
 from voltlake.llm.exact_dedup import exact_dedup
 from voltlake.llm.language_id import UNKNOWN, held_out, predict, train
 from voltlake.llm.ngram_join import join_ngrams
@@ -87,8 +87,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     rows, names = _shielded(docs)
     rows = stored_rows(rows, workspace)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    marked = mark_benchmark(rows, items, names["text"], keep=[], addresses=True, workspace=workspace)
-    gone = workspace.save(marked.filter("n_hit > 0").select(FILE, ROW), "gone")
+    gone = find_benchmark(rows, items, names["text"], workspace=workspace).select(FILE, ROW)
     return _restored(addressed(rows, workspace).join(gone, [FILE, ROW], "left_anti"), names)
 
 
