@@ -42,3 +42,14 @@ def test_conflicting_incomplete_and_no_rules(spark):
     row = judge_urls(pages, spark.createDataFrame([], RULES), default="block").first()
     assert (row["rule"], row["verdict"], row["host"]) == (None, "block", "a.b")
     assert judge_urls(pages.limit(0), spark.createDataFrame(rules, RULES)).collect() == []
+
+
+def test_thousands_of_shapes_make_no_larger_plan(spark):
+    rules = [("a." * k + "org", "/" + "x" * length, "block") for k in range(5) for length in range(1000)]
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    urls = [(k, f"http://a.a.org/{'x' * (20 * k)}y") for k in range(50)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    got = judge_urls(pages, table)
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    rows = {r["page_id"]: r["rule"] for r in got.collect()}
+    assert rows == {k: "a.a.org/" + "x" * min(20 * k, 999) for k in range(50)}

@@ -62,7 +62,8 @@ def judge_urls(
     host. Without a fitting rule ``rule`` is null and the verdict ``default``.
 
     Each distinct pair of host and path is expanded into host suffixes and path
-    prefixes, in the shapes (number of labels, path length) that the rules have.
+    prefixes, in the shapes that the rules have: a stored table of the path lengths for each number
+    of labels, joined with the host suffixes, so thousands of shapes make no larger plan.
     The expressions meet the rules by the first 32 bits of their SHA-256; equal
     full digests confirm the match.
 
@@ -74,36 +75,30 @@ def judge_urls(
     spark = pages.sparkSession
     workspace = workspace or Workspace(spark)
     ready = workspace.save(prepare_rules(rules), "rules")
-    shapes = [tuple(r) for r in ready.select("labels", "path_length").distinct().collect()]
+    shapes = workspace.save(
+        ready.groupBy("labels").agg(F.collect_set("path_length").alias("lengths")), "shapes"
+    )
 
     rows, names = shielded(pages)
     kept = {new: c for c, new in names.items() if c not in ("host", "path", "rule", "verdict")}
     own = [F.col(new).alias(c) for new, c in kept.items()]
     url = rows[names[url_col]]
     parsed = rows.select(*kept, host_of(url).alias("host"), path_of(url).alias("path"))
-    if not shapes:
-        return parsed.select(
-            *own, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")
-        )
-
-    labels = F.split("host", r"\.")
-    expressions = F.array(
-        *(
-            F.when(
-                (F.size(labels) >= n) & (F.length("path") >= length),
-                F.struct(
-                    F.array_join(F.slice(labels, -n, n), ".").alias("host"),
-                    F.substring(F.col("path"), 1, length).alias("path"),
-                ),
-            )
-            for n, length in shapes
-        )
-    )
+
     sites = parsed.select("host", "path").distinct()
-    expanded = sites.select("host", "path", F.explode(F.array_compact(expressions)).alias("e"))
-    digest = _digest(F.col("e.host"), F.col("e.path"))
+    parts = F.split("host", r"\.")
+    counted = sites.select(
+        "host", "path", parts.alias("parts"), F.explode(F.sequence(F.lit(1), F.size(parts))).alias("labels")
+    )
+    suffix = F.array_join(F.expr("slice(parts, -labels, labels)"), ".")
+    fitting = F.filter("lengths", lambda n: n <= F.length("path"))
+    prefixes = F.transform(fitting, lambda n: F.substring(F.col("path"), F.lit(1), n))
+    expanded = counted.join(shapes, "labels").select(
+        "host", "path", suffix.alias("e_host"), F.explode(prefixes).alias("e_path")
+    )
+    digest = _digest(F.col("e_host"), F.col("e_path"))
     candidates = expanded.select(
-        "host", "path", F.length("e.host").alias("host_length"), digest.alias("found")
+        "host", "path", F.length("e_host").alias("host_length"), digest.alias("found")
     ).withColumn("short", _short(F.col("found")))
     confirmed = candidates.join(ready, "short").filter(F.col("found") == F.col("digest"))
     best = F.max(F.struct(F.length("rule").alias("length"), "host_length", "rule", "verdict"))
