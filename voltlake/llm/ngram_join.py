@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..workspace import Workspace
 from .addresses import FILE, ROW, addressed, stored_rows
 from .components import connected_components
+from .driver import release_driver
 from .skew import left_lookup
 from .wordhash import NOT_SPACE, mix, release_memory, runs_of, short_run, slices, words_of
 
@@ -633,6 +634,7 @@ def similar_classes(
     )
 
     n_rows = members.count()
+    release_driver(spark)
     verifier = _Verifier(docs, text_col, id_col, classes, summaries, width, percent, workspace)
 
     # Tokens of many classes: each member against a pivot, which joins all that link to it.
@@ -646,6 +648,7 @@ def similar_classes(
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = workspace.save(pairs, "pivot-pairs")
+        release_driver(spark)
         tried = pairs if tried is None else tried.unionByName(pairs)
         if pairs.isEmpty():
             break
@@ -653,7 +656,9 @@ def similar_classes(
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
+        release_driver(spark)
         known = connected_components(links, "x", "y", workspace)
+        release_driver(spark)
 
     # Then all pairs that are left, those not connected by now, tile by tile.
     rest = _tiled(_open_rows(members, known, n_rows, workspace))
@@ -673,8 +678,11 @@ def similar_classes(
     pairs = small_pairs.unionByName(large_pairs).distinct()
     if tried is not None:
         pairs = pairs.join(tried, ["x", "y"], "left_anti")
-    found = verifier.links(workspace.save(pairs, "pairs"))
+    pairs = workspace.save(pairs, "pairs")
+    release_driver(spark)
+    found = verifier.links(pairs)
     links = found if links is None else links.unionByName(found)
+    release_driver(spark)
     return connected_components(links, "x", "y", workspace)
 
 
@@ -717,6 +725,7 @@ def join_ngrams(
         ),
         "summaries",
     )
+    release_driver(spark)
     rows = summaries.filter("part is null").select("id", FILE, ROW, "n", "cls")
     classes = workspace.save(
         rows.filter("cls is not null")
@@ -727,6 +736,7 @@ def join_ngrams(
     components = similar_classes(
         docs, text_col, id_col, classes, summaries, width, percent, workspace
     )
+    release_driver(spark)
     joined = classes.join(components.withColumnRenamed("node", "cls"), "cls", "left")
     joined = joined.withColumn("component", F.coalesce("component", "cls"))
     lowest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
